@@ -29,8 +29,9 @@ def fold_rows(
 
     Use built-in aggregates where one exists. ``step(state, batch)`` takes an Arrow batch as a pandas
     frame; every partition folds to one state and the states are merged in ``merge_levels`` rounds of
-    at most ``STATES_PER_MERGE`` tasks' worth each, so ``merge`` must be associative and commutative
-    and a state must stay small. A state is whatever Python can pickle.
+    at most ``STATES_PER_MERGE`` tasks' worth each, so ``merge`` must be associative and commutative,
+    ``initial()`` its neutral element, and a state must stay small. A state is whatever Python can
+    pickle.
     """
 
     def fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
