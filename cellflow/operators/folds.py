@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-STATES_PER_MERGE = 64
-
 
 def fold_rows(
     rows: DataFrame,
@@ -23,15 +21,13 @@ def fold_rows(
     finish: Callable[[Any], Any],
     result: str,
     result_type: str | T.DataType = "double",
-    merge_levels: int = 2,
 ) -> DataFrame:
     """Fold rows with a user function and return one row with the finished value.
 
     Use built-in aggregates where one exists. ``step(state, batch)`` takes an Arrow batch as a pandas
-    frame; every partition folds to one state and the states are merged in ``merge_levels`` rounds of
-    at most ``STATES_PER_MERGE`` tasks' worth each, so ``merge`` must be associative and commutative,
-    ``initial()`` its neutral element, and a state must stay small. A state is whatever Python can
-    pickle.
+    frame; every partition folds to one state, and the states are merged first in parallel, then into
+    one. ``merge`` must be associative and commutative, ``initial()`` its neutral element, and a
+    state must stay small. A state is whatever Python can pickle.
     """
 
     def fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -58,10 +54,8 @@ def fold_rows(
         yield pd.DataFrame({result: [finish(initial() if merged is None else merged)]})
 
     states = rows.select(*fields).mapInPandas(fold_partition, "state binary")
-    for level in range(merge_levels - 1, 0, -1):
-        width = STATES_PER_MERGE**level
-        states = states.repartition(width, F.xxhash64("state") + F.spark_partition_id())
-        states = states.mapInPandas(merge_states, "state binary")
+    # Without a partition count the exchange is sized by the bytes of the states when it runs.
+    states = states.repartition(F.xxhash64("state") + F.spark_partition_id()).mapInPandas(merge_states, "state binary")
     schema = T.StructType([T.StructField(result, _type(result_type))])
     return states.coalesce(1).mapInPandas(finish_states, schema)
 
