@@ -11,53 +11,81 @@ from cellflow.functions import as_column, comma_joined
 from cellflow.operators.joins import cross_with_row, skewed_join
 
 FREQUENCY = "itemSetFrequency"
+SPLIT_ABOVE = 1000
 
 
 def item_sets(
-    baskets: DataFrame, basket: str | Column, out: str, min_size: int = 2, max_size: int = 5, joined: bool = True
+    baskets: DataFrame,
+    basket: str | Column,
+    out: str,
+    min_size: int = 2,
+    max_size: int = 5,
+    joined: bool = True,
+    split_above: int | None = SPLIT_ABOVE,
 ) -> DataFrame:
     """Every subset of ``min_size``..``max_size`` items of each basket, one row each.
 
     Baskets are arrays and keep repeated items: ``a, b, b`` holds ``a,b`` and ``b,b`` once each. The
     sorted basket is expanded by one generator per item, so no subset list is ever held in memory
-    and nothing is shuffled. ``joined`` gives comma-joined text, otherwise the array.
+    and nothing is shuffled, but for baskets of more than ``split_above`` items: their sets are
+    spread by first item. Give None where baskets are known to be smaller, which saves a second pass
+    over them. ``joined`` gives comma-joined text, otherwise the array.
     """
     if not 1 <= min_size <= max_size:
         raise ValueError(f"set sizes must satisfy 1 <= {min_size} <= {max_size}")
-    items = F.array_sort(as_column(basket))
-    rows = baskets.select(items.alias("_items"))
-    rows = rows.where(F.size("_items") >= min_size)
-    rows = rows.withColumn("_set", F.slice("_items", 1, 0)).withColumn("_at", F.lit(0))
+    items = as_column(basket)
+    rows = baskets.where(F.size(items) >= min_size).select(
+        F.sort_array(items).alias("_items"), (F.size(F.array_distinct(items)) == F.size(items)).alias("_unique")
+    )
+    rows = rows.withColumn("_at", F.lit(0))
+    if split_above is None or max_size == 1:
+        sets = _expand(rows, min_size, max_size, spread=False)
+    else:
+        large = F.size("_items") > split_above
+        sets = _expand(rows.where(~large), min_size, max_size, spread=False)
+        sets = sets.union(_expand(rows.where(large), min_size, max_size, spread=True))
+    return sets.select((comma_joined("_set") if joined else F.col("_set")).alias(out))
+
+
+def _expand(rows: DataFrame, min_size: int, max_size: int, spread: bool) -> DataFrame:
     for size in range(1, max_size + 1):
-        rows = rows.select("_items", "_set", "_at", F.explode(_next_positions(size > min_size)).alias("_next"))
-        stop = F.col("_next") == 0
-        grown = F.concat("_set", F.array(F.try_element_at("_items", F.col("_next"))))
+        so_far = [] if size == 1 else [F.col("_set")]
         rows = rows.select(
-            "_items",
-            F.when(stop, F.col("_set")).otherwise(grown).alias("_set"),
-            F.when(stop, F.size("_items")).otherwise(F.col("_next")).alias("_at"),
+            "_items", "_unique", *so_far, F.explode(_next_positions(max(min_size - size, 0), size > min_size)).alias("_at")
         )
-    return rows.select((comma_joined("_set") if joined else F.col("_set")).alias(out))
-
-
-def _next_positions(may_stop: bool) -> Column:
-    """Positions of the next item after ``_at``, each distinct item once; 0 stands for stopping."""
-    start, last = F.col("_at") + 1, F.size("_items")
+        added = F.array(F.try_element_at("_items", F.col("_at")))
+        if size > min_size:
+            grown = F.when(F.col("_at") > F.size("_items"), F.col("_set")).otherwise(F.concat("_set", added))
+        else:
+            grown = F.concat("_set", added) if so_far else added
+        rows = rows.select("_items", "_unique", "_at", grown.alias("_set"))
+        if spread and size == 1:
+            rows = rows.repartition(F.hash(F.get("_items", F.lit(0)), F.size("_items"), F.col("_at")))
+    return rows.select("_set")
+
+
+def _next_positions(still_needed: int, may_stop: bool) -> Column:
+    """Positions of the next item after ``_at``, each distinct item once, leaving room for the items
+    ``still_needed`` after it. One position past the end stands for stopping here."""
+    start, last = F.col("_at") + 1, F.size("_items") - still_needed
     later = F.when(start <= last, F.sequence(start, last)).otherwise(F.array().cast("array<int>"))
 
     def first_of_its_kind(p: Column) -> Column:
-        same = F.element_at("_items", p) == F.try_element_at("_items", F.greatest(p - 1, F.lit(1)))
-        return (p == start) | ~same
+        before = F.try_element_at("_items", F.greatest(p - 1, F.lit(1)))
+        return (p == start) | (F.element_at("_items", p) != before)
 
-    distinct = F.filter(later, first_of_its_kind)
-    return F.concat(F.array(F.lit(0)), distinct) if may_stop else distinct
+    # Only a basket with repeated items needs the check.
+    distinct = F.when(F.col("_unique"), later).otherwise(F.filter(later, first_of_its_kind))
+    return F.concat(F.array(F.size("_items") + 1), distinct) if may_stop else distinct
 
 
 def capped_counts(rows: DataFrame, basket: Sequence[str], item: str, max_size: int) -> DataFrame:
     """Items per basket with their multiplicity, at most ``max_size``: more copies of an item cannot
     appear in one set, so no set is lost."""
     counted = rows.groupBy(*basket, item).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.withColumn("_n", F.least(F.col("_n"), F.lit(max_size)).cast("int"))
+    # Every count is positive; asking for it keeps the count in each use of the result, so that the
+    # uses are the same plan up to here and share one exchange.
+    return counted.withColumn("_n", F.least(F.col("_n"), F.lit(max_size)).cast("int")).where(F.col("_n") > 0)
 
 
 def gather_baskets(counted: DataFrame, basket: Sequence[str], item: str, out: str) -> DataFrame:
@@ -117,7 +145,7 @@ def frequent_item_sets(
     if constant is not None:
         total = F.lit(float(constant))
     else:
-        total = rows.select(*basket).distinct().agg(F.count(F.lit(1)).cast("double")).scalar()
+        total = counted.select(*basket).distinct().agg(F.count(F.lit(1)).cast("double")).scalar()
     supports = counted.groupBy(item).agg(F.count(F.lit(1)).alias("_rows"))
     frequent = supports.where(F.try_divide(F.col("_rows").cast("double"), total) > threshold)
     kept = skewed_join(counted, frequent.select(item), [item], "left_semi", counts=supports)

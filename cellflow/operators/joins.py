@@ -10,20 +10,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key is heavy when it owns more than this share of the rows, so there are at most 1/SHARE heavy
-# keys: that is the proven bound of everything broadcast here.
-SHARE = 1 / 500
-SALTS = 64
+# A key is heavy when it has more rows than one task should join: ROWS_PER_TASK, or 1/MOST_HEAVY of all
+# rows if that is more. So there are fewer than MOST_HEAVY heavy keys whatever the data, which is the
+# proven bound of what is broadcast here, and together they are cut in fewer than 2 * MOST_HEAVY parts.
+ROWS_PER_TASK = 2_000_000
+MOST_HEAVY = 50_000
 
 
-def key_counts(rows: DataFrame, keys: Sequence[str], name: str = "_rows") -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+def key_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def heavy_keys(counts: DataFrame, keys: Sequence[str], name: str = "_rows", share: float = SHARE) -> DataFrame:
-    """Keys owning more than ``share`` of all rows: fewer than 1/share of them."""
-    total = counts.agg(F.sum(name)).scalar()
-    return counts.where(F.col(name) > total * F.lit(share)).select(*keys)
+def heavy_keys(counts: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Heavy keys, and in ``_parts`` how many tasks their rows should be spread over."""
+    total = counts.agg(F.sum("_rows")).scalar()
+    limit = F.greatest(F.lit(float(rows_per_task)), total / F.lit(float(MOST_HEAVY)))
+    parts = F.ceil(F.col("_rows") / limit).cast("int")
+    return counts.where(F.col("_rows") > limit).select(*keys, parts.alias("_parts"))
 
 
 def _hashable(dtype: T.DataType) -> bool:
@@ -36,11 +39,11 @@ def _hashable(dtype: T.DataType) -> bool:
     return True
 
 
-def row_salt(rows: DataFrame, salts: int) -> Column:
-    """A number below ``salts`` that a re-run task gives again: it depends on the row and on the
-    partition, not on chance. The partition id spreads rows that are equal in every column."""
+def row_hash(rows: DataFrame) -> Column:
+    """A number that a re-run task gives again: it depends on the row and on the partition, not on
+    chance. The partition id spreads rows that are equal in every column."""
     columns = [f.name for f in rows.schema.fields if _hashable(f.dataType)]
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    return F.xxhash64(*[F.col(f"`{c}`") for c in columns]) + F.spark_partition_id()
 
 
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> tuple[DataFrame, Column]:
@@ -55,37 +58,35 @@ def skewed_join(
     on: Sequence[str],
     how: str = "inner",
     counts: DataFrame | None = None,
-    share: float = SHARE,
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join with a side that has few rows per key while ``left`` may have very many.
 
     Heavy keys of ``left`` are found by an exact count (partial aggregate, then one small
-    broadcast); their rows are spread over ``salts`` tasks and their right rows repeated there. All
-    other keys join as usual. ``how`` is inner, left, left_semi or left_anti; NULL keys match.
-    Pass ``counts`` (keys and ``_rows``) when they are known.
+    broadcast); their rows are spread over as many tasks as their number asks for, and their right
+    rows repeated there. All other keys join as usual, so Spark still broadcasts the right side when
+    it turns out small. ``how`` is inner, left, left_semi or left_anti; NULL keys match.
+
+    Counting reads ``left`` once more, with the key columns only: pass ``counts`` (keys and
+    ``_rows``) when they are known.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skewed_join cannot do a {how} join")
     keys = list(on)
     counts = key_counts(left, keys) if counts is None else counts
-    heavy = heavy_keys(counts, keys, share=share).withColumn("_heavy", F.lit(True))
+    heavy = heavy_keys(counts, keys, rows_per_task)
 
     marks, same = _match(left, heavy, keys, "_h_")
-    spread = left.withColumn("_row_salt", row_salt(left, salts)).join(F.broadcast(marks), same, "left")
-    spread = spread.withColumn("_salt", F.when(F.col("_heavy"), F.col("_row_salt")).otherwise(F.lit(0)))
-    spread = spread.select(*left.columns, "_salt")
+    part = F.when(F.col("_parts").isNotNull(), F.pmod(row_hash(left), F.col("_parts"))).otherwise(F.lit(0))
+    spread = left.join(F.broadcast(marks), same, "left").select(*left.columns, part.cast("int").alias("_part"))
 
     marks, same = _match(right, heavy, keys, "_h_")
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    copies = right.join(F.broadcast(marks), same, "left").select(
-        *right.columns,
-        F.explode(F.when(F.col("_heavy"), every_salt).otherwise(F.array(F.lit(0)))).alias("_salt"),
-    )
-    copies, same = _match(spread, copies, [*keys, "_salt"], "_r_")
+    every_part = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    copies = right.join(F.broadcast(marks), same, "left").select(*right.columns, F.explode(every_part).alias("_part"))
+    copies, same = _match(spread, copies, [*keys, "_part"], "_r_")
     joined = spread.join(copies, same, how)
     if how in ("left_semi", "left_anti"):
-        return joined.drop("_salt")
+        return joined.drop("_part")
     extra = [c for c in right.columns if c not in keys]
     return joined.select(*left.columns, *extra)
 

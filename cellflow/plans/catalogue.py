@@ -475,14 +475,15 @@ def join_entity(spark, folder):
 
 @query
 def join_composite_entity(spark, folder):
-    """Ids built by the user meet ids built from a table."""
+    """Composite ids join on their components: both sides are grouped on those, so the join adds no
+    exchange, which a struct key built afterwards would."""
     orders = read(spark, folder, "orders")
-    counted = orders.groupBy("o_custkey", "o_orderpriority").agg(F.count("*").alias("n"))
-    mine = counted.select(C.entity_id("o_custkey", "o_orderpriority").alias("eid"), "n")
-    newest_spend = scan_cells(customers(spark, folder), "spend")
-    theirs = newest_spend.select(C.entity_id("custkey", "qualifier").alias("eid"), "value")
-    return mine.join(theirs, "eid").select(
-        C.component("eid", 0).alias("custkey"), C.component("eid", 1).alias("priority"), "n", "value"
+    mine = orders.groupBy(F.col("o_custkey").alias("custkey"), F.col("o_orderpriority").alias("priority"))
+    mine = mine.agg(F.count("*").alias("n"))
+    theirs = scan_cells(customers(spark, folder), "spend").withColumnRenamed("qualifier", "priority")
+    eid = C.entity_id("custkey", "priority")
+    return mine.join(theirs, ["custkey", "priority"]).select(
+        C.component(eid, 0).alias("custkey"), C.component(eid, 1).alias("priority"), "n", "value"
     )
 
 
@@ -550,41 +551,43 @@ def cross_one_row(spark, folder):
 
 
 def brand_baskets(spark: SparkSession, folder: str, max_size: int) -> DataFrame:
-    """Brands of every order, each at most ``max_size`` times (more cannot appear in a set)."""
+    """Brands of every order, each at most ``max_size`` times (more cannot appear in a set).
+
+    A basket has at most ``max_size`` times as many items as there are brands."""
     counted = capped_counts(order_brands(spark, folder), ["l_orderkey"], "p_brand", max_size)
     return gather_baskets(counted, ["l_orderkey"], "p_brand", "basket")
 
 
 @query
 def item_pairs(spark, folder):
-    pairs = item_sets(brand_baskets(spark, folder, 2), "basket", "pair", 2, 2)
+    pairs = item_sets(brand_baskets(spark, folder, 2), "basket", "pair", 2, 2, split_above=None)
     return pairs.groupBy("pair").agg(F.count("*").alias("n"))
 
 
 @query
 def item_triples(spark, folder):
-    triples = item_sets(brand_baskets(spark, folder, 3), "basket", "triple", 3, 3)
+    triples = item_sets(brand_baskets(spark, folder, 3), "basket", "triple", 3, 3, split_above=None)
     return triples.groupBy("triple").agg(F.count("*").alias("n"))
 
 
 @query
 def item_sets_raw(spark, folder):
-    """All pairs and triples of the parts of an order, as they are, one row each."""
-    lines = read(spark, folder, "lineitem")
-    counted = capped_counts(lines, ["l_orderkey"], "l_suppkey", 2)
-    return item_sets(gather_baskets(counted, ["l_orderkey"], "l_suppkey", "basket"), "basket", "pair", 2, 2)
+    """Pairs of return flag and status of an order's lines, as they are, one row each."""
+    lines = read(spark, folder, "lineitem").select("l_orderkey", F.concat("l_returnflag", "l_linestatus").alias("state"))
+    counted = capped_counts(lines, ["l_orderkey"], "state", 2)
+    return item_sets(gather_baskets(counted, ["l_orderkey"], "state", "basket"), "basket", "pair", 2, 2, split_above=None)
 
 
 @query
 def support_constant(spark, folder):
-    pairs = item_sets(brand_baskets(spark, folder, 2), "basket", "pair", 2, 2)
+    pairs = item_sets(brand_baskets(spark, folder, 2), "basket", "pair", 2, 2, split_above=None)
     kept = filter_by_support(pairs, "pair", "support", 0.5, constant=500.0)
     return kept.select("pair", F.col("itemSetFrequency").alias("frequency"), "normalizer", F.round("support", 6).alias("support"))
 
 
 @query
 def support_frame(spark, folder):
-    pairs = item_sets(brand_baskets(spark, folder, 2), "basket", "pair", 2, 2)
+    pairs = item_sets(brand_baskets(spark, folder, 2), "basket", "pair", 2, 2, split_above=None)
     total = read(spark, folder, "orders").agg(F.count("*").alias("normalizer"))
     kept = filter_by_support(pairs, "pair", "support", 0.025, normalizer=total)
     return kept.select("pair", F.col("itemSetFrequency").alias("frequency"), "normalizer", F.round("support", 6).alias("support"))

@@ -231,10 +231,11 @@ SELECT l_orderkey, l_partkey, l_suppkey, count(*) OVER (PARTITION BY l_suppkey)
     "item_pairs": f"WITH {PAIRS} SELECT pair, count(*) AS n FROM pairs GROUP BY pair",
     "item_triples": f"WITH {TRIPLES} SELECT triple, count(*) AS n FROM triples GROUP BY triple",
     "item_sets_raw": """
-WITH counted AS (SELECT l_orderkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_suppkey)
-SELECT a.l_suppkey || ',' || b.l_suppkey AS pair
-FROM counted a JOIN counted b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey < b.l_suppkey
-UNION ALL SELECT l_suppkey || ',' || l_suppkey FROM counted WHERE n >= 2""",
+WITH counted AS (
+  SELECT l_orderkey, l_returnflag || l_linestatus AS state, count(*) AS n FROM lineitem GROUP BY l_orderkey, state)
+SELECT a.state || ',' || b.state AS pair
+FROM counted a JOIN counted b ON a.l_orderkey = b.l_orderkey AND a.state < b.state
+UNION ALL SELECT state || ',' || state FROM counted WHERE n >= 2""",
     "support_constant": f"""
 WITH {PAIRS} SELECT pair, count(*) AS frequency, 500.0::DOUBLE AS normalizer, round(count(*) / 500.0, 6) AS support
 FROM pairs GROUP BY pair HAVING count(*) / 500.0 > 0.5""",

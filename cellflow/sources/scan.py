@@ -152,7 +152,7 @@ def _canonical(frame: DataFrame, column: str) -> Column:
     """Cells ordered by qualifier, newest version first (O1)."""
     value_type = frame.schema[column].dataType.elementType["value"].dataType
     if _orderable(value_type):
-        ordered = F.array_sort(column)
+        ordered = F.sort_array(column)
     else:
         ordered = F.array_sort(
             column,
@@ -266,8 +266,8 @@ def _join_frames(
     universe: DataFrame | None,
     outer: bool,
 ) -> DataFrame:
-    """Join frames on the entity. Each has one row per entity and, coming from a grouping on it, is
-    already partitioned by it: no exchange is added and no join key is repeated."""
+    """Join frames on the entity. Each has one row per entity, so no join key is repeated, and a frame
+    that comes from a grouping is already partitioned by it: only wide views may be exchanged here."""
     entity = table.entity
     frames = _frames(table, requests, time_range)
     if universe is not None:

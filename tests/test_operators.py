@@ -11,7 +11,9 @@ from cellflow.functions import (
 from cellflow.operators import slices as S
 from cellflow.operators.folds import fold_rows
 from cellflow.operators.itemsets import capped_counts, filter_by_support, frequent_item_sets, gather_baskets, item_sets
-from cellflow.operators.joins import cross_with_row, is_small, join_with_count, join_with_group_count, skewed_join
+from cellflow.operators.joins import (
+    cross_with_row, heavy_keys, is_small, join_with_count, join_with_group_count, key_counts, row_hash, skewed_join,
+)
 from cellflow.operators.nested import SchemaMismatch, conform, pack, require_type, unpack
 from tests.helpers import literal_slice, plan
 
@@ -120,13 +122,22 @@ def test_skewed_join_equals_plain_join(spark, how):
     keys = [None] * 5 + [0] * 700 + [rng.randrange(1, 60) for _ in range(800)]
     left = spark.createDataFrame([(k, i % 5) for i, k in enumerate(keys)], "k int, v int")
     right = spark.createDataFrame([(None, "null")] + [(k, f"r{k}") for k in range(0, 60, 2)], "k int, w string")
-    got = skewed_join(left, right, ["k"], how)
+    got = skewed_join(left, right, ["k"], how, rows_per_task=100)
     r = right.withColumnRenamed("k", "rk")
     want = left.join(r, left.k.eqNullSafe(r.rk), how).drop("rk")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
-    # The heavy key is spread: no salt value holds most of its rows.
-    spread = skewed_join(left, right, ["k"], "left", salts=8)
-    assert spread.count() == len(keys)
+    plain = skewed_join(left, right, ["k"], how)  # no heavy key
+    assert sorted(map(str, plain.collect())) == sorted(map(str, want.collect()))
+
+
+def test_heavy_keys(spark):
+    rows = spark.createDataFrame([(0,)] * 950 + [(None,)] * 120 + [(i,) for i in range(1, 40)], "k int")
+    heavy = heavy_keys(key_counts(rows, ["k"]), ["k"], rows_per_task=100)
+    assert {tuple(r) for r in heavy.collect()} == {(0, 10), (None, 2)}
+    assert heavy_keys(key_counts(rows, ["k"]), ["k"]).count() == 0
+    # Equal rows are spread as well: the hash takes in the partition.
+    spread = rows.where("k = 0").repartition(8).select((F.pmod(row_hash(rows), F.lit(10))).alias("part"))
+    assert spread.distinct().count() >= 4
 
 
 def test_is_small(spark):
@@ -158,14 +169,15 @@ def test_item_sets_against_brute_force(spark):
     rng = random.Random(11)
     rows = [[rng.randrange(8) for _ in range(rng.randrange(0, 9))] for _ in range(60)]
     for lo, hi in ((1, 1), (2, 2), (2, 4), (1, 5), (3, 3)):
-        got = sorted(r.s for r in item_sets(baskets(spark, rows, "int"), "basket", "s", lo, hi).collect())
-        assert got == sorted(",".join(map(str, s)) for b in rows for s in subsets(b, lo, hi))
+        for split in (None, 4):
+            sets = item_sets(baskets(spark, rows, "int"), "basket", "s", lo, hi, split_above=split)
+            assert sorted(r.s for r in sets.collect()) == sorted(",".join(map(str, s)) for b in rows for s in subsets(b, lo, hi))
     with pytest.raises(ValueError):
         item_sets(baskets(spark), "basket", "s", 3, 2)
 
 
 def test_item_sets_do_not_shuffle(spark):
-    assert "Exchange" not in plan(item_sets(baskets(spark), "basket", "s", 2, 5))
+    assert "Exchange" not in plan(item_sets(baskets(spark), "basket", "s", 2, 5, split_above=None))
 
 
 def test_support(spark):  # X27
