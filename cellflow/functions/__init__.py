@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def as_column(c: str | Column) -> Column:
@@ -20,8 +21,8 @@ def micros(ts: str | Column) -> Column:
 def timestamp_of_micros(version: int) -> Column:
     # A folded TIMESTAMP_NTZ constant: a plain datetime literal has a time zone, and comparing it
     # would convert the stored column and keep the filter away from the files.
-    moment = datetime(1970, 1, 1) + timedelta(microseconds=version)
-    return F.lit(moment.isoformat(" ", "microseconds")).cast("timestamp_ntz")
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.lit(version).cast("bigint"), epoch)
 
 
 def entity_id(*components: str | Column) -> Column:
@@ -85,6 +86,21 @@ def scaled(a: str | Column, factor: Column) -> Column:
     return F.transform(as_column(a), lambda x: x.cast("double") * factor)
 
 
+def literal_of(value: Any, dtype: T.DataType) -> Column:
+    """A constant of a given type; records as tuples or dicts, lists and maps nested."""
+    if isinstance(value, Column) or value is None:
+        return F.lit(value).cast(dtype)
+    if isinstance(dtype, T.StructType):
+        parts = [value[n] for n in dtype.names] if isinstance(value, dict) else value
+        return F.struct(*[literal_of(p, f.dataType).alias(f.name) for p, f in zip(parts, dtype.fields, strict=True)])
+    if isinstance(dtype, T.ArrayType):
+        return F.array(*[literal_of(v, dtype.elementType) for v in value]).cast(dtype)
+    if isinstance(dtype, T.MapType):
+        pairs = [c for k, v in value.items() for c in (literal_of(k, dtype.keyType), literal_of(v, dtype.valueType))]
+        return F.create_map(*pairs).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
 def random_entity_id() -> Column:
     """A fresh id per imported row (C11). Not repeatable: write it before it is used twice."""
     return F.expr("uuid()")

@@ -102,17 +102,15 @@ def filter_by_support(
     constant: float | None = None,
     normalizer: DataFrame | None = None,
     normalizer_field: str = "normalizer",
-    partitions: int | None = None,
 ) -> DataFrame:
     """Frequency of every item set, divided by a normaliser; keeps support above the threshold.
 
     Give exactly one of ``constant`` and a one-row ``normalizer`` frame with ``normalizer_field``.
+    Frequencies are counted before and after one exchange, whose size Spark adapts when it runs.
     """
     if (constant is None) == (normalizer is None):
         raise ValueError("give exactly one of a constant and a normalizer frame")
     counts = sets.groupBy(itemset).agg(F.count(F.lit(1)).alias(FREQUENCY))
-    if partitions is not None:
-        counts = counts.repartition(partitions, itemset)
     if constant is not None:
         counts = counts.withColumn(normalizer_field, F.lit(float(constant)))
     else:
@@ -129,12 +127,14 @@ def frequent_item_sets(
     min_size: int = 2,
     max_size: int = 5,
     constant: float | None = None,
+    normalizer: DataFrame | None = None,
     out: str = "itemset",
     support: str = "support",
 ) -> DataFrame:
     """Item sets with support above the threshold, straight from (basket, item) rows.
 
-    The normaliser is ``constant`` or the number of baskets. An item that is not itself above the
+    The normaliser is ``constant``, the only value of a one-row ``normalizer``, or else the number of
+    baskets. An item that is not itself above the
     threshold cannot be in a kept set; such items go before any subset is formed, so a basket holds
     at most the frequent items when it is gathered.
     """
@@ -144,6 +144,8 @@ def frequent_item_sets(
     counted = capped_counts(rows, basket, item, max_size)
     if constant is not None:
         total = F.lit(float(constant))
+    elif normalizer is not None:
+        total = normalizer.select(F.col(normalizer.columns[0]).cast("double")).scalar()
     else:
         total = counted.select(*basket).distinct().agg(F.count(F.lit(1)).cast("double")).scalar()
     supports = counted.groupBy(item).agg(F.count(F.lit(1)).alias("_rows"))

@@ -142,6 +142,9 @@ def score_rows(
         empty = {f: F.array().cast(rows.schema[f].dataType) for f in bound}
         rows = rows.select(*table.entity, *[F.coalesce(F.col(f), empty[f]).alias(f) for f in bound])
     side_data = side_data or {}
+    # Features may be named like the entity columns; those to write scores under are kept apart.
+    own = [f"_entity{i}" for i in range(len(table.entity))]
+    rows = rows.select("*", *[F.col(e).alias(o) for e, o in zip(table.entity, own)])
 
     fields = bound
     if extractor is not None:
@@ -153,14 +156,14 @@ def score_rows(
         _known(inputs, rows.columns, "extract")
         features = _columns(extractor.fn(*[F.col(f) for f in inputs]), outputs, "the extractor")
         keep = [F.col(e) for e in table.entity if e not in outputs]
-        rows = rows.select(*keep, *features)
+        rows = rows.select(*own, *keep, *features)
         fields = outputs
     rows = _with_lookups(rows, scorer.lookups, side_data)
     inputs = _names(scorer.inputs)
     inputs = [*fields, *[l.into for l in scorer.lookups]] if inputs == ALL else inputs
     _known(inputs, rows.columns, "score")
     score = _columns(scorer.fn(*[F.col(f) for f in inputs]), [out], "the scorer")
-    return rows.select(*table.entity, *score)
+    return rows.select(*[F.col(o).alias(e) for e, o in zip(table.entity, own)], *score)
 
 
 def _known(inputs: Sequence[str], have: Sequence[str], phase: str) -> None:

@@ -97,7 +97,7 @@ class LongCells:
             *[as_column(c).alias(n) for n, c in self.entity.items()],
             qualifier.alias("qualifier"),
             self.version.value.alias("version"),
-            as_column(self.value).alias("value"),
+            narrowed(as_column(self.value), request).alias("value"),
             *extra,
         )
 
@@ -121,6 +121,13 @@ class WideCells:
         return request.qualifier is None or request.qualifier in self.columns
 
 
+def narrowed(value: Column, request: ColumnRequest) -> Column:
+    """A record value with the requested fields only, so that no other field is read."""
+    if request.fields is None:
+        return value
+    return F.when(value.isNotNull(), F.struct(*[value.getField(f).alias(f) for f in request.fields]))
+
+
 class CellTable:
     """A catalogue of cell views sharing one entity key."""
 
@@ -148,9 +155,11 @@ class CellTable:
                 continue
             view = self.find(r)
             if isinstance(view, LongCells):
-                dtype = view.frame.select(as_column(view.value).alias("v")).schema["v"].dataType
-                have = getattr(dtype, "names", [])
-                lost = [f for f in r.fields if f not in have]
+                stored = [view.value]
+            else:
+                stored = [view.columns[r.qualifier]] if r.qualifier else list(view.columns.values())
+            for field in view.frame.select(*[as_column(c) for c in stored]).schema.fields:
+                lost = [f for f in r.fields if f not in getattr(field.dataType, "names", [])]
                 if lost:
                     raise MissingColumns(f"{r.name} has no record field {', '.join(lost)}")
 

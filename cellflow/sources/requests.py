@@ -38,7 +38,7 @@ class TimeRange:
 
     @classmethod
     def at(cls, version: int) -> TimeRange:
-        return cls(version, version + 1)
+        return cls(version, None if version == NEWEST_POSSIBLE else version + 1)
 
     @classmethod
     def after(cls, begin: int) -> TimeRange:

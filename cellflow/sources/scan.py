@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellflow.functions import as_column
+from cellflow.functions import as_column, literal_of
 from cellflow.operators.versions import latest_versions
-from cellflow.sources.cells import CellTable, LongCells, WideCells
+from cellflow.sources.cells import CellTable, LongCells, WideCells, narrowed
 from cellflow.sources.requests import ALL_TIME, Cell, ColumnRequest, DataRequest, TimeRange, as_request
 
 Columns = Mapping[str, "str | ColumnRequest"]
@@ -49,6 +49,8 @@ def scan(
     if len(paged) > 1:
         raise ValueError(f"a scan can page one column, not {', '.join(paged)}")
     if paged:
+        if counters is not None or keep_missing:
+            raise ValueError("a scan with pages drops entities without counting them")
         return _scan_with_pages(table, requests, paged[0], time_range, universe)
 
     required = [f for f, r in requests.items() if r.default is None]
@@ -67,9 +69,8 @@ def scan(
     for field, request in requests.items():
         slot = F.col(field)
         if request.default is not None:
-            cell_type = joined.schema[field].dataType
-            slot = F.coalesce(slot, _default_slice(request, cell_type))
-        out.append(_narrow(slot, request).alias(field))
+            slot = F.coalesce(slot, _default_slice(request, joined.schema[field].dataType))
+        out.append(slot.alias(field))
     return joined.select(*table.entity, *out)
 
 
@@ -100,7 +101,7 @@ def scan_cells(table: CellTable, column: str | ColumnRequest, time_range: TimeRa
         rows = view.frame.select(*_entity(view), cells).select(*table.entity, "c.*")
     else:
         rows = _long_cells(view, request, time_range)
-    return rows.select(*table.entity, "qualifier", "version", _narrow_value(F.col("value"), request).alias("value"))
+    return rows.select(*table.entity, "qualifier", "version", "value")
 
 
 def scan_pages(
@@ -188,7 +189,9 @@ def _wide_slice(view: WideCells, request: ColumnRequest, time_range: TimeRange)
         if request.filter is not None:
             present = present & request.filter.condition(F.lit(name))
         cell = F.struct(
-            F.lit(name).alias("qualifier"), view.version.value.alias("version"), value.alias("value")
+            F.lit(name).alias("qualifier"),
+            view.version.value.alias("version"),
+            narrowed(value, request).alias("value"),
         )
         cells.append(F.when(present, cell))
     if len(cells) == 1:
@@ -214,7 +217,8 @@ def _newest_frame(view: LongCells, requests: Mapping[str, ColumnRequest], time_r
     for field, request in requests.items():
         mine = F.col("qualifier") == request.qualifier
         aggregates.append(F.max(F.when(mine, F.col("version"))).alias(f"{field} version"))
-        aggregates.append(F.max_by(F.when(mine, F.col("value")), F.when(mine, rank)).alias(f"{field} value"))
+        value = F.when(mine, narrowed(F.col("value"), request))
+        aggregates.append(F.max_by(value, F.when(mine, rank)).alias(f"{field} value"))
     newest = rows.groupBy(*view.entity).agg(*aggregates)
     slots = [
         F.when(
@@ -295,31 +299,14 @@ def _default_slice(request: ColumnRequest, slice_type: T.ArrayType) -> Column:
         return F.struct(
             F.lit(cell.qualifier or request.qualifier).alias("qualifier"),
             F.lit(cell.version).cast("bigint").alias("version"),
-            F.lit(cell.value).alias("value"),
+            literal_of(cell.value, value_type).alias("value"),
         )
 
+    value_type = slice_type.elementType["value"].dataType
     cells = sorted(request.default, key=lambda c: (c.qualifier or request.qualifier, -c.version))
     return F.array(*[literal(c) for c in cells]).cast(slice_type)
 
 
-def _narrow_value(value: Column, request: ColumnRequest) -> Column:
-    if request.fields is None:
-        return value
-    narrow = F.struct(*[value.getField(f).alias(f) for f in request.fields])
-    return F.when(value.isNotNull(), narrow)
-
-
-def _narrow(slot: Column, request: ColumnRequest) -> Column:
-    if request.fields is None:
-        return slot
-    return F.transform(
-        slot,
-        lambda c: F.struct(
-            c.qualifier.alias("qualifier"), c.version.alias("version"), _narrow_value(c.value, request).alias("value")
-        ),
-    )
-
-
 def _scan_with_pages(
     table: CellTable,
     requests: Mapping[str, ColumnRequest],

@@ -65,6 +65,12 @@ def test_entity_as_input(spark):  # X33
     assert scores(got) == ["CMPA1CMPB1", "CMPA2CMPB2"]
 
 
+def test_feature_named_like_the_entity(spark):
+    extractor = Extractor(["entity", "w"], RESULTS, lambda e, w: (F.concat(e, F.lit("!")), first_value(w)))
+    got = score_rows(table(spark, ONE_COLUMN), {"w": "family:column1"}, Scorer(ALL, F.concat), extractor)
+    assert sorted(tuple(r) for r in got.collect()) == [("row1", "row1!foo"), ("row2", "row2!bar")]
+
+
 VERSIONS = [(f"row{i}", "column1", v, f"{w}{v}") for i, w in ((1, "foo"), (2, "bar")) for v in (1, 2)]
 
 

@@ -4,9 +4,10 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from cellflow.functions import (
-    component, dot, entity_id, hashed_entity_id, list_value, map_value, record, scaled,
+    component, dot, entity_id, hashed_entity_id, list_value, literal_of, map_value, record, scaled,
 )
 from cellflow.operators import slices as S
 from cellflow.operators.folds import fold_rows
@@ -249,7 +250,6 @@ def test_conform(spark):  # X19-X21
     dtype = {f.name: f.dataType for f in rows.schema.fields}
 
     def to(column, ddl):
-        from pyspark.sql.types import DataType
         return conform(column, dtype[column], DataType.fromDDL(ddl), column)
 
     got = rows.select(to("r", "struct<d:double,s:string>").alias("r"), to("l", "array<struct<i:int>>").alias("l"),
@@ -295,3 +295,12 @@ def test_entity_joins(spark):  # X11
     with pytest.raises(Exception, match="DATATYPE_MISMATCH"):
         left.select(entity_id("k") == entity_id("v")).select("nope")
     assert left.select(record(a="k", b=F.lit(1)).alias("r")).first().r.asDict() == {"a": "0row", "b": 1}
+
+
+def test_typed_literals(spark):
+    t = DataType.fromDDL("struct<a:int,l:array<string>,m:map<string,bigint>,s:struct<x:double>>")
+    for v in ((1, ["p"], {"k": 2}, (3.5,)), {"a": 1, "l": ["p"], "m": {"k": 2}, "s": {"x": 3.5}}):
+        got = spark.range(1).select(literal_of(v, t).alias("v"))
+        assert got.schema["v"].dataType.simpleString() == t.simpleString()
+        assert got.first().v.asDict(True) == {"a": 1, "l": ["p"], "m": {"k": 2}, "s": {"x": 3.5}}
+    assert spark.range(1).select(literal_of((None, [], {}, None), t).alias("v")).first().v.asDict() == {"a": None, "l": [], "m": {}, "s": None}

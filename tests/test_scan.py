@@ -1,9 +1,11 @@
+import tempfile
+
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from cellflow.operators.slices import first_value, slice_size, values
-from cellflow.sources.cells import CellTable, MissingColumns, Version, WideCells
+from cellflow.sources.cells import CellTable, LongCells, MissingColumns, Version, WideCells
 from cellflow.sources.requests import (
     ALL_VERSIONS, And, Cell, ColumnRequest, DataRequest, Or, Range, Regex, TimeRange,
 )
@@ -54,6 +56,7 @@ def test_time_ranges(spark, time_range, expected):  # X41
 def test_bad_time_range():  # X41
     with pytest.raises(ValueError):
         TimeRange.between(10, 1)
+    assert TimeRange.at(2**63 - 1) == TimeRange(2**63 - 1, None)
 
 
 def test_missing_column_drops_row(spark):  # X4
@@ -189,6 +192,22 @@ def test_reader_fields(spark):  # X18, A11, A12
     assert full == 13 and narrow.select(first_value("r")).first()[0].asDict() == {"hash_size": 13}
     with pytest.raises(MissingColumns, match="no_such"):
         scan(table, {"r": ColumnRequest("family:r", fields=("no_such",))})
+    default = ColumnRequest("family:q", default=(Cell((5,)),), fields=("hash_size",))
+    more = cell_view(spark, "family", [("f", "q", 1, ("SHA", 1, True)), ("e", "r", 1, ("MD5", 13, True))],
+                     "struct<hash_type:string,hash_size:int,suppress:boolean>", ["r", "q"])
+    got = scan(cell_table(more), {"r": "family:r", "q": default}).select(first_value("q").hash_size).collect()
+    assert got == [(5,)]
+
+
+def test_reader_fields_prune_the_file(spark):
+    path = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/t"
+    rows = [("e", "r", 1, ("MD5", 13, True)), ("e", "r", 2, None)]
+    schema = "entity string, qualifier string, version bigint, value struct<hash_type:string,hash_size:int,suppress:boolean>"
+    spark.createDataFrame(rows, schema).write.parquet(path)
+    view = LongCells(spark.read.parquet(path), "f", {"entity": "entity"}, "qualifier", Version.number("version"), "value")
+    got = scan_cells(cell_table(view), ColumnRequest("f", max_versions=2, fields=("hash_size",)))
+    assert "value:struct<hash_size:int>>" in plan(got).split("ReadSchema")[1]
+    assert [r.value and r.value.hash_size for r in got.orderBy("version").collect()] == [13, None]
 
 
 def test_map_values_can_be_sliced(spark):
@@ -236,7 +255,6 @@ def test_data_request(spark):  # F5
 
 
 def test_plan_shapes(spark, sf):
-    from cellflow.sources.cells import LongCells
     events = spark.read.parquet(f"{sf}/events.parquet")
     view = LongCells(events, "activity", {"entity": "user_id"}, "event_type", Version.micros_of("ts"), "value")
     table = cell_table(view)
