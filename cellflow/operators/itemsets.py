@@ -136,7 +136,10 @@ def frequent_item_sets(
     The normaliser is ``constant``, the only value of a one-row ``normalizer``, or else the number of
     baskets. An item that is not itself above the
     threshold cannot be in a kept set; such items go before any subset is formed, so a basket holds
-    at most the frequent items when it is gathered.
+    at most the frequent items when it is gathered. There are at most the mean number of items of a
+    basket divided by the threshold of those, however much data there is.
+
+    The rows are read and exchanged once: counts, supports and baskets all start from that exchange.
     """
     if threshold < 0:
         raise ValueError("the threshold must not be negative")
@@ -150,8 +153,9 @@ def frequent_item_sets(
         total = counted.select(*basket).distinct().agg(F.count(F.lit(1)).cast("double")).scalar()
     supports = counted.groupBy(item).agg(F.count(F.lit(1)).alias("_rows"))
     frequent = supports.where(F.try_divide(F.col("_rows").cast("double"), total) > threshold)
-    kept = skewed_join(counted, frequent.select(item), [item], "left_semi", counts=supports)
-    sets = item_sets(gather_baskets(kept, basket, item, "_basket"), "_basket", out, min_size, max_size, joined=False)
+    kept = skewed_join(counted, frequent, [item], "left_semi", counts=supports, right_knows="_rows")
+    baskets = gather_baskets(kept, basket, item, "_basket")
+    sets = item_sets(baskets, "_basket", out, min_size, max_size, joined=False, split_above=None)
     counts = sets.groupBy(out).agg(F.count(F.lit(1)).alias(FREQUENCY))
     kept = counts.withColumn(support, F.try_divide(F.col(FREQUENCY).cast("double"), total))
     kept = kept.where(F.col(support) > threshold)

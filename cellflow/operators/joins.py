@@ -23,10 +23,17 @@ def key_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def heavy_keys(counts: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Heavy keys, and in ``_parts`` how many tasks their rows should be spread over."""
+    limit = _task_limit(counts, rows_per_task)
+    return counts.where(F.col("_rows") > limit).select(*keys, _parts(F.col("_rows"), limit).alias("_parts"))
+
+
+def _task_limit(counts: DataFrame, rows_per_task: int) -> Column:
     total = counts.agg(F.sum("_rows")).scalar()
-    limit = F.greatest(F.lit(float(rows_per_task)), total / F.lit(float(MOST_HEAVY)))
-    parts = F.ceil(F.col("_rows") / limit).cast("int")
-    return counts.where(F.col("_rows") > limit).select(*keys, parts.alias("_parts"))
+    return F.greatest(F.lit(float(rows_per_task)), total / F.lit(float(MOST_HEAVY)))
+
+
+def _parts(rows: Column, limit: Column) -> Column:
+    return F.when(rows > limit, F.ceil(rows / limit)).otherwise(F.lit(1)).cast("int")
 
 
 def _hashable(dtype: T.DataType) -> bool:
@@ -59,6 +66,7 @@ def skewed_join(
     how: str = "inner",
     counts: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    right_knows: str | None = None,
 ) -> DataFrame:
     """Join with a side that has few rows per key while ``left`` may have very many.
 
@@ -68,7 +76,8 @@ def skewed_join(
     it turns out small. ``how`` is inner, left, left_semi or left_anti; NULL keys match.
 
     Counting reads ``left`` once more, with the key columns only: pass ``counts`` (keys and
-    ``_rows``) when they are known.
+    ``_rows``) when they are known, and in ``right_knows`` the column of ``right`` that holds the
+    number of left rows of its key, if there is one.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skewed_join cannot do a {how} join")
@@ -80,9 +89,13 @@ def skewed_join(
     part = F.when(F.col("_parts").isNotNull(), F.pmod(row_hash(left), F.col("_parts"))).otherwise(F.lit(0))
     spread = left.join(F.broadcast(marks), same, "left").select(*left.columns, part.cast("int").alias("_part"))
 
-    marks, same = _match(right, heavy, keys, "_h_")
+    if right_knows is None:
+        marks, same = _match(right, heavy, keys, "_h_")
+        marked = right.join(F.broadcast(marks), same, "left")
+    else:
+        marked = right.withColumn("_parts", _parts(F.col(right_knows), _task_limit(counts, rows_per_task)))
     every_part = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
-    copies = right.join(F.broadcast(marks), same, "left").select(*right.columns, F.explode(every_part).alias("_part"))
+    copies = marked.select(*right.columns, F.explode(every_part).alias("_part"))
     copies, same = _match(spread, copies, [*keys, "_part"], "_r_")
     joined = spread.join(copies, same, how)
     if how in ("left_semi", "left_anti"):
@@ -98,7 +111,8 @@ def join_with_group_count(rows: DataFrame, keys: Sequence[str], out: str) -> Dat
     """
     keys = list(keys)
     counts = key_counts(rows, keys)
-    return skewed_join(rows, counts, keys, counts=counts).withColumnRenamed("_rows", out)
+    joined = skewed_join(rows, counts, keys, counts=counts, right_knows="_rows")
+    return joined.withColumnRenamed("_rows", out)
 
 
 def join_with_count(rows: DataFrame, out: str) -> DataFrame:

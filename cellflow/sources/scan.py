@@ -236,6 +236,25 @@ def _newest_frame(view: LongCells, requests: Mapping[str, ColumnRequest], time_r
     return newest.select(*view.entity, *slots)
 
 
+def _several_frame(
+    view: LongCells, requests: Mapping[str, ColumnRequest], max_versions: int | None, time_range: TimeRange
+) -> DataFrame:
+    """Several single columns of one family with the same number of versions: one scan for all."""
+    rows = view.rows(ColumnRequest(view.family), time_range)
+    rows = rows.where(F.col("qualifier").isin(sorted({r.qualifier for r in requests.values()})))
+    order = None if view.write_order is None else "_order"
+    cells = latest_versions(rows, [*view.entity, "qualifier"], max_versions, order)
+    cells = cells.withColumn("newest_first", F.bitwise_not("version"))
+    # collect_list leaves out the NULLs of the other columns' cells.
+    lists = []
+    for field, request in requests.items():
+        cell = F.struct("qualifier", "newest_first", narrowed(F.col("value"), request).alias("value"))
+        lists.append(F.collect_list(F.when(F.col("qualifier") == request.qualifier, cell)).alias(field))
+    gathered = cells.groupBy(*view.entity).agg(*lists)
+    slots = [F.when(F.size(f) > 0, _canonical(gathered, f)).alias(f) for f in requests]
+    return gathered.select(*view.entity, *slots)
+
+
 def _slice_frame(view: LongCells, field: str, request: ColumnRequest, time_range: TimeRange) -> DataFrame:
     cells = _long_cells(view, request, time_range)
     gathered = cells.groupBy(*view.entity).agg(F.collect_list(_sortable()).alias(field))
@@ -254,12 +273,21 @@ def _frames(
         if isinstance(view, WideCells):
             frames.append((list(mine), _wide_frame(view, mine, time_range)))
             continue
-        singles = {f: r for f, r in mine.items() if r.qualifier is not None and r.max_versions == 1}
-        if singles:
-            frames.append((list(singles), _newest_frame(view, singles, time_range)))
+        by_limit: dict[int | None, dict[str, ColumnRequest]] = {}
         for field, request in mine.items():
-            if field not in singles:
+            if request.qualifier is None:
                 frames.append(([field], _slice_frame(view, field, request, time_range)))
+            else:
+                by_limit.setdefault(request.max_versions, {})[field] = request
+        for limit, singles in by_limit.items():
+            if limit == 1:
+                frame = _newest_frame(view, singles, time_range)
+            elif len(singles) > 1:
+                frame = _several_frame(view, singles, limit, time_range)
+            else:
+                ((field, request),) = singles.items()
+                frame = _slice_frame(view, field, request, time_range)
+            frames.append((list(singles), frame))
     return frames
 
 

@@ -127,6 +127,11 @@ def test_skewed_join_equals_plain_join(spark, how):
     r = right.withColumnRenamed("k", "rk")
     want = left.join(r, left.k.eqNullSafe(r.rk), how).drop("rk")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    counts = key_counts(left, ["k"])
+    known = right.join(counts.withColumnRenamed("k", "c"), F.col("k").eqNullSafe(F.col("c"))).drop("c")
+    if how in ("inner", "left_semi"):
+        told = skewed_join(left, known, ["k"], how, counts, 100, right_knows="_rows").select(got.columns)
+        assert sorted(map(str, told.collect())) == sorted(map(str, want.collect()))
     plain = skewed_join(left, right, ["k"], how)  # no heavy key
     assert sorted(map(str, plain.collect())) == sorted(map(str, want.collect()))
 

@@ -121,6 +121,18 @@ def test_rewritten_cell_keeps_last_write(spark):
         assert [c[1:] for c in got["e"]] == expected
 
 
+def test_several_columns_with_versions(spark):
+    rows = [(e, q, v, f"{e}{q}{v}", v) for e in "xyz" for q in ("a", "b", "c") for v in (1, 2, 3) if (e, q) != ("y", "b")]
+    table = cell_table(cell_view(spark, "m", rows, ordered=True))
+    for n in (2, ALL_VERSIONS):
+        columns = {q: ColumnRequest(f"m:{q}", max_versions=n) for q in ("a", "b")}
+        got = slices(scan(table, columns), "a", "b")
+        assert sorted(got) == ["x", "z"]
+        assert got["x"][1] == [("b", v, f"xb{v}") for v in (3, 2, 1)][: n or 3]
+        columns["b"] = columns["b"].replace_missing_with("none")
+        assert slices(scan(table, columns), "b")["y"] == [("b", 2**63 - 1, "none")]
+
+
 def test_filters(spark):  # F1-F4, X42
     rows = [("e", q, 1, q) for q in ("apple", "apricot", "banana", "cherry", "ap")]
     table = cell_table(cell_view(spark, "m", rows))
@@ -266,6 +278,8 @@ def test_plan_shapes(spark, sf):
     assert three.count("WindowGroupLimit") == 2 and three.count("Exchange") == 1
     pair = plan(scan(table, {"a": "activity:click", "b": "activity:view"}))
     assert pair.count("Exchange") == 1 and "Join" not in pair
+    several = plan(scan(table, {q: ColumnRequest(f"activity:{q}", max_versions=3) for q in ("click", "view")}))
+    assert several.count("FileScan") == 1 and several.count("Exchange") == 2 and "Join" not in several
     single = plan(scan(table, {"a": ColumnRequest("activity:click", max_versions=3)}))
     assert single.count("Exchange") == 1 and "EqualTo(event_type,click)" in single
     prefix = plan(scan_cells(table, ColumnRequest("activity", filter=Regex("cl.*"))))
