@@ -20,6 +20,8 @@ def session(master: str = "local[8]", partitions: int = 8, memory: str = "8g") -
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Recording a call site for every Column costs more than building the plan does.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
