@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from cellflow.functions import first_token
 from cellflow.operators.slices import first_value, slice_size, values
 from cellflow.sources.cells import CellTable, LongCells, MissingColumns, Version, WideCells
 from cellflow.sources.requests import (
@@ -284,3 +285,11 @@ def test_plan_shapes(spark, sf):
     assert single.count("Exchange") == 1 and "EqualTo(event_type,click)" in single
     prefix = plan(scan_cells(table, ColumnRequest("activity", filter=Regex("cl.*"))))
     assert "StringStartsWith(event_type,cl)" in prefix
+
+
+def test_join_on_a_derived_key(spark):  # X10
+    rows = [(f"{i}row", "0column", 0, v) for i, v in enumerate(["0 dogs", "1 cat", "2 fish"])]
+    animals = scan(cell_table(cell_view(spark, "animals", rows)), {"a": "animals:0column"})
+    keyed = animals.select(F.concat(first_token(first_value("a")), F.lit("row")).alias("key"), first_value("a").alias("v"))
+    side = spark.createDataFrame([("0row",), ("2row",)], "line string")
+    assert {r.v for r in keyed.join(side, keyed.key == side.line).collect()} == {"0 dogs", "2 fish"}

@@ -1,4 +1,5 @@
 import os
+import random
 import tempfile
 
 import pytest
@@ -10,7 +11,8 @@ from cellflow.sources.cell_log import CellColumns, CellLog, ColumnLayout, Column
 from cellflow.sources.files import (
     ParquetFile, SequencePairs, TextFile, TsvFile, text_lines, write_sequence_file, write_text, write_tsv,
 )
-from cellflow.sources.requests import ALL_VERSIONS, ColumnRequest
+from cellflow.sources.cells import CellTable, WideCells
+from cellflow.sources.requests import ALL_VERSIONS, ColumnRequest, TimeRange
 from cellflow.sources.scan import scan, scan_cells
 from cellflow.sources.side_data import (
     contains_key, delimited_text, key_values, lookup, records, table_column,
@@ -196,3 +198,31 @@ def test_lookup_rules(spark, small):
         lookup(rows.withColumn("k", F.lit(None).cast("int")), side, "k", "v", small=small).collect()
     got = contains_key(rows.distinct(), side, "k", "has", small=small).collect()
     assert {tuple(r) for r in got} == {(1, True), (2, True), (3, False)}
+
+
+def test_lookup_by_composite_id_without_broadcast(spark):
+    frame = spark.createDataFrame([("a", 1, "x"), ("a", None, "y"), ("b", 2, "z")], "k string, n int, v string")
+    wide = CellTable(["k", "n"], [WideCells(frame, "f", {"k": "k", "n": "n"}, {"v": "v"})])
+    rows = frame.select("k", "n", F.struct("k", "n").alias("eid"))
+    got = lookup(rows, table_column(wide, "f:v"), "eid", "found", small=False)
+    assert {(r.k, r.n, r.found) for r in got.collect()} == {("a", 1, "x"), ("a", None, "y"), ("b", 2, "z")}
+
+
+def test_random_writes_against_a_dictionary(spark, path):
+    rng = random.Random(23)
+    log = CellLog(spark, path, {"entity": "string"}, {"m": "int", "g:a": "int", "g:b": "int"}).create()
+    cells = {}
+    for batch in range(3):
+        rows = [(f"e{rng.randrange(4)}", f"q{rng.randrange(3)}", rng.randrange(6), rng.randrange(1000), i) for i in range(60)]
+        frame = spark.createDataFrame(rows, "entity string, q string, ts int, v int, o bigint").repartition(3)
+        log.write(frame, {"v": ColumnOutput("m", "q")}, version="ts", order_by="o", batch=batch)
+        for e, q, t, v, _ in rows:
+            cells[e, q, t] = v
+    for n, time_range in ((1, TimeRange()), (2, TimeRange()), (None, TimeRange()), (2, TimeRange.between(1, 5)), (1, TimeRange.before(3))):
+        want = {}
+        for (e, q, t), v in cells.items():
+            if (time_range.begin or 0) <= t < (time_range.end or 99):
+                want.setdefault((e, q), []).append((t, v))
+        want = {(e, q, t, v) for (e, q), c in want.items() for t, v in sorted(c, reverse=True)[:n]}
+        got = scan_cells(log.table(), ColumnRequest("m", max_versions=n), time_range)
+        assert {tuple(r) for r in got.select("entity", "qualifier", "version", "value").collect()} == want
