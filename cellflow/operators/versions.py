@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Spark cuts every group to N rows before the exchange only up to this many rows
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT_ROWS = 1000
-SPREAD = 64
+# Spark cuts every group to N rows in each task before the exchange. That is enough for a hot group
+# while N is small; it is not done beyond this setting, and for a large N the rows left of a hot group
+# add up over many tasks.
+GROUP_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
+SMALL_LIMIT = 100
+SPREAD = 1024
 
 
 def newest(value: str | Column, version: str | Column = "version") -> Column:
@@ -50,8 +52,8 @@ def latest_versions(
     cells = cells.select(*keys, "version", "value")
     if max_versions is None:
         return cells
-    if max_versions > GROUP_LIMIT_ROWS:
-        # No limit before the exchange for a large N: cut hot groups in slices first.
+    if max_versions > min(SMALL_LIMIT, int(rows.sparkSession.conf.get(GROUP_LIMIT_SETTING))):
+        # Cut hot groups in parts first.
         spread = F.pmod(F.xxhash64("version"), F.lit(SPREAD))
         cells = _limit(cells.withColumn("_spread", spread), [*keys, "_spread"], max_versions).drop("_spread")
     return _limit(cells, keys, max_versions)

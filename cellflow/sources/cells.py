@@ -83,15 +83,10 @@ class LongCells:
     def rows(self, request: ColumnRequest, time_range: TimeRange = ALL_TIME) -> DataFrame:
         """Stored rows of one request, before versions are resolved."""
         qualifier = as_column(self.qualifier)
-        conditions = [self.version.within(time_range)]
-        if request.qualifier is not None:
-            conditions.append(qualifier == request.qualifier)
-        if request.filter is not None:
-            conditions.append(request.filter.condition(qualifier))
-        frame = self.frame
-        for condition in conditions:
-            if condition is not None:
-                frame = frame.where(condition)
+        frame = self.frame.where(request.wants(qualifier))
+        in_time = self.version.within(time_range)
+        if in_time is not None:
+            frame = frame.where(in_time)
         extra = [] if self.write_order is None else [as_column(self.write_order).alias("_order")]
         return frame.select(
             *[as_column(c).alias(n) for n, c in self.entity.items()],

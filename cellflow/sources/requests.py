@@ -152,8 +152,6 @@ class ColumnRequest:
             raise ValueError(f"{self.name}: max_versions must be positive or ALL_VERSIONS")
         if self.page_size is not None and self.page_size < 1:
             raise ValueError(f"{self.name}: page_size must be positive")
-        if self.filter is not None and qualifier:
-            raise ValueError(f"{self.name}: a qualifier filter needs a family request")
         if self.default is not None:
             object.__setattr__(self, "default", tuple(self.default))
             if not qualifier and any(c.qualifier is None for c in self.default):
@@ -175,6 +173,12 @@ class ColumnRequest:
     def qualifier(self) -> str | None:
         return self.name.partition(":")[2] or None
 
+    def wants(self, qualifier: Column) -> Column:
+        """Whether a cell with this qualifier is asked for."""
+        parts = [] if self.qualifier is None else [qualifier == self.qualifier]
+        parts += [] if self.filter is None else [self.filter.condition(qualifier)]
+        return reduce(lambda a, b: a & b, parts, F.lit(True))
+
     def replace_missing_with(self, *values: Any) -> ColumnRequest:
         """Default values without versions; for a family give ``(qualifier, value)`` pairs."""
         return self._with_default(

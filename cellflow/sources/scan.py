@@ -113,15 +113,15 @@ def scan_pages(
     ranged on their whole address, so the pages of a hot entity are built by many tasks.
     """
     request = as_request(column)
-    size = page_size or request.page_size
-    if size is None:
-        raise ValueError(f"{request.name}: no page size given")
+    size = request.page_size if page_size is None else page_size
+    if size is None or size < 1:
+        raise ValueError(f"{request.name}: a page size of at least 1 is needed")
     cells = scan_cells(table, request, time_range)
     address = [*[F.col(e) for e in table.entity], F.col("qualifier"), F.col("version").desc()]
     ranged = cells.repartitionByRange(*address).sortWithinPartitions(*address)
     # The id rises along the global order; a block of it holds at most `size` rows of an entity.
     ranged = ranged.withColumn("_at", F.monotonically_increasing_id())
-    ranged = ranged.withColumn("page", F.floor(F.col("_at") / size))
+    ranged = ranged.withColumn("page", F.expr(f"_at div {int(size)}"))
     pages = ranged.groupBy(*table.entity, "page").agg(F.collect_list(_sortable()).alias("_cells"))
     return pages.select(*table.entity, "page", _canonical(pages, "_cells").alias("cells"))
 
@@ -215,7 +215,7 @@ def _newest_frame(view: LongCells, requests: Mapping[str, ColumnRequest], time_r
     rank = F.col("version") if view.write_order is None else F.struct("version", "_order")
     aggregates = []
     for field, request in requests.items():
-        mine = F.col("qualifier") == request.qualifier
+        mine = request.wants(F.col("qualifier"))
         aggregates.append(F.max(F.when(mine, F.col("version"))).alias(f"{field} version"))
         value = F.when(mine, narrowed(F.col("value"), request))
         aggregates.append(F.max_by(value, F.when(mine, rank)).alias(f"{field} value"))
@@ -249,7 +249,7 @@ def _several_frame(
     lists = []
     for field, request in requests.items():
         cell = F.struct("qualifier", "newest_first", narrowed(F.col("value"), request).alias("value"))
-        lists.append(F.collect_list(F.when(F.col("qualifier") == request.qualifier, cell)).alias(field))
+        lists.append(F.collect_list(F.when(request.wants(F.col("qualifier")), cell)).alias(field))
     gathered = cells.groupBy(*view.entity).agg(*lists)
     slots = [F.when(F.size(f) > 0, _canonical(gathered, f)).alias(f) for f in requests]
     return gathered.select(*view.entity, *slots)

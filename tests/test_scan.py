@@ -151,6 +151,10 @@ def test_filters(spark):  # F1-F4, X42
     assert names(Range(high="apple")) == {"ap"}
     assert names(And([Regex("a.*"), Range(low="apq")])) == {"apricot"}
     assert names(Or([Regex("b.*"), Range(low="c")]) & Regex(".*y")) == {"cherry"}
+    for n in (1, 2):  # a filter may also stand beside a single column
+        kept, gone = (ColumnRequest(f"m:{q}", max_versions=n, filter=Regex("a.*")) for q in ("apple", "banana"))
+        assert scan(table, {"k": kept}).count() == 1 and scan(table, {"k": kept, "g": gone}).count() == 0
+        assert scan(table, {"k": kept, "g": gone.replace_missing_with("-")}).count() == 1
 
 
 def test_pages_give_the_slice(spark):  # X13
