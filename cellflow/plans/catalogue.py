@@ -400,6 +400,20 @@ def scalar_functions(spark, folder):
     )
 
 
+@query
+def nested_values(spark, folder):
+    """Record field, map value and list element; a missing key or index would fail."""
+    p = read(spark, folder, "part")
+    nested = p.select(
+        "p_partkey", C.record(name="p_name", size="p_size").alias("r"),
+        F.create_map(F.lit("brand"), "p_brand", F.lit("type"), "p_type").alias("m"), C.words("p_name").alias("l"),
+    )
+    return nested.select(
+        "p_partkey", F.col("r.name").alias("name"), F.col("r.size").alias("size"),
+        C.map_value("m", "brand").alias("brand"), C.list_value("l", 0).alias("head"),
+    )
+
+
 @query
 def group_sizes(spark, folder):
     return read(spark, folder, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(

@@ -187,6 +187,8 @@ SELECT p_partkey, lower(p_brand) AS low, upper(p_name) AS up, trim('  ' || p_typ
 CAST(length(p_name) AS BIGINT) AS len, string_split_regex(p_name, '\s+')[1] AS token,
 CAST(string_split(p_brand, '#')[2] AS BIGINT) AS brand_number, CAST(p_size AS VARCHAR) AS size_text,
 p_brand || ',' || p_type AS joined FROM part""",
+    "nested_values": r"""
+SELECT p_partkey, p_name AS name, p_size AS size, p_brand AS brand, string_split_regex(p_name, '\s+')[1] AS head FROM part""",
     "group_sizes": """
 SELECT l_returnflag, l_linestatus, count(*) AS size, count(l_shipdate) AS n, sum(l_quantity) AS reduced
 FROM lineitem GROUP BY l_returnflag, l_linestatus""",
