@@ -101,6 +101,17 @@ def literal_of(value: Any, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype)
 
 
+def orderable(dtype: T.DataType) -> bool:
+    """Whether Spark can sort values of this type: anything without a map in it."""
+    if isinstance(dtype, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(dtype, T.ArrayType):
+        return orderable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(orderable(f.dataType) for f in dtype.fields)
+    return True
+
+
 def random_entity_id() -> Column:
     """A fresh id per imported row (C11). Not repeatable: write it before it is used twice."""
     return F.expr("uuid()")

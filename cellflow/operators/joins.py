@@ -8,7 +8,8 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from cellflow.functions import orderable
 
 # A key is heavy when it has more rows than one task should join: ROWS_PER_TASK, or 1/MOST_HEAVY of all
 # rows if that is more. So there are fewer than MOST_HEAVY heavy keys whatever the data, which is the
@@ -36,20 +37,10 @@ def _parts(rows: Column, limit: Column) -> Column:
     return F.when(rows > limit, F.ceil(rows / limit)).otherwise(F.lit(1)).cast("int")
 
 
-def _hashable(dtype: T.DataType) -> bool:
-    if isinstance(dtype, (T.MapType, T.VariantType)):
-        return False
-    if isinstance(dtype, T.ArrayType):
-        return _hashable(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return all(_hashable(f.dataType) for f in dtype.fields)
-    return True
-
-
 def row_hash(rows: DataFrame) -> Column:
     """A number that a re-run task gives again: it depends on the row and on the partition, not on
     chance. The partition id spreads rows that are equal in every column."""
-    columns = [f.name for f in rows.schema.fields if _hashable(f.dataType)]
+    columns = [f.name for f in rows.schema.fields if orderable(f.dataType)]  # neither sorts nor hashes maps
     return F.xxhash64(*[F.col(f"`{c}`") for c in columns]) + F.spark_partition_id()
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellflow.functions import as_column
+from cellflow.functions import as_column, orderable
 from cellflow.operators.nested import SchemaMismatch, conform
 from cellflow.sources.cells import CellTable, LongCells, Version
 from cellflow.sources.requests import ALL_TIME, ColumnRequest, DataRequest, TimeRange
@@ -102,7 +102,7 @@ class CellLog:
 
         All cells of a row get the same version: the given one, else the current time in
         milliseconds. Two rows for one cell in one write need ``order_by`` (a BIGINT) to say which is
-        the later one. ``batch`` ranks writes; by default the clock does.
+        the later one; without it the greater value counts, so that every read agrees. ``batch`` ranks writes; by default the clock does.
         """
         targets = {f: o if isinstance(o, ColumnOutput) else ColumnOutput(o) for f, o in outputs.items()}
         if version is None:
@@ -178,41 +178,47 @@ class CellLog:
 
     def table(self) -> CellTable:
         cells = self.spark.read.schema(self._schema()).parquet(f"{self.path}/cells")
-        order = F.struct("batch", "seq")
         entity = {e: e for e in self.entity}
         groups: dict[tuple[str, str], list[str]] = {}
         views = []
         for name, layout in self.columns.items():
             family, _, qualifier = name.partition(":")
             if layout.type is None:
-                views += self._own_views(name, family, qualifier, entity, order)
+                views += self._own_views(name, family, qualifier, entity)
             elif qualifier:
                 groups.setdefault((family, self._slot(layout)), []).append(qualifier)
             else:
                 mine = cells.where(F.col("column") == name)
                 slot = self._slot(layout)
+                order = _write_order(slot, layout.data_type)
                 views.append(LongCells(mine, family, entity, "qualifier", Version.number("version"), slot, order))
         for (family, slot), qualifiers in groups.items():
             mine = cells.where(F.col("column").isin([f"{family}:{q}" for q in qualifiers]))
             # Taken from the partition value, so that a filter on it prunes partitions.
             from_partition = F.substring("column", len(family) + 2, 1 << 30)
+            order = _write_order(slot, mine.schema[slot].dataType)
             views.append(
                 LongCells(mine, family, entity, from_partition, Version.number("version"), slot, order, qualifiers)
             )
         return CellTable(list(self.entity), views)
 
-    def _own_views(self, name, family, qualifier, entity, order) -> list[LongCells]:
+    def _own_views(self, name, family, qualifier, entity) -> list[LongCells]:
         try:
             own = self.spark.read.option("mergeSchema", "true").parquet(self._own_path(name))
         except AnalysisException:  # never written
             return []
         qualifiers = [qualifier] if qualifier else None
+        order = _write_order("value", own.schema["value"].dataType)
         return [LongCells(own, family, entity, "qualifier", Version.number("version"), "value", order, qualifiers)]
 
     def scan(self, columns: Mapping[str, str | ColumnRequest] | DataRequest, time_range: TimeRange = ALL_TIME) -> DataFrame:
         return scan(self.table(), columns, time_range)
 
 
+def _write_order(value: str, dtype: T.DataType) -> Column:
+    return F.struct("batch", "seq", value) if orderable(dtype) else F.struct("batch", "seq")
+
+
 @dataclass(frozen=True, eq=False)
 class CellColumns:
     """Columns of a cell log as a named input or output of a phase."""

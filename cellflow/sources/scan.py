@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellflow.functions import as_column, literal_of
+from cellflow.functions import as_column, literal_of, orderable
 from cellflow.operators.versions import latest_versions
 from cellflow.sources.cells import CellTable, LongCells, WideCells, narrowed
 from cellflow.sources.requests import ALL_TIME, Cell, ColumnRequest, DataRequest, TimeRange, as_request
@@ -152,7 +152,7 @@ def _sortable() -> Column:
 def _canonical(frame: DataFrame, column: str) -> Column:
     """Cells ordered by qualifier, newest version first (O1)."""
     value_type = frame.schema[column].dataType.elementType["value"].dataType
-    if _orderable(value_type):
+    if orderable(value_type):
         ordered = F.sort_array(column)
     else:
         ordered = F.array_sort(
@@ -169,16 +169,6 @@ def _canonical(frame: DataFrame, column: str) -> Column:
     )
 
 
-def _orderable(dtype: T.DataType) -> bool:
-    if isinstance(dtype, (T.MapType, T.VariantType)):
-        return False
-    if isinstance(dtype, T.ArrayType):
-        return _orderable(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return all(_orderable(f.dataType) for f in dtype.fields)
-    return True
-
-
 def _wide_slice(view: WideCells, request: ColumnRequest, time_range: TimeRange) -> Column:
     names = [request.qualifier] if request.qualifier is not None else sorted(view.columns)
     inside = view.version.within(time_range)

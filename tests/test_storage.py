@@ -63,6 +63,14 @@ def test_upsert_and_several_columns(spark, log):
     assert {r.entity: r.n for r in got.select("entity", first_value("n").alias("n")).collect()} == {"a": 1, "b": 6}
 
 
+def test_same_cell_twice_in_a_write(spark, log):
+    rows = spark.createDataFrame([("a", f"w{i}") for i in range(9)], "entity string, w string").repartition(4)
+    log.write(rows, {"w": "family:column1"}, version=F.lit(1))
+    for n in (1, 2, None):
+        got = slices(log.scan({"w": ColumnRequest("family:column1", max_versions=n)}), "w")
+        assert got == {"a": [("column1", 1, "w8")]}
+
+
 def test_read_prunes_partitions_and_values(spark, log):
     rows = spark.createDataFrame([("a", "x", 1)], "entity string, w string, n int")
     log.write(rows, {"w": "family:column1", "n": "family:size"}, version=F.lit(1))
