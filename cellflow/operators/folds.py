@@ -57,7 +57,8 @@ def fold_rows(
     # Without a partition count the exchange is sized by the bytes of the states when it runs.
     states = states.repartition(F.xxhash64("state") + F.spark_partition_id()).mapInPandas(merge_states, "state binary")
     schema = T.StructType([T.StructField(result, _type(result_type))])
-    return states.coalesce(1).mapInPandas(finish_states, schema)
+    # Not coalesce: that would pull the parallel merge into the last task.
+    return states.repartition(1).mapInPandas(finish_states, schema)
 
 
 def _type(t: str | T.DataType) -> T.DataType:

@@ -715,7 +715,10 @@ def prepare_train_score(spark, folder):
     orders = read(spark, folder, "orders").select("o_custkey", "o_totalprice")
     model = Model(
         prepare, train,
-        Extractor(["total", "mean"], ["ratio"], lambda t, m: [S.first_value(t) / m], [SideLookup("mean", F.lit(-1).cast("bigint"), "mean")]),
+        Extractor(
+            ["total", "mean"], ["ratio"], lambda t, m: [S.first_value(t) / m],
+            [SideLookup("mean", F.lit(-1).cast("bigint"), "mean")],
+        ),
         Scorer("ratio", lambda r: r),
     )
     environment = Environment(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import zlib
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -65,7 +66,8 @@ class CellLog:
         self.entity = {n: T.DataType.fromDDL(t) for n, t in entity.items()}
         self.columns = {n: c if isinstance(c, ColumnLayout) else ColumnLayout(c) for n, c in columns.items()}
         types = {c.data_type.simpleString(): c.data_type for c in self.columns.values() if c.type is not None}
-        self._slots = {name: (f"v{i}", types[name]) for i, name in enumerate(sorted(types))}
+        # Named after the type alone: a column added to the layout later leaves stored data readable.
+        self._slots = {name: (_slot_name(name), types[name]) for name in sorted(types)}
 
     # --- layout ---
 
@@ -102,7 +104,8 @@ class CellLog:
 
         All cells of a row get the same version: the given one, else the current time in
         milliseconds. Two rows for one cell in one write need ``order_by`` (a BIGINT) to say which is
-        the later one; without it the greater value counts, so that every read agrees. ``batch`` ranks writes; by default the clock does.
+        the later one; without it the greater value counts, so that every read agrees. ``batch``
+        ranks writes; by default the clock does.
         """
         targets = {f: o if isinstance(o, ColumnOutput) else ColumnOutput(o) for f, o in outputs.items()}
         if version is None:
@@ -215,6 +218,10 @@ class CellLog:
         return scan(self.table(), columns, time_range)
 
 
+def _slot_name(type_name: str) -> str:
+    return f"value_{type_name}" if type_name.isalnum() else f"value_{zlib.crc32(type_name.encode()):08x}"
+
+
 def _write_order(value: str, dtype: T.DataType) -> Column:
     return F.struct("batch", "seq", value) if orderable(dtype) else F.struct("batch", "seq")
 

@@ -13,7 +13,7 @@ from cellflow.sources.files import (
 )
 from cellflow.sources.cells import CellTable, WideCells
 from cellflow.sources.requests import ALL_VERSIONS, ColumnRequest, TimeRange
-from cellflow.sources.scan import scan, scan_cells
+from cellflow.sources.scan import scan_cells
 from cellflow.sources.side_data import (
     contains_key, delimited_text, key_values, lookup, records, table_column,
 )
@@ -76,7 +76,16 @@ def test_read_prunes_partitions_and_values(spark, log):
     log.write(rows, {"w": "family:column1", "n": "family:size"}, version=F.lit(1))
     text = plan(scan_cells(log.table(), "family:size"))
     assert "PartitionFilters: [" in text and "column1" not in text.split("PartitionFilters")[1].split("]")[0]
-    assert "ReadSchema: struct<entity:string,version:bigint,batch:bigint,seq:bigint,v0:int>" in text
+    assert "ReadSchema: struct<entity:string,version:bigint,batch:bigint,seq:bigint,value_int:int>" in text
+
+
+def test_layout_can_grow(spark, log, path):
+    log.write(spark.createDataFrame([("a", "x", 3)], "entity string, w string, n int"), {"w": "family:column1", "n": "family:size"})
+    grown = CellLog(spark, path, {"entity": "string"}, {**LAYOUT, "family:flag": "boolean", "family:nested": "array<int>"})
+    grown.write(spark.createDataFrame([("a", True, [1])], "entity string, f boolean, l array<int>"), {"f": "family:flag", "l": "family:nested"})
+    fields = {"w": "family:column1", "n": "family:size", "f": "family:flag", "l": "family:nested"}
+    got = grown.scan(fields).select(*[first_value(f).alias(f) for f in fields]).collect()
+    assert [tuple(r) for r in got] == [("x", 3, True, [1])]
 
 
 def test_one_job_writes_all_declared_columns(spark, log, path):
@@ -199,7 +208,8 @@ def test_lookup_rules(spark, small):
     rows = spark.createDataFrame([(1,)] * 30 + [(2,), (3,)], "k int")
     got = lookup(rows, side, "k", "v", on_missing="null", small=small)
     assert got.columns == ["k", "v"]
-    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, [(1, "one")] * 30 + [(2, None), (3, None)]))
+    want = [(1, "one")] * 30 + [(2, None), (3, None)]
+    assert sorted(str(tuple(r)) for r in got.collect()) == sorted(map(str, want))
     with pytest.raises(Exception, match="side data has no key"):
         lookup(rows, side, "k", "v", small=small).collect()
     with pytest.raises(Exception, match="key is null"):
