@@ -25,6 +25,7 @@ def scan(
     universe: DataFrame | None = None,
     counters: Observation | None = None,
     keep_missing: bool = False,
+    max_cells: int | None = None,
 ) -> DataFrame:
     """One row per entity with one slice per field.
 
@@ -34,7 +35,8 @@ def scan(
     at least one requested cell. ``counters`` observes ``rows_read`` and ``rows_skipped`` (A10).
 
     A slice is one value of one row, so use it for bounded slices. For whole histories aggregate
-    ``scan_cells`` instead, or ask for pages.
+    ``scan_cells`` instead, or ask for pages. With ``max_cells`` the cells per entity are counted
+    first, and the scan fails before it gathers a slice larger than that.
     """
     if isinstance(columns, DataRequest):
         columns, time_range = columns.columns, columns.time_range
@@ -55,7 +57,7 @@ def scan(
 
     required = [f for f, r in requests.items() if r.default is None]
     outer = counters is not None or keep_missing
-    joined = _join_frames(table, requests, time_range, universe, outer)
+    joined = _join_frames(table, requests, time_range, universe, outer, max_cells)
     missing = reduce(or_, [F.col(f).isNull() for f in required], F.lit(False))
     if counters is not None:
         joined = joined.observe(
@@ -227,13 +229,18 @@ def _newest_frame(view: LongCells, requests: Mapping[str, ColumnRequest], time_r
 
 
 def _several_frame(
-    view: LongCells, requests: Mapping[str, ColumnRequest], max_versions: int | None, time_range: TimeRange
+    view: LongCells,
+    requests: Mapping[str, ColumnRequest],
+    max_versions: int | None,
+    time_range: TimeRange,
+    max_cells: int | None,
 ) -> DataFrame:
     """Several single columns of one family with the same number of versions: one scan for all."""
     rows = view.rows(ColumnRequest(view.family), time_range)
     rows = rows.where(F.col("qualifier").isin(sorted({r.qualifier for r in requests.values()})))
     order = None if view.write_order is None else "_order"
     cells = latest_versions(rows, [*view.entity, "qualifier"], max_versions, order)
+    cells = _no_larger(cells, list(view.entity), max_cells)
     cells = cells.withColumn("newest_first", F.bitwise_not("version"))
     # collect_list leaves out the NULLs of the other columns' cells.
     lists = []
@@ -245,14 +252,25 @@ def _several_frame(
     return gathered.select(*view.entity, *slots)
 
 
-def _slice_frame(view: LongCells, field: str, request: ColumnRequest, time_range: TimeRange) -> DataFrame:
-    cells = _long_cells(view, request, time_range)
+def _no_larger(cells: DataFrame, entity: list[str], max_cells: int | None) -> DataFrame:
+    if max_cells is None:
+        return cells
+    # A scalar is known before the stage that gathers starts.
+    largest = cells.groupBy(*entity).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).scalar()
+    message = F.lit(f"a slice has more than {max_cells} cells: aggregate long cells, or scan pages")
+    return cells.where(F.when(largest > max_cells, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
+def _slice_frame(
+    view: LongCells, field: str, request: ColumnRequest, time_range: TimeRange, max_cells: int | None
+) -> DataFrame:
+    cells = _no_larger(_long_cells(view, request, time_range), list(view.entity), max_cells)
     gathered = cells.groupBy(*view.entity).agg(F.collect_list(_sortable()).alias(field))
     return gathered.select(*view.entity, _canonical(gathered, field).alias(field))
 
 
 def _frames(
-    table: CellTable, requests: Mapping[str, ColumnRequest], time_range: TimeRange
+    table: CellTable, requests: Mapping[str, ColumnRequest], time_range: TimeRange, max_cells: int | None
 ) -> list[tuple[list[str], DataFrame]]:
     by_view: dict[int, tuple[LongCells | WideCells, dict[str, ColumnRequest]]] = {}
     for field, request in requests.items():
@@ -266,17 +284,17 @@ def _frames(
         by_limit: dict[int | None, dict[str, ColumnRequest]] = {}
         for field, request in mine.items():
             if request.qualifier is None:
-                frames.append(([field], _slice_frame(view, field, request, time_range)))
+                frames.append(([field], _slice_frame(view, field, request, time_range, max_cells)))
             else:
                 by_limit.setdefault(request.max_versions, {})[field] = request
         for limit, singles in by_limit.items():
             if limit == 1:
                 frame = _newest_frame(view, singles, time_range)
             elif len(singles) > 1:
-                frame = _several_frame(view, singles, limit, time_range)
+                frame = _several_frame(view, singles, limit, time_range, max_cells)
             else:
                 ((field, request),) = singles.items()
-                frame = _slice_frame(view, field, request, time_range)
+                frame = _slice_frame(view, field, request, time_range, max_cells)
             frames.append((list(singles), frame))
     return frames
 
@@ -287,11 +305,12 @@ def _join_frames(
     time_range: TimeRange,
     universe: DataFrame | None,
     outer: bool,
+    max_cells: int | None,
 ) -> DataFrame:
     """Join frames on the entity. Each has one row per entity, so no join key is repeated, and a frame
     that comes from a grouping is already partitioned by it: only wide views may be exchanged here."""
     entity = table.entity
-    frames = _frames(table, requests, time_range)
+    frames = _frames(table, requests, time_range, max_cells)
     if universe is not None:
         out = universe.select(*entity).distinct()
         for _, frame in frames:

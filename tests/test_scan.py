@@ -134,6 +134,19 @@ def test_several_columns_with_versions(spark):
         assert slices(scan(table, columns), "b")["y"] == [("b", 2**63 - 1, "none")]
 
 
+def test_slice_size_check(spark):
+    rows = [("hot", q, v, "x") for q in ("a", "b") for v in range(40)] + [("cold", "a", 1, "x"), ("cold", "b", 1, "x")]
+    table = cell_table(cell_view(spark, "m", rows))
+    whole = {"s": ColumnRequest("m", max_versions=ALL_VERSIONS)}
+    assert scan(table, whole, max_cells=80).count() == 2
+    with pytest.raises(Exception, match="more than 79 cells"):
+        scan(table, whole, max_cells=79).collect()
+    pair = {q: ColumnRequest(f"m:{q}", max_versions=ALL_VERSIONS) for q in ("a", "b")}
+    with pytest.raises(Exception, match="more than 50 cells"):
+        scan(table, pair, max_cells=50).collect()
+    assert scan(table, {"s": ColumnRequest("m", max_versions=2)}, max_cells=4).count() == 2
+
+
 def test_filters(spark):  # F1-F4, X42
     rows = [("e", q, 1, q) for q in ("apple", "apricot", "banana", "cherry", "ap")]
     table = cell_table(cell_view(spark, "m", rows))
