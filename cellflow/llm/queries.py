@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellflow.llm.common import read
 from cellflow.llm.exact_dedup import exact_dedup
 from cellflow.llm.line_dedup import line_dedup
+from cellflow.llm.pii import BASE, find_personal_data
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -19,6 +20,19 @@ def query(function):
     return function
 
 
+@query
+def op1_personal_data(spark, folder):
+    rows = find_personal_data(read(spark, folder, "documents").select("doc_id", "text"))
+    found = F.coalesce(F.col("found"), F.array().cast(rows.schema["found"].dataType))
+    shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of_kind = lambda kind: F.size(F.filter(found, lambda s: s["kind"] == kind))
+    counts = [of_kind(k).cast("bigint").alias(f"n_{k}") for k in BASE]
+    return rows.select(
+        "doc_id", *counts,
+        F.sha2(shown(F.filter(found, lambda s: s["kind"].isin(list(BASE)))).cast("binary"), 256).alias("base_sha256"),
+        shown(found).alias("spans"))
+
+
 @query
 def op6_exact_dedup(spark, folder):
     return exact_dedup(read(spark, folder, "documents"))
