@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cellflow.llm.common import read
 from cellflow.llm.exact_dedup import exact_dedup
+from cellflow.llm.jaccard import near_duplicates
 from cellflow.llm.line_dedup import line_dedup
 from cellflow.llm.pii import BASE, find_personal_data
 
@@ -33,6 +34,11 @@ def op1_personal_data(spark, folder):
         shown(found).alias("spans"))
 
 
+@query
+def op3_jaccard_join(spark, folder):
+    return near_duplicates(read(spark, folder, "documents"))
+
+
 @query
 def op6_exact_dedup(spark, folder):
     return exact_dedup(read(spark, folder, "documents"))
