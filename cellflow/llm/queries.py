@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellflow.llm.common import read
 from cellflow.llm.exact_dedup import exact_dedup
 from cellflow.llm.jaccard import near_duplicates
+from cellflow.llm.language import identify, learn
 from cellflow.llm.line_dedup import line_dedup
 from cellflow.llm.pii import BASE, find_personal_data
 
@@ -34,6 +35,12 @@ def op1_personal_data(spark, folder):
         shown(found).alias("spans"))
 
 
+@query
+def op2_language(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    return identify(docs, learn(docs))
+
+
 @query
 def op3_jaccard_join(spark, folder):
     return near_duplicates(read(spark, folder, "documents"))
