@@ -262,12 +262,12 @@ def identify(docs: DataFrame, model: Model | None, id_column: str = "doc_id", te
 
 def keep_known(docs: DataFrame, model: Model | None, text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
     """The documents, with all their columns, of which a language is recognised."""
-    schema, at = docs.schema, docs.columns.index(text)
+    schema, names_of, at = docs.schema, docs.columns, docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, score = _predicted(model, batch.column(at), batch.column(batch.num_columns - 1))
             keep = pa.array([n != UNKNOWN and s >= min_score for n, s in zip(names, score, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in batch.columns[:-1]], names=docs.columns)
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in batch.columns[:-1]], names=names_of)
 
     return docs.select("*", F.col(quoted(text)).rlike(r"\p{L}")).mapInArrow(run, schema)
