@@ -14,8 +14,9 @@ has then given all of the level as well.
 
 From signatures to links: the members of a signature are tied to its smallest document as a star. The partner with most common
 signatures is verified first, which joins most groups of near copies at once. Only pairs that share a signature and are
-still in different components are looked at further: first by a bound from 128-bin histograms of the sets (exact, it only
-discards pairs that cannot be similar), compared in blocks inside tasks, then by exact comparison of the whole sets. No group of
+still in different components are looked at further, and signatures with the same members only once: first by a bound from
+histograms of the sets (exact, it only discards pairs that cannot be similar), with 128 bins compared in blocks inside tasks and then
+with about as many bins as shingles, at last by exact comparison of the whole sets. No group of
 copies is expanded into its pairs, and no link between different components is left out, so the components are exact.
 
 Defined cases: null and empty texts have the empty set and no links. Rows with a null id take no part and have a null component. Rows
@@ -44,7 +45,8 @@ BAND, SEGMENTS = 1.5, 0.45
 COUNTERS = 20_000
 #: A signature is worth skipping from so many documents on.
 COMMON = 48
-BINS = 128
+#: Bins of the coarse histogram; the fine one has a power of two of bins, at least as many as the set has shingles.
+BINS, MOST_BINS = 128, 1 << 16
 #: Documents in a block of a signature whose members are compared with each other.
 BLOCK = 512
 #: Bits of the filter that names the documents whose texts are fetched: 4 MB whatever the input.
@@ -162,6 +164,16 @@ def _histograms(sets: Sets) -> np.ndarray:
     return np.minimum(counts, 255).astype(np.uint8).reshape(-1, BINS)
 
 
+def _fine(sets: Sets) -> list[bytes]:
+    """A histogram of each set, cut at 255; a finer one becomes a coarser one when its halves are added."""
+    bins = np.clip(1 << np.ceil(np.log2(np.maximum(sets.sizes, 1))).astype(np.int64), BINS, MOST_BINS)
+    begin = np.cumsum(bins) - bins
+    row = np.repeat(np.arange(len(sets.sizes)), sets.sizes)
+    at = begin[row] + (sets.hashes % bins[row].astype(np.uint64)).astype(np.int64)
+    flat = np.minimum(np.bincount(at, minlength=int(bins.sum())), 255).astype(np.uint8).tobytes()
+    return [flat[b:b + n] for b, n in zip(begin.tolist(), bins.tolist(), strict=True)]
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, Sets]]:
     for batch in batches:
         for sets in shingle_sets(batch.column(1), WIDTH):
@@ -185,13 +197,13 @@ class _Unseen:
         return new
 
 
-SET_SCHEMA = "id bigint, n int, d1 bigint, d2 bigint, bins binary, signature bigint, count bigint"
+SET_SCHEMA = "id bigint, n int, d1 bigint, d2 bigint, bins binary, fine binary, signature bigint, count bigint"
 
 
 def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size, digest and histogram of every set; at the end the task's frequent signatures."""
     keys, counts, unseen = np.zeros(0, np.uint64), np.zeros(0, np.int64), _Unseen()
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("bins", pa.binary()),
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("bins", pa.binary()), ("fine", pa.binary()),
                         ("signature", pa.int64()), ("count", pa.int64())])
     for ids, sets in _pieces(batches):
         a, b = _digests(sets)
@@ -200,7 +212,8 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BINS), rows, [None, pa.py_buffer(bins.tobytes())]).cast(pa.binary())
         none = pa.nulls(rows, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [ids.cast(pa.int64()), pa.array(sets.sizes.astype(np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), flat, none, none],
+            [ids.cast(pa.int64()), pa.array(sets.sizes.astype(np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), flat,
+             pa.array(_fine(sets), pa.binary()), none, none],
             schema=schema)
         new = unseen(sets)
         text, found = signatures(sets, np.zeros(0, np.uint64))
@@ -210,7 +223,7 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = pruned(keys, counts, COUNTERS)
     none = lambda kind: pa.nulls(len(keys), kind)
     yield pa.RecordBatch.from_arrays(
-        [none(pa.int64()), none(pa.int32()), none(pa.int64()), none(pa.int64()), none(pa.binary()), pa.array(keys.view(np.int64)), pa.array(counts)],
+        [none(pa.int64()), none(pa.int32()), none(pa.int64()), none(pa.int64()), none(pa.binary()), none(pa.binary()), pa.array(keys.view(np.int64)), pa.array(counts)],
         schema=schema)
 
 
@@ -274,26 +287,31 @@ def _bins(column: pa.Array) -> np.ndarray:
 
 
 def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, n_a, n_b, bins_a, bins_b) to the (a, b) that may be similar."""
+    """(a, b, n_a, n_b, fine_a, fine_b) to the (a, b) that may be similar."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        a, b, n, m = (batch.column(i).to_numpy().astype(np.int64) for i in range(4))
-        keep = ~apart(_bins(batch.column(4)), _bins(batch.column(5)), n, m)
-        yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
+        n, m = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3))
+        most = differ_most(n, m)
+        keep = np.zeros(batch.num_rows, dtype=bool)
+        for i in range(batch.num_rows):
+            x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=np.uint8).astype(np.int32) for c in (4, 5))
+            bins = min(len(x), len(y))
+            gap = np.abs(x.reshape(-1, bins).sum(axis=0) - y.reshape(-1, bins).sum(axis=0)).sum()
+            keep[i] = gap <= most[i] and DEN * min(n[i], m[i]) >= NUM * max(n[i], m[i])
+        mask = pa.array(keep)
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
 
 def close_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (signature, i, j) and of one pair of blocks each time, to the (a, b) of different components that may be similar.
 
-    A pair of blocks has few members (about twice BLOCK); they are held together.
+    An id that repeats has several sets, so its histogram discards nothing here. A pair of blocks has few members (about twice BLOCK); they are held together.
     """
     held: list[pa.RecordBatch] = []
     key = None
 
     def pairs(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(parts)
-        ids, parent, n, block = (table.column(c).to_numpy() for c in ("id", "component", "n", "block"))
+        ids, parent, n, rows, block = (table.column(c).to_numpy() for c in ("id", "component", "n", "rows", "block"))
         bins = _bins(table.column("bins").combine_chunks())
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
@@ -302,7 +320,7 @@ def close_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             y = right[right > x] if i == j else right
             y = y[parent[y] != parent[x]]
             if len(y):
-                y = y[~apart(bins[x], bins[y], n[x].astype(np.int64), n[y].astype(np.int64))]
+                y = y[~apart(bins[x], bins[y], n[x].astype(np.int64), n[y].astype(np.int64)) | (rows[x] > 1) | (rows[y] > 1)]
                 out_a.append(np.full(len(y), ids[x]))
                 out_b.append(ids[y])
         a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
@@ -347,12 +365,11 @@ def _listed(texts: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def wanted_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of docs (id, text) whose id is among ids, and few others.
+def wanted(frame: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of a frame whose id is among ids, and few others.
 
-    A bitmap of fixed size is made by an aggregate and sent to all tasks, so that the texts of other documents are not shuffled.
+    A bitmap of fixed size is made by an aggregate and sent to all tasks, so that what belongs to other documents is not shuffled.
     """
-    spark = docs.sparkSession
     place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)) + 1  # Spark numbers bit p as bit (p - 1) % 32768 of bucket (p - 1) / 32768 + 1
     rows = ids.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
@@ -360,25 +377,31 @@ def wanted_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     for r in rows:
         at = (r["bucket"] - 1) * 4096
         bits[at:at + 4096] = np.frombuffer(r["bits"], dtype=np.uint8)
-    sent = spark.sparkContext.broadcast(bits.tobytes())
+    sent = frame.sparkSession.sparkContext.broadcast(bits.tobytes())
+    names = frame.columns
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(sent.value, dtype=np.uint8)
         for batch in batches:
-            p = batch.column(2).to_numpy() - 1
-            mask = (bits[p >> 3] >> (p & 7)) & 1
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(mask.astype(bool))) for c in batch.columns[:2]], ["id", "text"])
+            p = batch.column(len(names)).to_numpy() - 1
+            mask = pa.array(((bits[p >> 3] >> (p & 7)) & 1).astype(bool))
+            yield pa.RecordBatch.from_arrays([c.filter(mask) for c in batch.columns[:-1]], names)
+
+    return frame.where("id IS NOT NULL").withColumn("p", place).mapInArrow(chosen, frame.schema)
+
 
-    return docs.select("id", "text", place.alias("p")).mapInArrow(chosen, docs.select("id", "text").schema)
+def both_sides(pairs: DataFrame, frame: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the other columns of the frame for both ids, named c_a and c_b. pairs is a stored table."""
+    rows = wanted(frame, pairs.select(F.explode(F.array("a", "b")).alias("id")))
+    for side in ("a", "b"):
+        pairs = pairs.join(rows.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != "id"]), side)
+    return pairs
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts are similar. pairs is a stored table."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    texts = wanted_texts(docs, ids)
-    left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    return stored(both.select("a", "b", "text_a", "text_b").mapInArrow(similar, "a bigint, b bigint"), "links")
+    both = both_sides(pairs, docs).select("a", "b", "text_a", "text_b")
+    return stored(both.mapInArrow(similar, "a bigint, b bigint"), "links")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -399,20 +422,18 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     shared = stored(
         met.repartition("signature").sortWithinPartitions("signature", "id")
         .mapInArrow(stars, "signature bigint, id bigint, leader bigint, more boolean"), "shared")
-    size = linkable.select("id", "n", "bins").groupBy("id").agg(F.first("n").alias("n"), F.first("bins").alias("bins"), F.count("*").alias("rows"))
-    several = size.where("rows > 1").select("id")
-    size = stored(size, "sizes")
+    counted = linkable.groupBy("id").agg(F.first("n").alias("n"), F.first("bins").alias("bins"), F.count("*").alias("rows"))
+    coarse = stored(counted, "histograms")
+    fine = linkable.select("id", "n", "fine")
 
     def close(pairs: DataFrame) -> DataFrame:
-        a = size.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("bins").alias("bins_a"), (F.col("rows") > 1).alias("many_a"))
-        b = size.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("bins").alias("bins_b"), (F.col("rows") > 1).alias("many_b"))
-        joined = pairs.join(a, "a").join(b, "b")
-        single = joined.where("NOT many_a AND NOT many_b").select("a", "b", "n_a", "n_b", "bins_a", "bins_b")
-        return single.mapInArrow(close_pairs, "a bigint, b bigint").unionByName(joined.where("many_a OR many_b").select("a", "b"))
+        """Repeated ids meet as several rows; a pair stays if any of them may be similar."""
+        sides = both_sides(pairs, fine).select("a", "b", "n_a", "n_b", "fine_a", "fine_b")
+        return stored(sides.mapInArrow(close_pairs, "a bigint, b bigint").distinct(), "close")
 
     star = stored(shared.groupBy(F.col("leader").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("n")), "stars")
     best = star.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a"))
-    links = copies.unionByName(verified(own, stored(close(best.select("a", "b")), "pairs")))
+    links = copies.unionByName(verified(own, close(stored(best.select("a", "b"), "pairs"))))
     so_far = stored(components(links), "components")
 
     def parent(frame: DataFrame, column: str, name: str) -> DataFrame:
@@ -424,17 +445,19 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     members = rows.select("signature", "id").unionByName(rows.select("signature", F.col("leader").alias("id")).distinct())
     members = stored(parent(members, "id", "component"), "members")
     mixed_runs = members.groupBy("signature").agg(
-        F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high AND members > 2")
+        F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high"),
+        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    mixed_runs = mixed_runs.where("low <> high AND members > 2").groupBy("members", "x", "y").agg(F.min("signature").alias("signature"))
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     placed = members.join(mixed_runs.select("signature", blocks.alias("blocks")), "signature")
-    placed = placed.join(size, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    placed = placed.select("signature", "id", "component", "n", "bins", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    placed = placed.join(coarse, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    placed = placed.select("signature", "id", "component", "n", "bins", "rows", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     placed = placed.select(
-        "signature", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "component", "n", "bins", "block")
+        "signature", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "component", "n", "bins", "rows", "block")
     in_runs = (
         placed.repartition("signature", "i", "j").sortWithinPartitions("signature", "i", "j")
         .mapInArrow(close_in_blocks, "a bigint, b bigint"))
-    rest = stored(close(apart_stars).unionByName(in_runs).distinct(), "pairs")
+    rest = close(stored(apart_stars.unionByName(in_runs).distinct(), "pairs"))
     more_links = verified(own, rest)
     whole = components(links.unionByName(more_links))
     whole = whole.select(F.col("node").alias("id"), F.col("component").alias("component_id"))
