@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from cellflow.llm.exact_dedup import exact_dedup
 from cellflow.llm.jaccard import near_duplicates
 from cellflow.llm.language import identify, learn
 from cellflow.llm.line_dedup import line_dedup
+from cellflow.llm.packing import pack
 from cellflow.llm.pii import BASE, find_personal_data
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +24,11 @@ def query(function):
     return function
 
 
+def byte_vocabulary() -> tuple[str, str]:
+    """Where the ranks of the byte-level vocabulary are, and its pattern."""
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 @query
 def op1_personal_data(spark, folder):
     rows = find_personal_data(read(spark, folder, "documents").select("doc_id", "text"))
@@ -55,3 +62,8 @@ def op6_exact_dedup(spark, folder):
 def op9_line_dedup(spark, folder):
     rows = line_dedup(read(spark, folder, "documents"))
     return rows.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+@query
+def op10_packing(spark, folder):
+    return pack(read(spark, folder, "documents"), *byte_vocabulary())
