@@ -14,6 +14,7 @@ from cellflow.llm.jaccard import near_duplicates
 from cellflow.llm.language import identify, learn
 from cellflow.llm.line_dedup import line_dedup
 from cellflow.llm.packing import pack
+from cellflow.llm.pieces import encode_decode
 from cellflow.llm.pii import BASE, find_personal_data
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +59,15 @@ def op6_exact_dedup(spark, folder):
     return exact_dedup(read(spark, folder, "documents"))
 
 
+@query
+def op8_pieces(spark, folder):
+    rows = encode_decode(read(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return rows.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 @query
 def op9_line_dedup(spark, folder):
     rows = line_dedup(read(spark, folder, "documents"))
