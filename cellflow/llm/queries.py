@@ -16,6 +16,7 @@ from cellflow.llm.line_dedup import line_dedup
 from cellflow.llm.packing import pack
 from cellflow.llm.pieces import encode_decode
 from cellflow.llm.pii import BASE, find_personal_data
+from cellflow.llm.shards import materialise
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -54,6 +55,11 @@ def op3_jaccard_join(spark, folder):
     return near_duplicates(read(spark, folder, "documents"))
 
 
+@query
+def op5_training_order(spark, folder):
+    return materialise(read(spark, folder, "documents"), *byte_vocabulary())
+
+
 @query
 def op6_exact_dedup(spark, folder):
     return exact_dedup(read(spark, folder, "documents"))

@@ -1,0 +1,62 @@
+"""Training order: a bijection, whole documents in the shards, resumable reads."""
+
+import numpy as np
+import pytest
+from llm_helpers import CLASHES, documents
+
+from cellflow.llm import shards
+from cellflow.llm.packing import encoder
+from cellflow.llm.queries import LLM_QUERIES, byte_vocabulary
+from cellflow.llm.shards import END, materialise, permuted, read_from
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 16, 17, 1000, 4097])
+def test_permutation_is_a_keyed_bijection(size):
+    got = permuted(np.arange(size), size, 5)
+    assert sorted(got.tolist()) == list(range(size))
+    assert size < 16 or (got.tolist() != permuted(np.arange(size), size, 6).tolist() and got.tolist() != list(range(size)))
+
+
+TEXTS = [None, "", "a b c", "x" * 30_000, "the cat " * 900, "é😀", *[f"text number {i} " * (i % 37) for i in range(150)]]
+
+
+def test_round_trip(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shards, "NUMBERS", 64)
+    path = str(tmp_path / "docs")
+    documents(spark, TEXTS + TEXTS[:4], extra=CLASHES).repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    folder = f"file://{tmp_path}/out"
+    manifest = materialise(docs, *byte_vocabulary(), length=32, folder=folder).collect()
+    assert sorted(r.slot for r in manifest) == list(range(len(manifest)))
+    assert len({r.number for r in manifest}) == len(manifest)
+    table = spark.createDataFrame(manifest)
+    rows = {r.slot: r.ids for r in read_from(spark, folder, table, 0, 32).collect()}
+    by_number = {r.number: (rows[r.slot][:r.n_tokens], r.doc_ids, r.n_tokens) for r in manifest}
+    encoding = encoder(*byte_vocabulary())
+    want = sorted(tuple(encoding.encode_ordinary(t or "")) for t in TEXTS + TEXTS[:4])
+    got, held = [], []
+    for number in sorted(by_number):
+        for i in by_number[number][0]:
+            if i == END:
+                got.append(tuple(held))
+                held = []
+            else:
+                held.append(i)
+    assert not held and sorted(got) == want
+    first = next(k for k in sorted(by_number) if len(by_number[k][1]) > 1)
+    ids, names, _ = by_number[first]
+    assert len(names) in (list(ids).count(END), list(ids).count(END) + 1)
+    half = len(manifest) // 2
+    resumed = {r.slot: r.ids for r in read_from(spark, folder, table, half, 32).collect()}
+    assert resumed == {s: i for s, i in rows.items() if s >= half}
+
+
+def test_empty_and_query(spark, sf, tmp_path):
+    documents(spark, ["a"]).limit(0).write.parquet(str(tmp_path / "none"))
+    assert materialise(spark.read.parquet(str(tmp_path / "none")), *byte_vocabulary()).count() == 0
+    rows = LLM_QUERIES["op5_training_order"](spark, sf).collect()
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    encoding = encoder(*byte_vocabulary())
+    assert sum(r.n_tokens for r in rows) == sum(len(encoding.encode_ordinary(d.text)) + 1 for d in docs)
+    assert {i for r in rows for i in r.doc_ids} == {d.doc_id for d in docs}
+    assert sorted(r.slot for r in rows) == list(range(len(rows)))
