@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellflow.llm.ann import nearest
 from cellflow.llm.common import read
 from cellflow.llm.exact_dedup import exact_dedup
 from cellflow.llm.jaccard import near_duplicates
@@ -55,6 +56,11 @@ def op3_jaccard_join(spark, folder):
     return near_duplicates(read(spark, folder, "documents"))
 
 
+@query
+def op4_nearest_vectors(spark, folder):
+    return nearest(read(spark, folder, "embeddings"), "vec_id % 50 = 0")
+
+
 @query
 def op5_training_order(spark, folder):
     return materialise(read(spark, folder, "documents"), *byte_vocabulary())
