@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cellflow.llm.ann import nearest
 from cellflow.llm.common import read
 from cellflow.llm.exact_dedup import exact_dedup
+from cellflow.llm.html import extract_text
 from cellflow.llm.jaccard import near_duplicates
 from cellflow.llm.language import identify, learn
 from cellflow.llm.line_dedup import line_dedup
@@ -71,6 +72,11 @@ def op6_exact_dedup(spark, folder):
     return exact_dedup(read(spark, folder, "documents"))
 
 
+@query
+def op7_main_text(spark, folder):
+    return extract_text(read(spark, folder, "pages"))
+
+
 @query
 def op8_pieces(spark, folder):
     rows = encode_decode(read(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
