@@ -14,7 +14,8 @@ has then given all of the level as well.
 
 From signatures to links: the members of a signature are tied to its smallest document as a star. The partner with most common
 signatures is verified first, which joins most groups of near copies at once. Only pairs that share a signature and are
-still in different components are looked at further, and signatures with the same members only once: first by a bound from
+still in different components are looked at further, and signatures with the same members only once: first by the number of signatures
+they share (of the first H + 1 of one of them all but the differing ones, which sizes close to each other allow fewer of), by a bound from
 histograms of the sets (exact, it only discards pairs that cannot be similar), with 128 bins compared in blocks inside tasks and then
 with about as many bins as shingles, at last by exact comparison of the whole sets. No group of
 copies is expanded into its pairs, and no link between different components is left out, so the components are exact.
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,8 +75,17 @@ def _grouped(flags: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, np.flatnonzero(flags)) if len(values) else values[:0]
 
 
-def signatures(sets: Sets, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, signature) of all sets; texts count from the piece's first. common: sorted signatures to be skipped."""
+def needed(size: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """H + 1: one more than a set of this size can differ from a partner in a pair whose smaller set is of the band."""
+    top = _EDGES[band + 1] - 1  # the largest size of the band
+    return differ_most(size, np.where(size > top, top, size * DEN // NUM)) + 1
+
+
+def signatures(sets: Sets, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, signature) of all sets, and the texts that had too few of the first level; texts count from the piece's first.
+
+    common: sorted signatures to be skipped.
+    """
     sizes, starts = sets.sizes, sets.starts
     own = np.searchsorted(_EDGES, sizes, side="right") - 1
     least = np.searchsorted(_EDGES, -(-sizes * NUM // DEN), side="right") - 1
@@ -85,15 +96,14 @@ def signatures(sets: Sets, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if len(texts):
             out.append(_of_band(sets, starts, texts, band[texts], common))
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out]), np.unique(np.concatenate([o[2] for o in out]))
 
 
 def _of_band(sets: Sets, starts: np.ndarray, texts: np.ndarray, band: np.ndarray, common: np.ndarray):
     size = sets.sizes[texts]
-    top = _EDGES[band + 1] - 1  # the largest size of the band
-    partner = np.where(size > top, top, size * DEN // NUM)
-    need = differ_most(size, partner) + 1
+    need = needed(size, band)
+    top = _EDGES[band + 1] - 1
     m = np.maximum(1, np.ceil(SEGMENTS * top)).astype(np.uint64)
     row = np.repeat(np.arange(len(texts)), size)
     at = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts[texts], size)
@@ -134,7 +144,7 @@ def _of_band(sets: Sets, starts: np.ndarray, texts: np.ndarray, band: np.ndarray
         lone = fewest[row] & (nth < need[row])
         out_row.append(row[lone])
         out_sig.append(mixed(h[lone] + band[row[lone]].astype(np.uint64), 3))
-    return texts[np.concatenate(out_row)], np.concatenate(out_sig)
+    return texts[np.concatenate(out_row)], np.concatenate(out_sig), texts[short]
 
 
 def pruned(keys: np.ndarray, counts: np.ndarray, counters: int) -> tuple[np.ndarray, np.ndarray]:
@@ -216,7 +226,7 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(_fine(sets), pa.binary()), none, none],
             schema=schema)
         new = unseen(sets)
-        text, found = signatures(sets, np.zeros(0, np.uint64))
+        text, found, _ = signatures(sets, np.zeros(0, np.uint64))
         values, n = np.unique(found[new[text]], return_counts=True)
         keys, back = np.unique(np.concatenate([keys, values]), return_inverse=True)
         counts = np.bincount(back, np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
@@ -228,28 +238,36 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def emit(common: np.ndarray):
-    """(signature, id) of all sets."""
+    """(signature, id, marker) of all sets; a marker is no signature but says that the set went beyond the first level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unseen = _Unseen()
         for ids, sets in _pieces(batches):
             new = unseen(sets)
-            text, found = signatures(sets, common)
+            text, found, short = signatures(sets, common)
+            text, found = np.concatenate([text, short]), np.concatenate([found, mixed(short.astype(np.uint64) + np.uint64(sets.first << 20), 4)])
+            marker = np.arange(len(text)) >= len(text) - len(short)
             keep = new[text]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found[keep].view(np.int64)), ids.cast(pa.int64()).take(pa.array(text[keep]))], ["signature", "id"])
+                [pa.array(found[keep].view(np.int64)), ids.cast(pa.int64()).take(pa.array(text[keep])), pa.array(marker[keep])], ["signature", "id", "marker"])
 
     return run
 
 
 def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (signature, id) to (signature, id, leader, more) of all members but the smallest.
+    """Rows sorted by (signature, id) to (signature, id, leader, more) of all members but the smallest; markers pass with no leader.
 
     Only the last row and the leader of an open run are carried over, so a signature may have any number of members. more: the run is
     known to have three members or more.
     """
     last, leader, length = None, 0, 0
     for batch in batches:
+        marks = batch.filter(batch.column(2))
+        if marks.num_rows:
+            yield pa.RecordBatch.from_arrays(
+                [marks.column(0), marks.column(1), pa.nulls(marks.num_rows, pa.int64()), pa.nulls(marks.num_rows, pa.bool_())],
+                ["signature", "id", "leader", "more"])
+            batch = batch.filter(pc.invert(batch.column(2)))
         s, d = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         if not len(s):
             continue
@@ -274,11 +292,18 @@ def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, leader, length = (s[-1], d[-1]), lead[-1], int(members[run[-1] + 1])
 
 
-def apart(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Pairs that sizes or histograms show not to be similar."""
-    less, more = np.minimum(n, m), np.maximum(n, m)
-    gap = np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(axis=-1, dtype=np.int64)
-    return (DEN * less < NUM * more) | (gap > differ_most(n, m))
+def enough_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, shared, n_a, n_b, any) to the (a, b) that share as many signatures as a similar pair of these sizes must.
+
+    Of the first H + 1 signatures of one of the two, those that differ are at most as many as shingles differ. any: pairs of which this
+    is not known, as both went beyond the first level or an id repeats.
+    """
+    for batch in batches:
+        shared, n, m = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3, 4))
+        band = np.maximum(np.searchsorted(_EDGES, np.minimum(n, m), side="right") - 1, 0)
+        least = np.minimum(needed(n, band), needed(m, band)) - differ_most(n, m)
+        mask = pa.array((shared >= least) | batch.column(5).to_numpy(zero_copy_only=False).astype(bool))
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
 
 def _bins(column: pa.Array) -> np.ndarray:
@@ -302,30 +327,36 @@ def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def close_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (signature, i, j) and of one pair of blocks each time, to the (a, b) of different components that may be similar.
+    """Rows sorted by (signature, i, j) and of one pair of blocks each time, to the (a, b, shared) of different components that may be similar.
 
-    An id that repeats has several sets, so its histogram discards nothing here. A pair of blocks has few members (about twice BLOCK); they are held together.
+    shared: how many signatures have these members. An id that repeats has several sets, so its histogram discards nothing here. A pair of blocks has few members (about twice BLOCK); they are held together.
     """
     held: list[pa.RecordBatch] = []
     key = None
 
     def pairs(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(parts)
-        ids, parent, n, rows, block = (table.column(c).to_numpy() for c in ("id", "component", "n", "rows", "block"))
-        bins = _bins(table.column("bins").combine_chunks())
+        ids, parent, n, rows, block, weight = (table.column(c).to_numpy() for c in ("id", "component", "n", "rows", "block", "weight"))
+        bins, n = _bins(table.column("bins").combine_chunks()).astype(np.int16), n.astype(np.int64)
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         out_a, out_b = [], []
-        for x in left:
-            y = right[right > x] if i == j else right
-            y = y[parent[y] != parent[x]]
-            if len(y):
-                y = y[~apart(bins[x], bins[y], n[x].astype(np.int64), n[y].astype(np.int64)) | (rows[x] > 1) | (rows[y] > 1)]
-                out_a.append(np.full(len(y), ids[x]))
-                out_b.append(ids[y])
+        step = max(1, 20_000 // max(1, len(right)))
+        for lo in range(0, len(left), step):
+            x, y = np.meshgrid(left[lo:lo + step], right, indexing="ij")
+            x, y = x.ravel(), y.ravel()
+            other = parent[x] != parent[y]
+            other &= (DEN * np.minimum(n[x], n[y]) >= NUM * np.maximum(n[x], n[y])) | (rows[x] > 1) | (rows[y] > 1)
+            if i == j:
+                other &= x < y
+            x, y = x[other], y[other]
+            near = (np.abs(bins[x] - bins[y]).sum(axis=1, dtype=np.int64) <= differ_most(n[x], n[y])) | (rows[x] > 1) | (rows[y] > 1)
+            out_a.append(ids[x[near]])
+            out_b.append(ids[y[near]])
         a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
         b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.full(len(a), weight[0], np.int64))], ["a", "b", "shared"])
 
     for batch in batches:
         keys = np.stack([batch.column(c).to_numpy() for c in range(3)])
@@ -418,12 +449,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     frequent = summaries.where(F.col("count") >= max(COMMON, total / (COUNTERS + 1))).select("signature").collect()
     common = np.sort(np.array([r[0] for r in frequent], dtype=np.int64).view(np.uint64))
 
-    met = own.where("id IS NOT NULL").mapInArrow(emit(common), "signature bigint, id bigint")
+    met = own.where("id IS NOT NULL").mapInArrow(emit(common), "signature bigint, id bigint, marker boolean")
     shared = stored(
         met.repartition("signature").sortWithinPartitions("signature", "id")
         .mapInArrow(stars, "signature bigint, id bigint, leader bigint, more boolean"), "shared")
+    short = shared.where("leader IS NULL").select("id").distinct().withColumn("short", F.lit(True))
+    shared = shared.where("leader IS NOT NULL")
     counted = linkable.groupBy("id").agg(F.first("n").alias("n"), F.first("bins").alias("bins"), F.count("*").alias("rows"))
-    coarse = stored(counted, "histograms")
+    coarse = stored(counted.join(short, "id", "left").withColumn("short", F.coalesce("short", F.lit(False))), "histograms")
     fine = linkable.select("id", "n", "fine")
 
     def close(pairs: DataFrame) -> DataFrame:
@@ -440,24 +473,33 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         known = so_far.select(F.col("node").alias(column), F.col("component").alias("_found"))
         return frame.join(known, column, "left").withColumn(name, F.coalesce("_found", column)).drop("_found")
 
-    apart_stars = parent(parent(star.select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
+    # signatures of two documents only
+    lone = shared.where("NOT more").groupBy(F.col("leader").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("shared"))
+    lone = parent(parent(lone, "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b", "shared")
     rows = shared.where("more")
     members = rows.select("signature", "id").unionByName(rows.select("signature", F.col("leader").alias("id")).distinct())
     members = stored(parent(members, "id", "component"), "members")
     mixed_runs = members.groupBy("signature").agg(
         F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high"),
         F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
-    mixed_runs = mixed_runs.where("low <> high AND members > 2").groupBy("members", "x", "y").agg(F.min("signature").alias("signature"))
+    mixed_runs = mixed_runs.where("low <> high").groupBy("members", "x", "y").agg(
+        F.min("signature").alias("signature"), F.count("*").alias("weight"))
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    placed = members.join(mixed_runs.select("signature", blocks.alias("blocks")), "signature")
+    placed = members.join(mixed_runs.select("signature", "weight", blocks.alias("blocks")), "signature")
     placed = placed.join(coarse, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    placed = placed.select("signature", "id", "component", "n", "bins", "rows", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    placed = placed.select("signature", "id", "component", "n", "bins", "rows", "block", "weight", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     placed = placed.select(
-        "signature", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "component", "n", "bins", "rows", "block")
+        "signature", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "component", "n", "bins", "rows", "block", "weight")
     in_runs = (
         placed.repartition("signature", "i", "j").sortWithinPartitions("signature", "i", "j")
-        .mapInArrow(close_in_blocks, "a bigint, b bigint"))
-    rest = close(stored(apart_stars.unionByName(in_runs).distinct(), "pairs"))
+        .mapInArrow(close_in_blocks, "a bigint, b bigint, shared bigint"))
+    met_often = lone.unionByName(in_runs).groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+    facts = coarse.select("id", "n", "short", (F.col("rows") > 1).alias("several"))
+    for side in ("a", "b"):
+        met_often = met_often.join(facts.select(*[F.col(c).alias(side if c == "id" else f"{c}_{side}") for c in facts.columns]), side)
+    unsure = F.expr("(short_a AND short_b) OR several_a OR several_b")
+    rest = met_often.select("a", "b", "shared", "n_a", "n_b", unsure.alias("any")).mapInArrow(enough_shared, "a bigint, b bigint")
+    rest = close(stored(rest, "pairs"))
     more_links = verified(own, rest)
     whole = components(links.unionByName(more_links))
     whole = whole.select(F.col("node").alias("id"), F.col("component").alias("component_id"))

@@ -109,12 +109,12 @@ def test_every_similar_pair_shares_a_signature():
                 if not len(y) or 4 * n < 3 * u:
                     continue
                 sets = Sets(0, np.array([s, len(y)]), np.concatenate([np.sort(x), np.sort(y)]))
-                text, found = signatures(sets, np.zeros(0, np.uint64))
+                text, found, _ = signatures(sets, np.zeros(0, np.uint64))
                 if s == len(y) == n:
                     continue
                 assert set(found[text == 0]) & set(found[text == 1]), (s, len(y))
                 common = np.unique(rng.choice(found, max(1, len(found) // 3)))
-                text, found = signatures(sets, common)
+                text, found, _ = signatures(sets, common)
                 assert set(found[text == 0]) & set(found[text == 1]), (s, len(y), "skipped")
 
 
