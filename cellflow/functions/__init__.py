@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column
@@ -35,10 +36,13 @@ def component(eid: str | Column, index: int) -> Column:
 
 
 def hashed_entity_id(*components: str | Column) -> Column:
-    """A 16-byte id from which the components cannot be recovered."""
-    # concat_ws leaves NULL parts out, so (a, NULL) and (NULL, a) need a mark for the gap.
-    parts = [F.coalesce(as_column(c).cast("string"), F.lit("\x01")) for c in components]
-    return F.unhex(F.md5(F.concat_ws("\x00", *parts)))
+    """A 16-byte id from which the components cannot be recovered.
+
+    Every part is written with its length, and NULL as a mark of its own, so different ids are hashed from different texts.
+    """
+    texts = [as_column(c).cast("string") for c in components]
+    parts = [F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("n")) for t in texts]
+    return F.unhex(F.md5(F.concat(*parts)))
 
 
 def record(**fields: str | Column) -> Column:
@@ -86,6 +90,14 @@ def scaled(a: str | Column, factor: Column) -> Column:
     return F.transform(as_column(a), lambda x: x.cast("double") * factor)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once.
+
+    An expression named inside a lambda is computed again for every element; bound as a lambda variable it is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def literal_of(value: Any, dtype: T.DataType) -> Column:
     """A constant of a given type; records as tuples or dicts, lists and maps nested."""
     if isinstance(value, Column) or value is None:

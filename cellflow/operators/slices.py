@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellflow.functions import as_column
+from cellflow.functions import as_column, let
 
 CellFn = Callable[[Column], Column]
 
@@ -79,12 +79,28 @@ def by_qualifier(s: str | Column) -> Column:
 
 
 def group_cells(s: str | Column, key: CellFn) -> Column:
-    """Map from key to sub-slice, cell order kept (S8). Long cells group with a plain groupBy."""
-    s = as_column(s)
-    keys = F.array_distinct(F.transform(s, key))
-    return F.map_from_entries(
-        F.transform(keys, lambda k: F.struct(k.alias("key"), F.filter(s, lambda c: key(c).eqNullSafe(k)).alias("value")))
-    )
+    """Map from key to sub-slice, cell order kept (S8). Long cells group with a plain groupBy.
+
+    The cells' places are sorted by key and cut into runs, so the work grows with the cells and not with cells times keys.
+    """
+
+    def runs(cells: Column) -> Column:
+        places = F.array_sort(F.transform(cells, lambda c, i: F.struct(key(c).alias("key"), i.alias("at"))))
+        return let(places, lambda p: let(_run_starts(p), lambda starts: F.map_from_entries(F.transform(
+            starts, lambda b, j: F.struct(
+                F.get(p, b)["key"].alias("key"),
+                F.transform(
+                    F.slice(p, b + 1, F.coalesce(F.get(starts, j + 1), F.size(p)) - b), lambda x: F.get(cells, x["at"])
+                ).alias("value"))))))
+
+    return let(as_column(s), runs)
+
+
+def _run_starts(sorted_places: Column) -> Column:
+    """Where a new key begins, from 0."""
+    firsts = F.transform(sorted_places, lambda x, i: F.when(
+        (i > 0) & F.get(sorted_places, i - 1)["key"].eqNullSafe(x["key"]), None).otherwise(i))
+    return F.array_compact(firsts)
 
 
 def group_by_qualifier(s: str | Column) -> Column:
@@ -111,8 +127,8 @@ def slice_avg(s: str | Column, value: CellFn = _value) -> Column:
 
 def slice_variance(s: str | Column, value: CellFn = _value) -> Column:
     """Population variance; NULL for an empty slice."""
-    mean = slice_avg(s, value)
-    off = F.aggregate(_numbers(s, value), F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean))
+    numbers = _numbers(s, value)
+    off = let(slice_avg(s, value), lambda mean: F.aggregate(numbers, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean)))
     return F.try_divide(off, F.size(as_column(s)).cast("double"))
 
 

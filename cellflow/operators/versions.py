@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 GROUP_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 SMALL_LIMIT = 100
 SPREAD = 1024
+# Parts of a key whose newest versions are cut separately, so that the rewrites of one cell are not one task's.
+PARTS = 32
 
 
 def newest(value: str | Column, version: str | Column = "version") -> Column:
@@ -48,17 +50,34 @@ def latest_versions(
         return rows.groupBy(*keys).agg(
             F.max("version").alias("version"), F.max_by("value", rank).alias("value")
         )
+    if max_versions is None:
+        return (rows if order is None else resolve_writes(rows, keys, order)).select(*keys, "version", "value")
+    limited = max_versions <= min(SMALL_LIMIT, int(rows.sparkSession.conf.get(GROUP_LIMIT_SETTING)))
+    if order is not None and limited:
+        return _newest_written(rows, keys, max_versions, order)
     cells = rows if order is None else resolve_writes(rows, keys, order)
     cells = cells.select(*keys, "version", "value")
-    if max_versions is None:
-        return cells
-    if max_versions > min(SMALL_LIMIT, int(rows.sparkSession.conf.get(GROUP_LIMIT_SETTING))):
+    if not limited:
         # Cut hot groups in parts first.
         spread = F.pmod(F.xxhash64("version"), F.lit(SPREAD))
         cells = _limit(cells.withColumn("_spread", spread), [*keys, "_spread"], max_versions).drop("_spread")
     return _limit(cells, keys, max_versions)
 
 
+def _newest_written(rows: DataFrame, keys: Sequence[str], n: int, order: str) -> DataFrame:
+    """Latest versions of cells that may be written again, without moving the history.
+
+    The newest versions of a key's part are cut in every task, with all their rewrites (``dense_rank``). Rewrites combine within a part,
+    then the parts of a key meet. A task's part holds every version that can be among the newest, so nothing is lost.
+    """
+    part = F.pmod(F.xxhash64("version", order), F.lit(PARTS))
+    newest_first = Window.partitionBy(*keys, "_part").orderBy(F.col("version").desc())
+    cut = rows.withColumn("_part", part).withColumn("_rank", F.dense_rank().over(newest_first)).where(F.col("_rank") <= n)
+    written = cut.groupBy(*keys, "_part", "version").agg(F.max_by("value", order).alias("value"), F.max(order).alias("_last"))
+    written = written.repartition(*keys).groupBy(*keys, "version").agg(F.max_by("value", "_last").alias("value"))
+    return _limit(written, keys, n)
+
+
 def _limit(cells: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     newest_first = Window.partitionBy(*keys).orderBy(F.col("version").desc())
     return cells.withColumn("_rank", F.row_number().over(newest_first)).where(F.col("_rank") <= n).drop("_rank")

@@ -148,9 +148,8 @@ def entities_scan(spark, folder):
 
 @query
 def missing_rows_dropped(spark, folder):
-    columns = {"bought": "activity:purchase", "clicked": "activity:click"}
-    rows = scan(activity(spark, folder), columns, TimeRange.between(day(2024, 1, 10), day(2024, 1, 11)))
-    return rows.select("user_id", S.first_value("bought").alias("bought"), S.first_value("clicked").alias("clicked"))
+    rows = scan(texts(spark, folder), {"lang": "doc:lang", "quality": "label:quality", "toxic": "label:toxic"})
+    return rows.select("doc_id", *[S.first_value(c).alias(c) for c in ("lang", "quality", "toxic")])
 
 
 @query
@@ -163,13 +162,14 @@ def missing_replaced(spark, folder):
 @query
 def all_missing_replaced(spark, folder):
     columns = {
-        "bought": ColumnRequest("activity:purchase").replace_missing_with(0.0),
-        "clicked": ColumnRequest("activity:click", max_versions=2).replace_missing_with_versioned((1, -1.0)),
+        "quality": ColumnRequest("label:quality").replace_missing_with(-1),
+        "toxic": ColumnRequest("label:toxic", max_versions=2).replace_missing_with_versioned((1, -1), (2, -2)),
     }
-    rows = scan(activity(spark, folder), columns, TimeRange.between(day(2024, 1, 10), day(2024, 1, 11)))
+    universe = read(spark, folder, "documents").select("doc_id")
+    rows = scan(texts(spark, folder), columns, universe=universe)
     return rows.select(
-        "user_id", S.first_value("bought").alias("bought"), S.first_value("clicked").alias("clicked"),
-        S.slice_size("clicked").cast("bigint").alias("clicks"),
+        "doc_id", S.first_value("quality").alias("quality"), S.first_value("toxic").alias("toxic"),
+        S.slice_size("toxic").cast("bigint").alias("cells"),
     )
 
 
@@ -239,14 +239,25 @@ def skipped_rows(spark, folder):
 
 @query
 def paged_scan(spark, folder):
-    """Whole histories in pages of at most 20 cells; a hot user is cut into many pages."""
+    """Whole histories in pages of 20 cells; a hot user is cut into many pages."""
     pages = scan_pages(activity(spark, folder), ACTIVITY_ALL, page_size=20)
-    return pages.groupBy("user_id").agg(
-        F.sum(F.size("cells")).alias("cells"), F.round(F.sum(S.slice_sum("cells")), 2).alias("total"),
-        (F.max(F.size("cells")) <= 20).alias("bounded"),
+    return pages.select(
+        "user_id", "page", F.size("cells").cast("bigint").alias("cells"), F.round(S.slice_sum("cells"), 2).alias("total"),
+        F.array_max(F.transform("cells", lambda c: c.version)).alias("newest"),
     )
 
 
+@query
+def wide_time_range(spark, folder):
+    """Orders as a wide view whose version is the order date: the range and the null checks reach the files."""
+    view = WideCells(
+        read(spark, folder, "orders"), "order", {"orderkey": "o_orderkey"}, {"status": "o_orderstatus", "price": "o_totalprice"},
+        Version.micros_of("o_orderdate"),
+    )
+    rows = scan(CellTable(["orderkey"], [view]), {"status": "order:status", "price": "order:price"}, TimeRange.after(day(1996, 1, 1)))
+    return rows.select("orderkey", S.first_value("status").alias("status"), S.first_value("price").alias("price"))
+
+
 @query
 def reader_projection(spark, folder):
     rows = read(spark, folder, "customer").select(

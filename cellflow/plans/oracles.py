@@ -69,7 +69,6 @@ def _shown(order: str) -> str:
     return f"string_agg(CAST({_CENTS} AS VARCHAR), ',' ORDER BY {order})"
 
 
-_DAY = f"version >= {_micros(2024, 1, 10)} AND version < {_micros(2024, 1, 11)}"
 
 
 def _view_click(rank: str) -> str:
@@ -97,21 +96,15 @@ ORACLES: dict[str, str] = {
     "time_range_before": _newest_activity(1, f"version < {_micros(2024, 1, 3)}"),
     "time_range_at": f"WITH {SPEND} SELECT custkey, priority, version, value FROM spend WHERE version = {_micros(1998, 2, 6)}",
     "entities_scan": "SELECT DISTINCT user_id FROM events",
-    "missing_rows_dropped": f"""
-WITH {ACTIVITY},
-b AS (SELECT user_id, arg_max(value, version) AS bought FROM activity WHERE event_type = 'purchase' AND {_DAY} GROUP BY user_id),
-c AS (SELECT user_id, arg_max(value, version) AS clicked FROM activity WHERE event_type = 'click' AND {_DAY} GROUP BY user_id)
-SELECT user_id, bought, clicked FROM b JOIN c USING (user_id)""",
+    "missing_rows_dropped": """
+SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+WHERE d.lang IS NOT NULL AND l.quality IS NOT NULL AND l.toxic IS NOT NULL""",
     "missing_replaced": """
 SELECT d.doc_id, d.lang, coalesce(l.quality, -1) AS quality
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE d.lang IS NOT NULL""",
-    "all_missing_replaced": f"""
-WITH {ACTIVITY},
-b AS (SELECT user_id, arg_max(value, version) AS bought FROM activity WHERE event_type = 'purchase' AND {_DAY} GROUP BY user_id),
-c AS (SELECT user_id, arg_max(value, version) AS clicked, least(count(*), 2) AS clicks
-      FROM activity WHERE event_type = 'click' AND {_DAY} GROUP BY user_id)
-SELECT user_id, coalesce(bought, 0.0) AS bought, coalesce(clicked, -1.0) AS clicked, coalesce(clicks, 1) AS clicks
-FROM b FULL JOIN c USING (user_id)""",
+    "all_missing_replaced": """
+SELECT d.doc_id, coalesce(l.quality, -1) AS quality, coalesce(l.toxic, -2) AS toxic, CASE WHEN l.toxic IS NULL THEN 2 ELSE 1 END AS cells
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "multi_column_profile": """
 SELECT c_custkey AS custkey, c_name AS name, c_nationkey AS nation, c_acctbal AS acctbal, c_mktsegment AS segment
 FROM customer
@@ -140,7 +133,12 @@ SELECT coalesce(d.doc_id, l.doc_id) AS doc_id,
        concat_ws(',', CASE WHEN d.lang IS NULL THEN 'doc:lang' END, CASE WHEN l.quality IS NULL THEN 'label:quality' END) AS missing
 FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id WHERE d.lang IS NULL OR l.quality IS NULL""",
     "paged_scan": f"""
-WITH {ACTIVITY} SELECT user_id, count(*) AS cells, round(sum(value), 2) AS total, true AS bounded FROM activity GROUP BY user_id""",
+WITH {ACTIVITY},
+placed AS (SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY event_type, version DESC) - 1) // 20 AS page FROM activity)
+SELECT user_id, page, count(*) AS cells, round(sum(value), 2) AS total, max(version) AS newest FROM placed GROUP BY user_id, page""",
+    "wide_time_range": """
+SELECT o_orderkey AS orderkey, o_orderstatus AS status, o_totalprice AS price FROM orders
+WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderstatus IS NOT NULL AND o_totalprice IS NOT NULL""",
     "reader_projection": "SELECT c_custkey AS custkey, c_acctbal AS acctbal FROM customer",
     "slice_stats": f"WITH {ACTIVITY} SELECT user_id, {_STATS} FROM activity GROUP BY user_id",
     "slice_stats_by_qualifier": f"WITH {ACTIVITY} SELECT event_type, {_STATS} FROM activity GROUP BY event_type",
@@ -211,7 +209,7 @@ newest AS (SELECT custkey, priority, arg_max(value, version) AS value FROM spend
 counted AS (SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders GROUP BY o_custkey, o_orderpriority)
 SELECT custkey, priority, n, value FROM newest JOIN counted ON custkey = o_custkey AND priority = o_orderpriority""",
     "join_hashed_entity": """
-SELECT md5(CAST(c_custkey AS VARCHAR)) AS eid, c_name, count(*) AS n
+SELECT md5(strlen(CAST(c_custkey AS VARCHAR)) || ':' || CAST(c_custkey AS VARCHAR)) AS eid, c_name, count(*) AS n
 FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name""",
     "entity_order": """
 WITH ranked AS (

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellflow.functions import as_column, literal_of, orderable
 from cellflow.operators.versions import latest_versions
+from cellflow.session import shared_folder
 from cellflow.sources.cells import CellTable, LongCells, WideCells, narrowed
 from cellflow.sources.requests import ALL_TIME, Cell, ColumnRequest, DataRequest, TimeRange, as_request
 
@@ -86,7 +88,8 @@ def skipped_entities(
     names = F.array_compact(F.array(*[F.when(F.col(f).isNull(), F.lit(requests[f].name)) for f in missing]))
     skipped = rows.select(*table.entity, names.alias("missing")).where(F.size("missing") > 0)
     if every > 1:
-        skipped = skipped.where(F.monotonically_increasing_id() % every == 0)
+        # By the entity and not by its place, so that the partitioning does not matter.
+        skipped = skipped.where(F.pmod(F.xxhash64(*table.entity), F.lit(every)) == 0)
     return skipped
 
 
@@ -99,8 +102,16 @@ def scan_cells(table: CellTable, column: str | ColumnRequest, time_range: TimeRa
     table.validate([request])
     view = table.find(request)
     if isinstance(view, WideCells):
-        cells = F.explode(_wide_slice(view, request, time_range)).alias("c")
-        rows = view.frame.select(*_entity(view), cells).select(*table.entity, "c.*")
+        frame = _wide_rows(view, [request], time_range)
+        if request.qualifier is not None:
+            value = narrowed(as_column(view.columns[request.qualifier]), request)
+            if request.filter is not None:
+                frame = frame.where(request.filter.condition(F.lit(request.qualifier)))
+            rows = frame.select(
+                *_entity(view), F.lit(request.qualifier).alias("qualifier"), view.version.value.alias("version"), value.alias("value"))
+        else:
+            cells = F.explode(_wide_slice(view, request, time_range)).alias("c")
+            rows = frame.select(*_entity(view), cells).select(*table.entity, "c.*")
     else:
         rows = _long_cells(view, request, time_range)
     return rows.select(*table.entity, "qualifier", "version", "value")
@@ -109,22 +120,31 @@ def scan_cells(table: CellTable, column: str | ColumnRequest, time_range: TimeRa
 def scan_pages(
     table: CellTable, column: str | ColumnRequest, page_size: int | None = None, time_range: TimeRange = ALL_TIME
 ) -> DataFrame:
-    """Slices cut into pages of at most ``page_size`` cells: (entity, page, cells).
+    """Slices cut into full pages of ``page_size`` cells, the last one shorter: (entity, page, cells).
 
-    Pages of one entity, in the order of ``page``, give its slice in canonical order. The cells are
-    ranged on their whole address, so the pages of a hot entity are built by many tasks.
+    Pages of one entity, numbered from 0, give its slice in canonical order; the partitioning does not matter. The cells are
+    ranged on their whole address and written once, so the pages of a hot entity are built by many tasks: a cell's
+    position is its place in its part of the range, plus the cells of the entity in earlier parts.
     """
     request = as_request(column)
     size = request.page_size if page_size is None else page_size
     if size is None or size < 1:
         raise ValueError(f"{request.name}: a page size of at least 1 is needed")
     cells = scan_cells(table, request, time_range)
+    spark = cells.sparkSession
     address = [*[F.col(e) for e in table.entity], F.col("qualifier"), F.col("version").desc()]
     ranged = cells.repartitionByRange(*address).sortWithinPartitions(*address)
-    # The id rises along the global order; a block of it holds at most `size` rows of an entity.
-    ranged = ranged.withColumn("_at", F.monotonically_increasing_id())
-    ranged = ranged.withColumn("page", F.expr(f"_at div {int(size)}"))
-    pages = ranged.groupBy(*table.entity, "page").agg(F.collect_list(_sortable()).alias("_cells"))
+    # The ids of a part rise with the address; parts themselves are numbered in the order of the range.
+    ranged = ranged.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
+    path = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
+    ranged.write.parquet(path)
+    written = spark.read.schema(ranged.schema).parquet(path)
+    parts = written.groupBy(*table.entity, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy(*table.entity).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    placed = written.join(parts.select(*table.entity, "_part", "_first", "_before"), [*table.entity, "_part"])
+    placed = placed.withColumn("page", F.expr(f"(_before + _at - _first) div {int(size)}"))
+    pages = placed.groupBy(*table.entity, "page").agg(F.collect_list(_sortable()).alias("_cells"))
     return pages.select(*table.entity, "page", _canonical(pages, "_cells").alias("cells"))
 
 
@@ -192,9 +212,19 @@ def _wide_slice(view: WideCells, request: ColumnRequest, time_range: TimeRange)
     return F.when(F.size(slots) > 0, slots)
 
 
+def _wide_rows(view: WideCells, requests: list[ColumnRequest], time_range: TimeRange) -> DataFrame:
+    """Rows with a wanted cell in the time range, as plain conditions that reach the files."""
+    frame = view.frame
+    inside = view.version.within(time_range)
+    if inside is not None:
+        frame = frame.where(inside)
+    names = {n for r in requests for n in ([r.qualifier] if r.qualifier is not None else view.columns)}
+    return frame.where(reduce(or_, [as_column(view.columns[n]).isNotNull() for n in sorted(names)]))
+
+
 def _wide_frame(view: WideCells, requests: Mapping[str, ColumnRequest], time_range: TimeRange) -> DataFrame:
-    """All requests on a wide view: a projection, no exchange."""
-    return view.frame.select(
+    """All requests on a wide view: a projection, no exchange. Rows without any wanted cell are left out."""
+    return _wide_rows(view, list(requests.values()), time_range).select(
         *_entity(view), *[_wide_slice(view, r, time_range).alias(f) for f, r in requests.items()]
     )
 

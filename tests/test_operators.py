@@ -309,3 +309,11 @@ def test_typed_literals(spark):
         assert got.schema["v"].dataType.simpleString() == t.simpleString()
         assert got.first().v.asDict(True) == {"a": 1, "l": ["p"], "m": {"k": 2}, "s": {"x": 3.5}}
     assert spark.range(1).select(literal_of((None, [], {}, None), t).alias("v")).first().v.asDict() == {"a": None, "l": [], "m": {}, "s": None}
+
+
+def test_hashed_ids_of_different_ids_differ(spark):
+    frame = spark.createDataFrame([("a\x00b", None)], "x string, y string")
+    ids = frame.select(
+        hashed_entity_id("x"), hashed_entity_id(F.lit("a"), F.lit("b")), hashed_entity_id("x", "y"), hashed_entity_id("y", "x"),
+        hashed_entity_id(F.lit("\x01")), hashed_entity_id("y"), hashed_entity_id(F.lit("n")), hashed_entity_id(F.lit("1:a1:b"))).first()
+    assert len({bytes(i) for i in ids}) == 8

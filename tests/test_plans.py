@@ -4,12 +4,14 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from cellflow.plans.catalogue import QUERIES, customers
+from cellflow.sources.cells import CellTable, Version, WideCells
+from cellflow.sources.requests import ColumnRequest, TimeRange
+from cellflow.sources.scan import scan, scan_cells
 from tests.helpers import plan
 
-QUERIES = queries()
 EXCHANGES = {  # queries whose number of exchanges is a design decision
-    "latest_cell_family": 1, "latest_n_versions": 2, "entities_scan": 1, "missing_rows_dropped": 1,
+    "latest_cell_family": 1, "latest_n_versions": 2, "entities_scan": 1, "wide_time_range": 0,
     "multi_column_profile": 0, "reader_projection": 0, "slice_stats": 2, "slice_first_last": 2,
     "word_count": 1, "row_shaping": 0, "vector_products": 0, "item_sets_raw": 2, "item_pairs": 3,
     "upsert_latest_write": 1, "evaluate_rows_only": 1, "lm_converged": 1, "selector_first": 3,
@@ -29,3 +31,22 @@ def test_plan(spark, sf, name):
     # Only counts, sums and the like may meet in one task.
     for parent in re.findall(r"Exchange SinglePartition.*\n[^A-Za-z]*(?:\*\(\d+\) )?(\w+)", text):
         assert "Aggregate" in parent, parent
+
+
+def test_newest_versions_are_cut_before_anything_moves(spark, sf):
+    text = plan(QUERIES["latest_n_versions"](spark, sf))
+    first = [line for line in text.splitlines() if "Exchange" in line][-1]
+    assert "WindowGroupLimit" in text[text.index(first):]
+
+
+def test_wide_views_push_their_conditions(spark, sf):
+    view = WideCells(
+        spark.read.parquet(f"{sf}/orders.parquet"), "order", {"orderkey": "o_orderkey"}, {"price": "o_totalprice", "status": "o_orderstatus"},
+        Version.micros_of("o_orderdate"))
+    table, late = CellTable(["orderkey"], [view]), TimeRange.after(820454400000000)
+    for frame in (scan(table, {"p": "order:price"}, late), scan_cells(table, ColumnRequest("order:price"), late)):
+        pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan(frame))[1]
+        assert "GreaterThanOrEqual(o_orderdate" in pushed and "IsNotNull(o_totalprice)" in pushed
+        assert "Generate" not in plan(frame)
+    assert "o_orderdate" in plan(scan_cells(table, "order", late)) and "Generate" in plan(scan_cells(table, "order", late))
+    assert scan(customers(spark, sf), {"n": "profile:name"}).count() > 0

@@ -1,3 +1,4 @@
+import random
 import tempfile
 
 import pytest
@@ -310,3 +311,31 @@ def test_join_on_a_derived_key(spark):  # X10
     keyed = animals.select(F.concat(first_token(first_value("a")), F.lit("row")).alias("key"), first_value("a").alias("v"))
     side = spark.createDataFrame([("0row",), ("2row",)], "line string")
     assert {r.v for r in keyed.join(side, keyed.key == side.line).collect()} == {"0 dogs", "2 fish"}
+
+
+def test_pages_do_not_depend_on_the_partitioning(spark):
+    rows = [(f"e{i}", f"q{c % 7}", c, float(c)) for i in range(10) for c in range(20 if i else 500)]
+    view = cell_view(spark, "f", rows, "double")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    for parts in (3, 9):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        pages = scan_pages(cell_table(view), ColumnRequest("f", max_versions=None), 7).collect()
+        got.append(sorted((r.entity, r.page, [tuple(c) for c in r.cells]) for r in pages))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1]
+    sizes = [len(c) for e, _, c in got[0] if e == "e3"]
+    assert sizes == [7, 7, 6] and [p for e, p, _ in got[0] if e == "e0"] == list(range(72))
+
+
+def test_newest_versions_of_rewritten_cells(spark):
+    rng = random.Random(4)
+    rows = [(f"e{rng.randint(0, 3)}", f"q{rng.randint(0, 2)}", rng.randint(0, 9), float(k), k) for k in range(900)]
+    view = cell_view(spark, "f", rows, "double", ordered=True)
+    want = {}
+    for e, q, v, x, k in rows:
+        want.setdefault((e, q), {})[v] = x
+    for n in (2, 3):
+        cells = scan_cells(cell_table(view), ColumnRequest("f", max_versions=n)).collect()
+        newest = {(e, q, v, x) for (e, q), c in want.items() for v, x in sorted(c.items(), reverse=True)[:n]}
+        assert {tuple(r) for r in cells} == newest and len(cells) == len(newest)
