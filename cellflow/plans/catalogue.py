@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
@@ -21,7 +21,7 @@ from cellflow.operators.itemsets import (
     capped_counts, filter_by_support, frequent_item_sets, gather_baskets, item_sets,
 )
 from cellflow.operators.joins import cross_with_row, join_with_count, join_with_group_count
-from cellflow.operators.nested import conform, pack, unpack
+from cellflow.operators.nested import conform, pack, require_type, unpack
 from cellflow.operators.versions import newest, oldest
 from cellflow.plans.phases import (
     ALL, Distance, Environment, Evaluator, Extractor, Model, PhaseEnvironment, ScoreEnvironment, Scorer,
@@ -29,11 +29,12 @@ from cellflow.plans.phases import (
 )
 from cellflow.plans.regression import train_linear
 from cellflow.session import shared_folder
-from cellflow.sources.cell_log import CellColumns, CellLog
+from cellflow.sources.cell_log import CellColumns, CellLog, ColumnOutput, write_outputs
 from cellflow.sources.cells import CellTable, LongCells, Version, WideCells
 from cellflow.sources.requests import ALL_VERSIONS, And, ColumnRequest, DataRequest, Or, Range, Regex, TimeRange
 from cellflow.sources.scan import scan, scan_cells, scan_pages, skipped_entities
-from cellflow.sources.side_data import contains_key, lookup, table_column
+from cellflow.sources.files import ParquetFile, sequence_file, text_lines, write_sequence_file, write_text, write_tsv
+from cellflow.sources.side_data import contains_key, delimited_text, key_values, lookup, records, table_column
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -226,9 +227,15 @@ def data_request_scan(spark, folder):
 
 @query
 def scan_counters(spark, folder):
-    rows = scan(texts(spark, folder), {"lang": "doc:lang", "quality": "label:quality"}, keep_missing=True)
-    gone = F.col("lang").isNull() | F.col("quality").isNull()
-    return rows.agg(F.count("*").alias("rows_read"), F.count_if(gone).alias("rows_skipped"))
+    """What the scan itself counts while its rows are written."""
+    counters = Observation("counters")
+    rows = scan(texts(spark, folder), {"lang": "doc:lang", "quality": "label:quality"}, counters=counters)
+    kept = scratch(spark, "kept")
+    rows.select("doc_id").write.parquet(kept)
+    seen = counters.get
+    return spark.read.parquet(kept).agg(
+        F.count("*").alias("rows_kept"), F.lit(seen["rows_read"]).cast("bigint").alias("rows_read"),
+        F.lit(seen["rows_skipped"]).cast("bigint").alias("rows_skipped"))
 
 
 @query
@@ -647,6 +654,154 @@ def cell_log_round_trip(spark, folder):
     return rows.select("custkey", *[S.first_value(c).alias(c) for c in ("name", "acctbal", "nation")])
 
 
+# --- files, side data and writes (A15-A21, K2, K3, K7, K9, K11-K13, C4, C11) --------------------------
+
+
+def scratch(spark, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def text_round_trip(spark, folder):
+    """Rows as lines of text and back, with the place of every line in its file."""
+    path = scratch(spark, "text")
+    write_text(read(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey"), path)
+    lines = text_lines(spark, path, offsets=True)
+    parts = F.split("line", "\t")
+    return lines.select(
+        F.get(parts, F.lit(0)).cast("bigint").alias("custkey"), F.get(parts, F.lit(1)).alias("name"),
+        F.get(parts, F.lit(2)).cast("int").alias("nation"), (F.col("offset") >= 0).alias("placed"))
+
+
+@query
+def tsv_round_trip(spark, folder):
+    path = scratch(spark, "tsv")
+    write_tsv(read(spark, folder, "supplier").select("s_suppkey", "s_name", "s_acctbal"), path)
+    return spark.read.option("sep", "\t").schema("suppkey bigint, name string, acctbal double").csv(path)
+
+
+@query
+def sequence_round_trip(spark, folder):
+    """Order and status as pairs of a sequence file."""
+    path = scratch(spark, "pairs")
+    pairs = read(spark, folder, "orders").select(F.col("o_orderkey").cast("string").alias("k"), "o_orderstatus")
+    write_sequence_file(pairs, path)
+    return sequence_file(spark, path).groupBy(F.col("value").alias("status")).agg(
+        F.count("*").alias("n"), F.sum(F.col("key").cast("bigint")).alias("keys"))
+
+
+@query
+def side_key_values(spark, folder):
+    path = scratch(spark, "side")
+    read(spark, folder, "part").select(F.col("p_partkey").alias("key"), F.col("p_brand").alias("value"), "p_type").write.parquet(path)
+    rows = read(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
+    found = lookup(rows, key_values(spark, path), "l_partkey", "brand")
+    return found.groupBy("brand").agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("orders"))
+
+
+@query
+def side_records(spark, folder):
+    """Whole records under a composite key."""
+    path = scratch(spark, "records")
+    people = read(spark, folder, "customer")
+    people.select(F.struct("c_custkey", "c_nationkey").alias("id"), "c_name", "c_acctbal").write.parquet(path)
+    rows = people.select("c_custkey", F.struct("c_custkey", "c_nationkey").alias("id"))
+    found = lookup(rows, records(spark, path, "id"), "id", "person")
+    return found.select("c_custkey", F.col("person.c_name").alias("name"), F.col("person.c_acctbal").alias("acctbal"))
+
+
+@query
+def side_delimited(spark, folder):
+    path = scratch(spark, "delimited")
+    nations = read(spark, folder, "nation").select(F.concat_ws("=", "n_nationkey", "n_name").alias("value"))
+    nations.write.text(path)
+    rows = read(spark, folder, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("nation"))
+    return lookup(rows, delimited_text(spark, path, "="), "nation", "name").select("s_suppkey", "name")
+
+
+@query
+def map_family_write(spark, folder):
+    """Order totals into a family by priority, with the order date as version, then compacted."""
+    log = CellLog(spark, scratch(spark, "family"), {"custkey": "bigint"}, {"spend": "double"}).create()
+    orders = read(spark, folder, "orders").select(
+        F.col("o_custkey").alias("custkey"), "o_orderpriority", "o_totalprice", "o_orderkey", C.micros("o_orderdate").alias("day"))
+    for _ in range(2):
+        log.write(orders, {"o_totalprice": ColumnOutput("spend", qualifier_field="o_orderpriority")}, version="day", order_by="o_orderkey")
+    cells = scan_cells(log.compact(scratch(spark, "family")).table(), ColumnRequest("spend", max_versions=2))
+    return cells.withColumnRenamed("qualifier", "priority")
+
+
+@query
+def inferred_schema_write(spark, folder):
+    """A column without a declared type keeps the record it is given."""
+    log = CellLog(spark, scratch(spark, "inferred"), {"suppkey": "bigint"}, {"info:any": None}).create()
+    rows = read(spark, folder, "supplier").select(F.col("s_suppkey").alias("suppkey"), F.struct("s_name", "s_acctbal").alias("r"))
+    log.write(rows, {"r": "info:any"}, version=F.lit(1))
+    found = log.scan({"r": "info:any"}).select("suppkey", S.first_value("r").alias("r"))
+    return found.select("suppkey", "r.s_name", "r.s_acctbal")
+
+
+@query
+def nulls_and_empties_write(spark, folder):
+    """Empty lists and NULL fields come back as they were; a NULL is no cell of its own type's default."""
+    kind = "struct<name:string,words:array<string>>"
+    log = CellLog(spark, scratch(spark, "nulls"), {"doc_id": "bigint"}, {"doc:r": kind}).create()
+    labels = read(spark, folder, "labels").select("doc_id", "quality", "toxic")
+    r = F.struct(F.when(F.col("quality") == 1, "good").alias("name"),
+                 F.when(F.col("toxic") == 1, F.array(F.lit("toxic"))).otherwise(F.array().cast("array<string>")).alias("words"))
+    log.write(labels.select("doc_id", r.alias("r")), {"r": "doc:r"}, version=F.lit(1))
+    found = log.scan({"r": "doc:r"}).select("doc_id", S.first_value("r").alias("r"))
+    return found.select("doc_id", "r.name", F.size("r.words").cast("bigint").alias("words"))
+
+
+@query
+def several_outputs(spark, folder):
+    """Two results of one parent, which is computed once; both are read back."""
+    parent = read(spark, folder, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"))
+    sinks = {"many": ParquetFile(scratch(spark, "many")), "few": ParquetFile(scratch(spark, "few"))}
+    line = F.col("lines") >= 100
+    write_outputs({"many": lambda p: p.where(line), "few": lambda p: p.where(~line)}, sinks, parent)
+    parts = [sinks[n].read(spark).withColumn("output", F.lit(n)) for n in ("many", "few")]
+    return parts[0].unionByName(parts[1]).withColumn("quantity", F.round("quantity", 2))
+
+
+@query
+def strict_types(spark, folder):
+    """Reads that accept exactly the stored types."""
+    rows = read(spark, folder, "orders")
+    return rows.select(
+        require_type(rows, "o_orderkey", "bigint"), require_type(rows, "o_totalprice", "double"), require_type(rows, "o_orderstatus", "string"))
+
+
+@query
+def random_ids(spark, folder):
+    """Every imported row gets an id of its own."""
+    path = scratch(spark, "ids")
+    read(spark, folder, "events").select("event_id").withColumn("eid", C.random_entity_id()).write.parquet(path)
+    return spark.read.parquet(path).agg(F.count("*").alias("rows"), F.countDistinct("eid").alias("ids"))
+
+
+@query
+def slice_function_forms(spark, folder):
+    """Statistics of a function of the cells."""
+    rows = scan(activity(spark, folder), {"s": ACTIVITY_3})
+    double = lambda c: c.value * 2
+    forms = {"sum": S.slice_sum, "squares": S.slice_sum_squares, "avg": S.slice_avg, "variance": S.slice_variance,
+             "stddev": S.slice_stddev, "least": S.slice_min, "most": S.slice_max}
+    return rows.select("user_id", *[F.round(f("s", double), 4).alias(n) for n, f in forms.items()])
+
+
+@query
+def family_default(spark, folder):
+    """A whole family with defaults for the documents that lack it."""
+    labels = read(spark, folder, "labels").select("doc_id", F.explode(F.array(
+        F.struct(F.lit("quality").alias("q"), F.col("quality").alias("v")), F.struct(F.lit("toxic").alias("q"), F.col("toxic").alias("v")))).alias("c"))
+    view = LongCells(labels.select("doc_id", "c.*"), "label", {"doc_id": "doc_id"}, "q", Version.number(F.lit(1)), "v")
+    request = ColumnRequest("label").replace_missing_with_versioned(("quality", 7, -1), ("toxic", 7, -2))
+    rows = scan(CellTable(["doc_id"], [view]), {"labels": request}, universe=read(spark, folder, "documents").select("doc_id"))
+    return rows.select("doc_id", F.array_join(F.transform("labels", lambda c: F.concat_ws(":", c.qualifier, c.version, c.value)), ",").alias("labels"))
+
+
 # --- models (M, U) -----------------------------------------------------------------------------------
 
 

@@ -125,8 +125,36 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY custkey, priority ORDER BY version DESC) AS rank FROM spend
   WHERE version >= {_micros(1995, 1, 1)} AND version < {_micros(1997, 1, 1)} AND priority >= '2' AND priority < '5')
 SELECT custkey, count(*) AS cells, round(sum(value), 2) AS total FROM ranked WHERE rank <= 2 GROUP BY custkey""",
+    "text_round_trip": "SELECT c_custkey AS custkey, c_name AS name, CAST(c_nationkey AS INTEGER) AS nation, true AS placed FROM customer",
+    "tsv_round_trip": "SELECT s_suppkey AS suppkey, s_name AS name, s_acctbal AS acctbal FROM supplier",
+    "sequence_round_trip": "SELECT o_orderstatus AS status, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY o_orderstatus",
+    "side_key_values": """
+SELECT p_brand AS brand, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS orders
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand""",
+    "side_records": "SELECT c_custkey, c_name AS name, c_acctbal AS acctbal FROM customer",
+    "side_delimited": "SELECT s_suppkey, n_name AS name FROM supplier JOIN nation ON s_nationkey = n_nationkey",
+    "map_family_write": f"""
+WITH {SPEND},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY custkey, priority ORDER BY version DESC) AS r FROM spend)
+SELECT custkey, priority, version, value FROM ranked WHERE r <= 2""",
+    "inferred_schema_write": "SELECT s_suppkey AS suppkey, s_name, s_acctbal FROM supplier",
+    "nulls_and_empties_write": """
+SELECT doc_id, CASE WHEN quality = 1 THEN 'good' END AS name, CAST(CASE WHEN toxic = 1 THEN 1 ELSE 0 END AS BIGINT) AS words FROM labels""",
+    "several_outputs": """
+SELECT l_suppkey, count(*) AS lines, round(sum(l_quantity), 2) AS quantity,
+       CASE WHEN count(*) >= 100 THEN 'many' ELSE 'few' END AS output FROM lineitem GROUP BY l_suppkey""",
+    "strict_types": "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders",
+    "random_ids": "SELECT count(*) AS rows, count(*) AS ids FROM events",
+    "slice_function_forms": _slices(3) + """
+SELECT user_id, round(sum(2 * value), 4) AS sum, round(sum(4 * value * value), 4) AS squares, round(avg(2 * value), 4) AS avg,
+       round(var_pop(2 * value), 4) AS variance, round(stddev_pop(2 * value), 4) AS stddev, round(min(2 * value), 4) AS least,
+       round(max(2 * value), 4) AS most FROM cells GROUP BY user_id""",
+    "family_default": """
+SELECT d.doc_id, coalesce('quality:1:' || l.quality || ',toxic:1:' || l.toxic, 'quality:7:-1,toxic:7:-2') AS labels
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "scan_counters": """
-SELECT count(*) AS rows_read, count(*) FILTER (d.lang IS NULL OR l.quality IS NULL) AS rows_skipped
+SELECT count(*) FILTER (d.lang IS NOT NULL AND l.quality IS NOT NULL) AS rows_kept,
+       count(*) AS rows_read, count(*) FILTER (d.lang IS NULL OR l.quality IS NULL) AS rows_skipped
 FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id""",
     "skipped_rows": """
 SELECT coalesce(d.doc_id, l.doc_id) AS doc_id,

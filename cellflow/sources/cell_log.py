@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import copy
 import time
+import uuid
 import zlib
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 
 from cellflow.functions import as_column, orderable
 from cellflow.operators.nested import SchemaMismatch, conform
+from cellflow.session import shared_folder
 from cellflow.sources.cells import CellTable, LongCells, Version
 from cellflow.sources.requests import ALL_TIME, ColumnRequest, DataRequest, TimeRange
 from cellflow.sources.scan import scan
@@ -124,7 +127,10 @@ class CellLog:
             ordered = [f.name for f in self._schema().fields]
             # The partitioned writer sorts by column anyway; going on by entity and version keeps the
             # row-group statistics narrow.
-            sorted_rows = long.select(*ordered).sortWithinPartitions("column", *self.entity, "version")
+            # Gathered by column first, so that many small tasks do not leave a file each in every column; adaptive execution
+            # cuts large columns into several tasks.
+            gathered = long.select(*ordered).hint("rebalance", "column")
+            sorted_rows = gathered.sortWithinPartitions("column", *self.entity, "version")
             sorted_rows.write.mode("append").partitionBy("column").parquet(f"{self.path}/cells")
         for field, output in targets.items():
             if field not in declared:
@@ -177,6 +183,30 @@ class CellLog:
             value = conform(value, dtype, layout.data_type, output.name)
         return value
 
+    def compact(self, path: str) -> CellLog:
+        """Write the last write of every cell to a new path: the next generation of this table, for the caller to go on with (K5).
+
+        Earlier writes of a cell combine before the exchange. Reads of both generations are equal.
+        """
+        out = copy.copy(self)
+        out.path = path
+        out.create()
+        stored = [f for f in self._schema().fields if f.name not in (*self.entity, "column", "qualifier", "version")]
+        order = F.struct(*[f.name for f in stored if orderable(f.dataType)])
+        cells = self.spark.read.schema(self._schema()).parquet(f"{self.path}/cells")
+        last = cells.groupBy(*self.entity, "column", "qualifier", "version").agg(
+            F.max_by(F.struct(*[f.name for f in stored]), order).alias("_last"))
+        rows = last.select("*", "_last.*").select(*[f.name for f in self._schema().fields]).hint("rebalance", "column")
+        rows.sortWithinPartitions("column", *self.entity, "version").write.mode("append").partitionBy("column").parquet(f"{path}/cells")
+        for name, layout in self.columns.items():
+            if layout.type is None and (views := self._own_views(name, *name.partition(":")[::2], {})):
+                own = views[0].frame
+                rest = [c for c in own.columns if c not in (*self.entity, "qualifier", "version")]
+                last = own.groupBy(*self.entity, "qualifier", "version").agg(
+                    F.max_by(F.struct(*rest), _write_order("value", own.schema["value"].dataType)).alias("_last"))
+                last.select("*", "_last.*").select(*own.columns).write.mode("append").parquet(out._own_path(name))
+        return out
+
     # --- reading ---
 
     def table(self) -> CellTable:
@@ -208,8 +238,10 @@ class CellLog:
     def _own_views(self, name, family, qualifier, entity) -> list[LongCells]:
         try:
             own = self.spark.read.option("mergeSchema", "true").parquet(self._own_path(name))
-        except AnalysisException:  # never written
-            return []
+        except AnalysisException as fault:
+            if fault.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []  # never written
         qualifiers = [qualifier] if qualifier else None
         order = _write_order("value", own.schema["value"].dataType)
         return [LongCells(own, family, entity, "qualifier", Version.number("version"), "value", order, qualifiers)]
@@ -242,11 +274,19 @@ class CellColumns:
         self.log.write(rows, self.columns, self.version)
 
 
-def write_outputs(frames: Mapping[str, DataFrame], sinks: Mapping[str, object]) -> None:
-    """Write several named results (K13). Each is a job of its own: write a costly shared part to a
-    table first."""
+def write_outputs(
+    frames: Mapping[str, DataFrame | Callable[[DataFrame], DataFrame]], sinks: Mapping[str, object], parent: DataFrame | None = None
+) -> None:
+    """Write several named results (K13), each a job of its own.
+
+    With a ``parent``, frames may be functions of it: it is computed once, written to the shared folder, and read by every job.
+    """
     unknown = sorted(set(frames) - set(sinks))
     if unknown:
         raise InvalidWrite(f"no output named {', '.join(unknown)}")
+    if parent is not None:
+        path = f"{shared_folder(parent.sparkSession)}/parent-{uuid.uuid4().hex}"
+        parent.write.parquet(path)
+        parent = parent.sparkSession.read.schema(parent.schema).parquet(path)
     for name, frame in frames.items():
-        sinks[name].write(frame)
+        sinks[name].write(frame(parent) if callable(frame) else frame)

@@ -62,8 +62,8 @@ def lookup(
     """Add the side value of ``key`` (D6). A NULL key fails; so does an absent one, unless
     ``on_missing`` is "null".
 
-    Side data is broadcast only after its size was measured (or ``small`` says so); otherwise it is
-    joined by key with the heavy keys of the rows spread.
+    Side data is joined by key with the heavy keys of the rows spread; adaptive execution turns that into a broadcast when it
+    knows the side to be small. ``small`` asks for one in advance, which is done only if rows and bytes, measured then, allow it.
     """
     if on_missing not in ("error", "null"):
         raise ValueError('on_missing is "error" or "null"')
@@ -92,7 +92,8 @@ def _attach(
     small: bool | None,
     unique: bool = False,
 ) -> DataFrame:
-    small = is_small(side) if small is None else small
+    # Without a hint the choice is Spark's, when it runs; a hint is measured before it is believed.
+    small = bool(small) and is_small(side)
     side = side if unique else unique_keys(side, keep_first_by)
     side = side.select(F.col("key").alias("_key"), F.struct("value").alias("_side"))
     key = as_column(key)

@@ -244,3 +244,25 @@ def test_random_writes_against_a_dictionary(spark, path):
         want = {(e, q, t, v) for (e, q), c in want.items() for t, v in sorted(c, reverse=True)[:n]}
         got = scan_cells(log.table(), ColumnRequest("m", max_versions=n), time_range)
         assert {tuple(r) for r in got.select("entity", "qualifier", "version", "value").collect()} == want
+
+
+def test_a_write_of_many_small_tasks_leaves_few_files(spark, path):
+    log = CellLog(spark, path, {"k": "bigint"}, {"f:a": "int", "f:b": "int", "f:c": "int"}).create()
+    rows = spark.range(6400).select(F.col("id").alias("k"), *[F.col("id").cast("int").alias(c) for c in "abc"]).repartition(64)
+    for _ in range(2):
+        log.write(rows, {c: f"f:{c}" for c in "abc"}, version=F.lit(1))
+    files = [f for _, _, names in os.walk(f"{path}/cells") for f in names if f.endswith(".parquet")]
+    assert len(files) <= 16
+    again = log.compact(f"{path}-next")
+    read = lambda x: sorted(map(str, x.scan({c: f"f:{c}" for c in "abc"}).collect()))
+    assert read(again) == read(log) and spark.read.parquet(f"{path}-next/cells").count() == 3 * 6400
+
+
+def test_a_broken_own_table_is_not_an_unwritten_one(spark, path):
+    log = CellLog(spark, path, {"k": "bigint"}, {"f:any": None}).create()
+    assert log.table() is not None
+    os.makedirs(f"{path}/own/f.any")
+    with open(f"{path}/own/f.any/part-0.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        log.table()
