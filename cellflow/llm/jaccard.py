@@ -231,6 +231,7 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, back = np.unique(np.concatenate([keys, values]), return_inverse=True)
         counts = np.bincount(back, np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
         keys, counts = pruned(keys, counts, COUNTERS)
+    keys, counts = keys[counts > 1], counts[counts > 1]  # what a task met once says nothing about costs
     none = lambda kind: pa.nulls(len(keys), kind)
     yield pa.RecordBatch.from_arrays(
         [none(pa.int64()), none(pa.int32()), none(pa.int64()), none(pa.int64()), none(pa.binary()), none(pa.binary()), pa.array(keys.view(np.int64)), pa.array(counts)],
