@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellflow.functions import as_column, comma_joined
 from cellflow.operators.joins import cross_with_row, skewed_join
+from cellflow.session import written
 
 FREQUENCY = "itemSetFrequency"
 SPLIT_ABOVE = 1000
@@ -134,29 +136,54 @@ def frequent_item_sets(
     """Item sets with support above the threshold, straight from (basket, item) rows.
 
     The normaliser is ``constant``, the only value of a one-row ``normalizer``, or else the number of
-    baskets. An item that is not itself above the
-    threshold cannot be in a kept set; such items go before any subset is formed, so a basket holds
-    at most the frequent items when it is gathered. There are at most the mean number of items of a
-    basket divided by the threshold of those, however much data there is.
-
-    The rows are read and exchanged once: counts, supports and baskets all start from that exchange.
+    baskets. Sets grow level by level: an item that is not itself above the threshold goes before any basket is gathered, and a
+    set grows only while it is frequent, by items with which its other items are frequent as well. A row carries a set and the items
+    of its basket that may follow, so the sets of a large basket are grown by many tasks. Each level is written once,
+    for it is counted and then grown.
     """
     if threshold < 0:
         raise ValueError("the threshold must not be negative")
+    if not 1 <= min_size <= max_size:
+        raise ValueError(f"set sizes must satisfy 1 <= {min_size} <= {max_size}")
     basket = list(basket)
-    counted = capped_counts(rows, basket, item, max_size)
+    counted = written(capped_counts(rows, basket, item, max_size), "items")
     if constant is not None:
-        total = F.lit(float(constant))
+        total = float(constant)
     elif normalizer is not None:
-        total = normalizer.select(F.col(normalizer.columns[0]).cast("double")).scalar()
+        total = normalizer.select(F.col(normalizer.columns[0]).cast("double")).first()[0]
     else:
-        total = counted.select(*basket).distinct().agg(F.count(F.lit(1)).cast("double")).scalar()
+        total = float(counted.select(*basket).distinct().count())
+    ratio = F.try_divide(F.col("_rows").cast("double"), F.lit(total))
     supports = counted.groupBy(item).agg(F.count(F.lit(1)).alias("_rows"))
-    frequent = supports.where(F.try_divide(F.col("_rows").cast("double"), total) > threshold)
+    frequent = supports.where(ratio > threshold)
     kept = skewed_join(counted, frequent, [item], "left_semi", counts=supports, right_knows="_rows")
-    baskets = gather_baskets(kept, basket, item, "_basket")
-    sets = item_sets(baskets, "_basket", out, min_size, max_size, joined=False, split_above=None)
-    counts = sets.groupBy(out).agg(F.count(F.lit(1)).alias(FREQUENCY))
-    kept = counts.withColumn(support, F.try_divide(F.col(FREQUENCY).cast("double"), total))
-    kept = kept.where(F.col(support) > threshold)
-    return kept.select(comma_joined(out).alias(out), FREQUENCY, support)
+    found = [frequent.select(F.array(item).alias("_set"), "_rows")] if min_size == 1 else []
+    sorted_items = gather_baskets(kept, basket, item, "_items").select(F.sort_array("_items").alias("_tail"))
+    level = _grow(sorted_items.where(F.size("_tail") >= max(min_size, 2)).withColumn("_set", F.array().cast(sorted_items.schema["_tail"].dataType)))
+    level = level.repartition(F.xxhash64("_set", "_tail"))
+    known = None
+    for size in range(2, max_size + 1):
+        grown = _grow(level)
+        if known is not None:  # the set without its last but one item
+            other = F.concat(F.slice("_set", 1, size - 2), F.slice("_set", size, 1))
+            grown = skewed_join(grown.withColumn("_other", other), known.withColumnRenamed("_set", "_other"), ["_other"], "left_semi").drop("_other")
+        grown = written(grown, "sets")
+        counts = grown.groupBy("_set").agg(F.count(F.lit(1)).alias("_rows"))
+        known = written(counts.where(ratio > threshold), "frequent")
+        if size >= min_size:
+            found.append(known)
+        if size < max_size:
+            if known.isEmpty():
+                break
+            level = skewed_join(grown.where(F.size("_tail") > 0), known, ["_set"], "left_semi", right_knows="_rows")
+    sets = reduce(DataFrame.unionByName, found) if found else known.where(F.lit(False))
+    return sets.select(comma_joined("_set").alias(out), F.col("_rows").alias(FREQUENCY), ratio.alias(support))
+
+
+def _grow(rows: DataFrame) -> DataFrame:
+    """Every set with one more of the items that may follow, each distinct one once."""
+    first = F.transform("_tail", lambda x, i: F.when((i > 0) & (F.get("_tail", i - 1) == x), None).otherwise(i))
+    rows = rows.select("_set", "_tail", F.explode(F.array_compact(first)).alias("_at"))
+    return rows.select(
+        F.concat("_set", F.slice("_tail", F.col("_at") + 1, F.lit(1))).alias("_set"),
+        F.slice("_tail", F.col("_at") + 2, F.size("_tail")).alias("_tail"))

@@ -591,13 +591,13 @@ def brand_baskets(spark: SparkSession, folder: str, max_size: int) -> DataFrame:
 
 @query
 def item_pairs(spark, folder):
-    pairs = item_sets(brand_baskets(spark, folder, 2), "basket", "pair", 2, 2, split_above=None)
+    pairs = item_sets(brand_baskets(spark, folder, 2), "basket", "pair", 2, 2)
     return pairs.groupBy("pair").agg(F.count("*").alias("n"))
 
 
 @query
 def item_triples(spark, folder):
-    triples = item_sets(brand_baskets(spark, folder, 3), "basket", "triple", 3, 3, split_above=None)
+    triples = item_sets(brand_baskets(spark, folder, 3), "basket", "triple", 3, 3)
     return triples.groupBy("triple").agg(F.count("*").alias("n"))
 
 
@@ -606,19 +606,19 @@ def item_sets_raw(spark, folder):
     """Pairs of return flag and status of an order's lines, as they are, one row each."""
     lines = read(spark, folder, "lineitem").select("l_orderkey", F.concat("l_returnflag", "l_linestatus").alias("state"))
     counted = capped_counts(lines, ["l_orderkey"], "state", 2)
-    return item_sets(gather_baskets(counted, ["l_orderkey"], "state", "basket"), "basket", "pair", 2, 2, split_above=None)
+    return item_sets(gather_baskets(counted, ["l_orderkey"], "state", "basket"), "basket", "pair", 2, 2)
 
 
 @query
 def support_constant(spark, folder):
-    pairs = item_sets(brand_baskets(spark, folder, 2), "basket", "pair", 2, 2, split_above=None)
+    pairs = item_sets(brand_baskets(spark, folder, 2), "basket", "pair", 2, 2)
     kept = filter_by_support(pairs, "pair", "support", 0.5, constant=500.0)
     return kept.select("pair", F.col("itemSetFrequency").alias("frequency"), "normalizer", F.round("support", 6).alias("support"))
 
 
 @query
 def support_frame(spark, folder):
-    pairs = item_sets(brand_baskets(spark, folder, 2), "basket", "pair", 2, 2, split_above=None)
+    pairs = item_sets(brand_baskets(spark, folder, 2), "basket", "pair", 2, 2)
     total = read(spark, folder, "orders").agg(F.count("*").alias("normalizer"))
     kept = filter_by_support(pairs, "pair", "support", 0.025, normalizer=total)
     return kept.select("pair", F.col("itemSetFrequency").alias("frequency"), "normalizer", F.round("support", 6).alias("support"))

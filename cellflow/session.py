@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -28,6 +29,13 @@ def session(master: str = "local[8]", partitions: int = 8, memory: str = "8g") -
     return spark
 
 
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, and read again by all that follows."""
+    path = f"{shared_folder(frame.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables: the one the cluster names, a new local one only if none."""
     named = spark.conf.get(CHECKPOINT_SETTING, None)

@@ -213,6 +213,12 @@ def test_frequent_item_sets_against_brute_force(spark):
         assert {(r[0], r[1], round(r[2], 9)) for r in got} == want
 
 
+def test_a_large_basket_emits_candidates_only(spark):
+    rows = [(0, i) for i in range(300)] + [(b, i) for b in range(1, 40) for i in (1, 2, 3)] + [(b, b % 300) for b in range(40, 700)]
+    got = frequent_item_sets(spark.createDataFrame(rows, "b int, i int"), ["b"], "i", 0.01, 2, 5).collect()
+    assert {(r[0], r[1]) for r in got} == {("1,2", 40), ("1,3", 40), ("2,3", 40), ("1,2,3", 40)}
+
+
 def test_gathered_baskets_are_bounded(spark):
     rows = spark.createDataFrame([(1, "a")] * 50 + [(1, "b")], "b int, i string")
     got = gather_baskets(capped_counts(rows, ["b"], "i", 3), ["b"], "i", "items").first()

@@ -13,7 +13,7 @@ from tests.helpers import plan
 EXCHANGES = {  # queries whose number of exchanges is a design decision
     "latest_cell_family": 1, "latest_n_versions": 2, "entities_scan": 1, "wide_time_range": 0,
     "multi_column_profile": 0, "reader_projection": 0, "slice_stats": 2, "slice_first_last": 2,
-    "word_count": 1, "row_shaping": 0, "vector_products": 0, "item_sets_raw": 2, "item_pairs": 3,
+    "word_count": 1, "row_shaping": 0, "vector_products": 0,
     "upsert_latest_write": 1, "evaluate_rows_only": 1, "lm_converged": 1, "selector_first": 3,
 }
 WRITES = {  # what is read back from files of their own
