@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cellflow.llm.common import quoted, scratch, stored, text_of
+from cellflow.llm.common import arrow_rows, quoted, scratch, stored, text_of
 from cellflow.llm.packing import encoder
 
 LENGTH = 1024
@@ -35,6 +35,8 @@ END = 50256
 NUMBERS = 16_384
 ROUNDS = 6
 PIECE = 128
+#: Rows of an Arrow batch, of a document or a sequence each.
+ROWS = 512
 
 
 def _round(half: np.ndarray, key: int, r: int) -> np.ndarray:
@@ -136,7 +138,7 @@ def _written(folder: str):
         for batch in batches:
             shards = batch.column(0).to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
-            places = []
+            places, ids = [], batch.column(5).to_pylist()
             for lo, hi in zip(cuts, cuts[1:], strict=False):
                 if lo == hi:
                     continue
@@ -144,11 +146,9 @@ def _written(folder: str):
                     close()
                     shard, place = int(shards[lo]), 0
                     out = system.open_output_stream(f"{path}/shard-{shard:08d}.bin.{attempt}")
-                own = batch.column(5).slice(lo, hi - lo).to_pylist()
-                out.write(b"".join(own))
+                out.write(b"".join(ids[lo:hi]))
                 places.append(np.arange(place, place + hi - lo))
                 place += hi - lo
-            ids = batch.column(5).to_pylist()
             codes = pa.array([zlib.crc32(b) for b in ids], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.concatenate(places) if places else np.zeros(0, np.int64)), *(batch.column(c) for c in (2, 3, 4)), codes],
@@ -177,9 +177,10 @@ def materialise(
         size += most
     made = sequences(own, offsets, size, key, ranks_path, pattern, length)
     shards = max(1, -(-size // NUMBERS))
-    manifest = stored(
-        made.repartition(shards, "shard").sortWithinPartitions("shard", "image").mapInArrow(
-            _written(folder), "shard int, place bigint, number bigint, n_tokens int, doc_ids array<bigint>, ids_crc32 bigint"), "manifest")
+    with arrow_rows(spark, ROWS):
+        manifest = stored(
+            made.repartition(shards, "shard").sortWithinPartitions("shard", "image").mapInArrow(
+                _written(folder), "shard int, place bigint, number bigint, n_tokens int, doc_ids array<bigint>, ids_crc32 bigint"), "manifest")
     # one row a shard
     starts = manifest.groupBy("shard").agg(F.count("*").alias("n")).withColumn(
         "start", F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
