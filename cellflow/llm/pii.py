@@ -224,12 +224,20 @@ def spans_of_texts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents with ``found``: an array of (start, kind_no, kind, end, value, score), by start and kind."""
+    """The documents with ``found``: an array of (start, kind_no, kind, end, value, score), by start and kind.
+
+    It replaces a column of that name.
+    """
     spans = spans_of_texts(docs, text)
     lists = spans.groupBy(F.col("key").alias("_key")).agg(F.array_sort(F.collect_list(
         F.struct("start", "kind_no", "kind", "end", "value", "score"))).alias("found"))
-    keyed = docs.withColumn("_text_key", F.unhex(F.md5(text_of(text))))
-    return keyed.join(lists, F.col("_text_key") == F.col("_key"), "left").drop("_key", "_text_key")
+    joined = _keyed(docs, text).join(lists, F.col("_text_key") == F.col("_key"), "left")
+    return joined.select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns if c != "found"], "found")
+
+
+def _keyed(docs: DataFrame, text: str) -> DataFrame:
+    """The rows as one value each, so that no name of theirs meets one used here, with the key of their text."""
+    return docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_doc"), F.unhex(F.md5(text_of(text))).alias("_text_key"))
 
 
 def mask(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:
@@ -244,16 +252,15 @@ def mask(docs: DataFrame, text: str = "text", length: str | None = "n_chars") ->
         F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kind", F.struct("start", "kind_no")).alias("kind"))
     lists = islands.groupBy(F.col("key").alias("_key")).agg(
         F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("_cuts"))
-    own = F.col(quoted(text))
+    own = F.col("_doc").getField(text)
     part = lambda s, from_: F.substring(own, (from_ + 1).cast("int"), (s["start"] - from_).cast("int"))
     pieces = F.transform("_cuts", lambda s, i: F.concat(
         part(s, F.when(i == 0, F.lit(0)).otherwise(F.get("_cuts", i - 1)["end"])), F.lit("["), F.upper(s["kind"]), F.lit("]")))
     tail = F.substring(own, (F.get("_cuts", F.size("_cuts") - 1)["end"] + 1).cast("int"), F.length(own))
     masked = F.when(F.col("_cuts").isNull(), own).otherwise(F.concat(F.array_join(pieces, ""), tail))
-    keyed = docs.withColumn("_text_key", F.unhex(F.md5(text_of(text))))
-    joined = held(keyed.join(lists, F.col("_text_key") == F.col("_key"), "left"), _masked=masked)
+    joined = held(_keyed(docs, text).join(lists, F.col("_text_key") == F.col("_key"), "left"), _masked=masked)
     new = {text: F.col("_masked")}
     if length in docs.columns:
-        new[length] = F.when(F.col("_cuts").isNull(), F.col(quoted(length))).otherwise(
+        new[length] = F.when(F.col("_cuts").isNull(), F.col("_doc").getField(length)).otherwise(
             F.length("_masked").cast(docs.schema[length].dataType))
-    return joined.select(*[new.get(c, F.col(quoted(c))).alias(c) for c in docs.columns])
+    return joined.select(*[new.get(c, F.col("_doc").getField(c)).alias(c) for c in docs.columns])

@@ -35,4 +35,4 @@ def documents(spark, texts, ids=None, lang="en", extra=None):
     return spark.createDataFrame(rows, DOC_SCHEMA + "".join(f", `{e}` string" for e in extra or []))
 
 
-CLASHES = ["id", "key", "digest", "row", "text_", "_doc", "lines", "count", "start", "number", "hash", "a", "b", "shard"]
+CLASHES = ["id", "key", "digest", "row", "text_", "_doc", "lines", "count", "start", "number", "hash", "a", "b", "shard", "_key", "_cuts", "_masked", "_text_key", "found", "_id"]
