@@ -194,13 +194,12 @@ class _Unseen:
     """Leaves out sets that this task has met before."""
 
     def __init__(self):
-        self.seen: set[int] = set()
+        self.seen: set[tuple[int, int]] = set()
 
     def __call__(self, sets: Sets) -> np.ndarray:
         a, b = _digests(sets)
         new = np.zeros(len(a), dtype=bool)
         for i, key in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
-            key = hash(key)
             if key not in self.seen:
                 self.seen.add(key)
                 new[i] = True
