@@ -44,3 +44,32 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT removed), '')) AS text_sha256
 FROM flagged GROUP BY doc_id
 """
+
+LLM_ORACLES["op3_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE
+    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words
+), shingles AS (
+  SELECT doc_id, unnest(s) AS shingle FROM sets
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+  WHERE 100 * n >= 75 * (len(x.s) + len(y.s) - n)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON r.other = l.a
+)
+SELECT doc_id, len(s) AS n_shingles, component_id
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)
+"""

@@ -6,11 +6,12 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
-from llm_helpers import CLASHES, documents
+from llm_helpers import CLASHES, documents, duck, same_rows
 
 from cellflow.llm import jaccard
 from cellflow.llm.components import components
 from cellflow.llm.jaccard import near_duplicates, signatures
+from cellflow.llm.oracles import LLM_ORACLES
 from cellflow.llm.queries import LLM_QUERIES
 from cellflow.llm.shingles import Sets, shingle_sets
 
@@ -137,6 +138,7 @@ def test_components(spark):
 
 
 def test_query(spark, sf):
+    same_rows(LLM_QUERIES["op3_jaccard_join"](spark, sf), duck(sf), LLM_ORACLES["op3_jaccard_join"])
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     component, _ = brute(rows)
     assert {r.doc_id: r.component_id for r in LLM_QUERIES["op3_jaccard_join"](spark, sf).collect()} == component
