@@ -1,7 +1,10 @@
 """Lexical retrieval packing: documents fill windows together with their nearest neighbours by BM25.
 
 Every document is its token ids and one end id. Full windows are cut off its start at once; the rest, shorter than a window, is
-packed. Rests are dealt evenly over shards of bounded size. In a shard an inverted index over the token ids is built; document
+packed. Rests are sorted by their key over the whole corpus and cut into shards of bounded size: the key is the ids
+that add much to a BM25 score and that many documents have, so that rests about the same things lie side
+by side and a key shared by more rests than a shard holds is split by its next ids. A neighbour beyond the shard is not seen. In a
+shard an inverted index over the token ids is built; document
 frequencies and the average length are those of the whole corpus, from the pass that makes the ids. The longest unused rest seeds a
 window, its most telling ids are the query, and the unused neighbours with the best BM25 scores fill the window greedily;
 the last one is cut so that the window is exactly full and its other part stays in the pool as a later seed. What is left at
@@ -30,10 +33,12 @@ from cellflow.llm.common import quoted, stored, text_of
 
 WINDOW = 1024
 END = 0
-#: Rests in a shard: what one task holds, at most WINDOW - 1 ids each.
+#: Rests in a shard, give or take a half: what is searched at once, at most WINDOW - 1 ids each.
 SHARD = 2048
-#: Ids of a query, and the usual constants of the score.
-QUERY, K1, B = 12, 1.2, 0.75
+#: Ids of a query.
+QUERY = 12
+#: Ids of a key, and the usual constants of the score.
+KEY, K1, B = 16, 1.2, 0.75
 SPECIAL = {"<|endoftext|>": 50256}
 #: Texts are encoded in pieces so that a task's memory does not depend on how many rows a batch has.
 PIECE = 256
@@ -103,6 +108,29 @@ def tokenised(docs: DataFrame, ranks_path: str, pattern: str, window: int) -> Da
     return stored(docs.mapInArrow(run, ROW.format(kind=kind)), "tokens")
 
 
+def parts_of(ids: np.ndarray, weight: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids of a rest and what each adds to a BM25 score."""
+    own, n = np.unique(ids, return_counts=True)
+    return own, weight[own] * n * (K1 + 1) / (n + K1 * (1 - B + B * len(ids) / mean))
+
+
+def keyed(rests: DataFrame, weight, common, mean: float) -> DataFrame:
+    """The rests with their key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, ends = [], [0]
+            for ids in batch.column("ids"):
+                own, parts = parts_of(np.frombuffer(ids.as_buffer(), dtype="<u2"), weight.value, mean)
+                keys.append(own[np.argsort(-parts * common.value[own], kind="stable")[:KEY]])
+                ends.append(ends[-1] + len(keys[-1]))
+            key = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*keys, []]).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, key], [*batch.schema.names, "key"])
+
+    kind = rests.schema["doc_id"].dataType.simpleString()
+    return stored(rests.mapInArrow(run, f"doc_id {kind}, start bigint, doc_tokens bigint, ids binary, place bigint, key array<int>"), "keys")
+
+
 class Index:
     """BM25 over the rests of a shard: per term the rests that have it, with their part of the score."""
 
@@ -209,13 +237,17 @@ def pack(
     full = told.where("ids_crc32 IS NOT NULL")
     rests = told.where("ids IS NOT NULL").select("doc_id", "start", "doc_tokens", "ids", "place")
     shards = max(1, -(-rests.count() // shard))
-    rests = rests.withColumn("shard", F.pmod(F.xxhash64("place"), F.lit(shards)).cast("int"))
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("place", kind="stable")
-        tokens = [np.frombuffer(b, dtype="<u2") for b in group["ids"]]
+    common = spark.sparkContext.broadcast(np.log(np.maximum(n, 1)) ** 2)
+    if shards > 1:  # sorted by key; equal keys are told apart by their place, so no range is too large
+        rests = keyed(rests, weight, common, mean).repartitionByRange(shards, "key", "place").sortWithinPartitions("key", "place").drop("key")
+    else:
+        rests = rests.repartition(1)
+
+    def sequences(rests: pa.Table, number: int) -> tuple[pa.RecordBatch, int]:
+        rests = rests.sort_by("place").combine_chunks()
+        tokens = [np.frombuffer(b.as_buffer(), dtype="<u2") for b in rests.column("ids")]
         index = Index(tokens, weight.value, mean)
-        rows, number = [], 0
+        rows = []
         for pieces in packed(tokens, index, window):
             offset = 0
             for rest, a, b in pieces:
@@ -223,14 +255,30 @@ def pack(
                 offset += b - a
             number += 1
         rest, a, length, code, sequence, offset = (np.array(c, dtype=np.int64) for c in zip(*rows, strict=True))
-        own = int(group["shard"].iloc[0]) + 1
-        ids = group["doc_id"].take(rest).reset_index(drop=True)
-        return pd.DataFrame({
-            "doc_id": ids, "start": group["start"].to_numpy()[rest] + a, "length": length, "ids_crc32": code,
-            "doc_tokens": group["doc_tokens"].to_numpy()[rest], "sequence_id": (own << 33) + sequence, "offset": offset})
+        own = rests.select(["doc_id", "start", "doc_tokens"]).take(pa.array(rest)).combine_chunks().to_batches()[0]
+        return pa.RecordBatch.from_arrays(
+            [own.column(0), pa.array(own.column(1).to_numpy() + a), pa.array(length), pa.array(code), own.column(2),
+             pa.array(sequence), pa.array(offset)],
+            ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]), number
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = (TaskContext.get().partitionId() + 1) << 33
+        left = None
+        for batch in batches:
+            left = pa.concat_tables([*([] if left is None else [left]), pa.Table.from_batches([batch])])
+            while left.num_rows >= 3 * shard:
+                out, number = sequences(left.slice(0, shard), number)
+                left = left.slice(shard)
+                yield out
+        if left is not None and left.num_rows:
+            parts = max(1, round(left.num_rows / shard))
+            cuts = [left.num_rows * k // parts for k in range(parts + 1)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                out, number = sequences(left.slice(lo, hi - lo), number)
+                yield out
 
     schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
-    shared = rests.groupBy("shard").applyInPandas(run, schema)
+    shared = rests.mapInArrow(run, schema)
     # a full window is the sequence of its own place, counted from below zero so that no shard has its number
     alone = full.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (-F.col("place") - 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     return alone.unionByName(shared).withColumnRenamed("doc_id", id_column)

@@ -62,6 +62,26 @@ def test_neighbours_share_words(spark):
     assert np.mean(pure) > 0.5
 
 
+def test_neighbours_are_found_beyond_a_shard_of_the_input(spark):
+    """40 groups of 6 documents, spread over the input; a shard holds 24 rests."""
+    rng = np.random.default_rng(5)
+    words = [w for w in Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).get_vocab() if w.isascii() and w.isalpha() and len(w) > 3]
+    words = rng.permutation(sorted(words))
+    own, noise = words[:160].reshape(40, 4), words[160:460]
+
+    def text(group):
+        return " ".join(rng.permutation([*np.repeat(own[group], 10), *rng.choice(noise, 100)]))
+
+    docs = documents(spark, [text(i % 40) for i in range(240)]).repartition(3)
+    rows = pack(docs, *byte_vocabulary(), shard=24).collect()
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, set()).add(r.doc_id)
+    windows = [v for v in by_sequence.values() if len(v) > 2]
+    together = [sum(a % 40 == b % 40 for a in v for b in v if a < b) / (len(v) - 1) for v in windows]
+    assert len(windows) > 20 and np.mean(together) > 0.5  # 0.05 if shards are drawn at random
+
+
 def test_query(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     table = dict(zip([r.doc_id for r in docs], ids_by_library([r.text for r in docs])))
