@@ -6,7 +6,7 @@ that add much to a BM25 score and that many documents have, so that rests about
 by side and a key shared by more rests than a shard holds is split by its next ids. A neighbour beyond the shard is not seen. In a
 shard an inverted index over the token ids is built; document
 frequencies and the average length are those of the whole corpus, from the pass that makes the ids. The longest unused rest seeds a
-window, its most telling ids are the query, and the unused neighbours with the best BM25 scores fill the window greedily;
+window, all its ids are the query, and the unused neighbours with the best BM25 scores fill the window greedily;
 the last one is cut so that the window is exactly full and its other part stays in the pool as a later seed. What is left at
 the end of a shard is cut into powers of two, which need no padding. Padding is thus nothing at all.
 
@@ -35,8 +35,8 @@ WINDOW = 1024
 END = 0
 #: Rests in a shard, give or take a half: what is searched at once, at most WINDOW - 1 ids each.
 SHARD = 2048
-#: Ids of a query.
-QUERY = 12
+#: A term that one of so many rests of a shard has is a row of a matrix.
+MANY = 32
 #: Ids of a key, and the usual constants of the score.
 KEY, K1, B = 16, 1.2, 0.75
 SPECIAL = {"<|endoftext|>": 50256}
@@ -135,29 +135,32 @@ class Index:
     """BM25 over the rests of a shard: per term the rests that have it, with their part of the score."""
 
     def __init__(self, rests: list[np.ndarray], weight: np.ndarray, mean: float):
-        terms, rows, parts = [], [], []
-        for i, ids in enumerate(rests):
-            own, n = np.unique(ids, return_counts=True)
-            terms.append(own)
-            rows.append(np.full(len(own), i))
-            parts.append(weight[own] * n * (K1 + 1) / (n + K1 * (1 - B + B * len(ids) / mean)))
-        terms, self.rows, self.parts = np.concatenate(terms), np.concatenate(rows), np.concatenate(parts)
-        begin = np.concatenate([[0], np.cumsum([len(np.unique(r)) for r in rests])])
-        self.queries = []
-        for i in range(len(rests)):
-            own = slice(begin[i], begin[i + 1])
-            best = np.argsort(-self.parts[own], kind="stable")[:QUERY]
-            self.queries.append(terms[own][best])
+        own = [parts_of(ids, weight, mean) for ids in rests]
+        self.queries = [t for t, _ in own]
+        terms, parts = np.concatenate(self.queries), np.concatenate([p for _, p in own]).astype(np.float32)
+        rows = np.repeat(np.arange(len(rests)), [len(t) for t in self.queries])
         order = np.argsort(terms, kind="stable")
-        self.rows, self.parts = self.rows[order], self.parts[order]
+        self.rows, self.parts, self.size = rows[order], parts[order], len(rests)
         self.begin = np.searchsorted(terms[order], np.arange(1 << 16 | 1))
-        self.size = len(rests)
+        # terms of many rests are rows of a matrix, whose product with itself adds faster than their postings
+        self.many = np.diff(self.begin) > max(4, len(rests) // MANY)
+        self.common = np.zeros((self.size, self.size), np.float32)
+        many = np.flatnonzero(self.many)
+        for lo in range(0, len(many), 1024):
+            dense = np.zeros((len(many[lo:lo + 1024]), self.size), np.float32)
+            for k, t in enumerate(many[lo:lo + 1024]):
+                at = slice(self.begin[t], self.begin[t + 1])
+                dense[k, self.rows[at]] = self.parts[at]
+            self.common += (dense > 0).astype(np.float32).T @ dense
 
     def scores(self, i: int) -> np.ndarray:
-        out = np.zeros(self.size)
-        for t in self.queries[i]:
-            own = slice(self.begin[t], self.begin[t + 1])
-            out[self.rows[own]] += self.parts[own]
+        out = self.common[i].astype(np.float64)
+        query = self.queries[i]
+        query = query[~self.many[query]]
+        few = [slice(a, b) for a, b in zip(self.begin[query].tolist(), self.begin[query.astype(np.int64) + 1].tolist(), strict=True)]
+        if few:
+            rows, parts = np.concatenate([self.rows[at] for at in few]), np.concatenate([self.parts[at] for at in few])
+            out += np.bincount(rows, weights=parts, minlength=self.size)
         return out
 
 

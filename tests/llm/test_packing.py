@@ -7,7 +7,7 @@ import public_tokenizers
 from llm_helpers import CLASHES, documents
 from tokenizers import Tokenizer
 
-from cellflow.llm.packing import encoder, pack
+from cellflow.llm.packing import Index, encoder, pack
 from cellflow.llm.queries import LLM_QUERIES, byte_vocabulary
 
 
@@ -82,6 +82,17 @@ def test_neighbours_are_found_beyond_a_shard_of_the_input(spark):
     assert len(windows) > 20 and np.mean(together) > 0.5  # 0.05 if shards are drawn at random
 
 
+def test_scores_are_of_the_whole_query():
+    rng = np.random.default_rng(3)
+    rests = [np.sort(rng.choice(np.arange(1, 400), rng.integers(1, 150))).astype("<u2") for _ in range(60)]
+    weight = np.linspace(0.1, 9, 1 << 16 | 1).astype(np.float32)
+    index = Index(rests, weight, 70.0)
+    for i in (0, 7, 59):
+        want = [sum(float(weight[t]) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(r) / 70)) for t in set(rests[i].tolist()) if (n := int((r == t).sum())))
+                for r in rests]
+        np.testing.assert_allclose(index.scores(i), want, rtol=1e-4)
+
+
 def test_query(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     table = dict(zip([r.doc_id for r in docs], ids_by_library([r.text for r in docs])))
