@@ -3,8 +3,9 @@
 Every page is read into a tree of elements; an element's key is the path of tags with their class and id. The trees of a host's pages are merged by
 aggregates: per element, how often each sequence of child elements (its presentation) and each text of a leaf (its content) occurs. The
 presentation importance of an element is the entropy of its presentations, the content importance of a leaf the entropy of its texts, both over
-the pages that have it and scaled to 0 .. 1; a branch's importance is the mean of its leaves' content importance, with its own presentation
-weighing ``STYLE``. Branches of low importance, which look and read alike on the pages of a site, are removed from each page.
+the pages that have it and scaled to 0 .. 1; a branch is as important as its most important leaf, with its own presentation
+weighing ``STYLE``. Branches of low importance, which look and read alike on the pages of a site, are removed from each page; the root and
+the body never go as a whole. Pages of a host with the same text count once.
 
 An element that few pages have cannot be judged, and what the page itself marks up as its article is kept however often copies of a page occur. Menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments of readers that are marked by element, role, class
@@ -52,6 +53,8 @@ MARKS = frozenset(
     "navbar navigation newsletter notice notices pagination popup promo promoted related share sharing sidebar signup social sponsor sponsored subscribe toolbar "
     "topbar widget".split())
 LANDMARKS = frozenset(["article", "main"])
+#: Elements that are the page itself; the root has no name.
+WHOLE = frozenset(["", "html", "body"])
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -145,33 +148,33 @@ def _hash(text: str) -> int:
 
 
 def style_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, html) to (host, path, kind, value): per page and element its presentation, per page and leaf its content."""
+    """(host, html) to (host, page, path, kind, value): per page and element its presentation, per page and leaf its content."""
     for batch in batches:
-        rows: list[tuple[str, str, str, int]] = []
+        rows: list[tuple[str, int, str, str, int]] = []
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             children: dict[str, list[str]] = {}
             leaves: dict[str, list[str]] = {}
-            for path, text, aside, _ in blocks_of(html or ""):
-                if aside:
-                    continue
+            found = [b for b in blocks_of(html or "") if not b[2]]
+            page = _hash("\n".join(b[1] for b in found))
+            for path, text, _, _ in found:
                 leaves.setdefault(path, []).append(text)
                 parts = path.split("/")
                 for i in range(1, len(parts)):
                     children.setdefault("/".join(parts[:i]), []).append(parts[i])
             for path, names in children.items():
-                rows.append((host, path, "style", _hash(" ".join(names))))
+                rows.append((host, page, path, "style", _hash(" ".join(names))))
             for path, texts in leaves.items():
-                rows.append((host, path, "content", _hash("\n".join(texts))))
-        columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+                rows.append((host, page, path, "content", _hash("\n".join(texts))))
+        columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string()), pa.array(columns[3], pa.int64())],
-            ["host", "path", "kind", "value"])
+            [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string()), pa.array(columns[3], pa.string()),
+             pa.array(columns[4], pa.int64())], ["host", "page", "path", "kind", "value"])
 
 
 def importance(pages: DataFrame, url: str, html: str) -> DataFrame:
     """(host, path, importance, pages) of every element that enough pages of its host have."""
     own = pages.select(host_of(F.col(quoted(url))).alias("host"), F.col(quoted(html)).cast("string").alias("html"))
-    records = own.mapInArrow(style_records, "host string, path string, kind string, value bigint")
+    records = own.mapInArrow(style_records, "host string, page bigint, path string, kind string, value bigint").distinct()
     counts = records.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n"))
     spread = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
     entropy = F.when(F.col("m") > 1, (F.log("m") - F.col("nlogn") / F.col("m")) / F.log("m")).otherwise(1.0)
@@ -180,7 +183,7 @@ def importance(pages: DataFrame, url: str, html: str) -> DataFrame:
     parts = F.split("path", "/")
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
     branches = content.select("host", F.explode(above).alias("path"), "m", "entropy").groupBy("host", "path").agg(
-        (F.sum(F.col("m") * F.col("entropy")) / F.sum("m")).alias("content"), F.max("m").alias("m"))
+        F.max("entropy").alias("content"), F.max("m").alias("m"))
     styles = spread.where("kind = 'style'").select("host", "path", F.col("entropy").alias("style"))
     both = branches.join(styles, ["host", "path"], "left")
     value = F.when(F.col("style").isNull(), F.col("content")).otherwise(STYLE * F.col("style") + (1 - STYLE) * F.col("content"))
@@ -196,7 +199,7 @@ def main_text(html: str, low: frozenset[str]) -> str:
         kept = []
         for b in found:
             parts = b[0].split("/")
-            if not any("/".join(parts[:i]) in low for i in range(1, len(parts) + 1)):
+            if not any("/".join(parts[:i]) in low for i in range(1, len(parts) + 1) if parts[i - 1].split(".")[0] not in WHOLE):
                 kept.append(b)
         found = kept
     return " ".join(b[1] for b in found)

@@ -46,6 +46,17 @@ def test_style_tree_removes_what_a_site_repeats(spark):
     assert low["/body/div.slogan"] == 0 and low["/body/div.post"] > 0.85
 
 
+def test_story_stays_beside_any_number_of_repeated_blocks(spark):
+    def page(n, story):
+        return f"<body><div class=post><p>{story}</p></div>" + "".join(f"<div class=block-{'abcdefghij'[k]}>said on every page, {k}</div>" for k in range(n)) + "</body>"
+
+    rows = [(100 * n + i, f"https://n{n}.example/{i}", page(n, f"story {i} of its own")) for n in range(3, 11) for i in range(12)]
+    rows += [(5000 + i, f"https://copies.example/{i}", page(3, f"story {min(i, 8)} of its own")) for i in range(200)]
+    got = {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()}
+    assert all(got[100 * n + i] == f"story {i} of its own" for n in range(3, 11) for i in range(12))
+    assert all(got[5000 + i] == f"story {min(i, 8)} of its own" for i in range(200))
+
+
 def test_cases(spark):
     rows = [(1, None, None), (1, None, None), (None, "x", ""), (2, "https://a.b", "<article>" + "long " * 50_000 + "</article>")]
     got = sorted((str(r.page_id), r.n_chars) for r in extract_text(pages(spark, rows)).collect())
