@@ -7,12 +7,13 @@ the pages that have it and scaled to 0 .. 1; a branch is as important as its mos
 weighing ``STYLE``. Branches of low importance, which look and read alike on the pages of a site, are removed from each page; the root and
 the body never go as a whole. Pages of a host with the same text count once.
 
-An element that few pages have cannot be judged, and what the page itself marks up as its article is kept however often copies of a page occur. Menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments of readers that are marked by element, role, class
+An element that few pages have cannot be judged. What a page marks up as its article or main part is judged like the rest, ``PRIOR`` more
+important. If that part holds at least half of the text that is left, of the rest only branches that were judged and found of high importance stay;
+otherwise, as on a page with a small teaser in an article element, it does not count. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments of readers that are marked by element, role, class
 or id are left out on every page.
 
 The statistics are counted with a map-side combine by host, element and value, so a host with a third of all pages is no hot task.
-Only its low-importance elements are joined back, a few for each host, by a join that adaptive execution can split.
+Only its elements of low importance, and of high importance beside articles, are joined back, a few for each host, by a join that adaptive execution can split.
 
 Defined cases: null html is empty; a null url has the host of the empty string; repeated rows each give a row; an empty table gives no rows.
 Unclosed elements are closed by their parents, or by the next block of the same kind; an unfinished tag or comment at the end is dropped.
@@ -33,6 +34,8 @@ from cellflow.llm.common import quoted, stored
 
 #: Pages that must have an element before it is judged, the importance below which its branch goes, the weight of presentation.
 PAGES, LEAST, STYLE = 5, 0.3, 0.1
+#: What an article or main element adds to importance, and the importance from which a branch beside it stays.
+PRIOR, HIGH = 0.15, 0.7
 #: Levels of the tree that are judged as branches of their own; what is deeper counts to its ancestors there.
 LEVELS = 12
 
@@ -190,34 +193,38 @@ def importance(pages: DataFrame, url: str, html: str) -> DataFrame:
     return both.where(F.col("m") >= PAGES).select("host", "path", value.alias("importance"), F.col("m").alias("pages"))
 
 
-def main_text(html: str, low: frozenset[str]) -> str:
-    """The text of the page without marked parts and without branches in low; of pages with an article, the article."""
+def main_text(html: str, low: frozenset[str], high: frozenset[str] = frozenset()) -> str:
+    """The text of the page without marked parts and branches in low; of a page that is mostly an article, the article and branches in high."""
     found = [b for b in blocks_of(html) if not b[2]]
-    if any(b[3] for b in found):
-        found = [b for b in found if b[3]]
-    elif low:
+    if low:
         kept = []
         for b in found:
             parts = b[0].split("/")
             if not any("/".join(parts[:i]) in low for i in range(1, len(parts) + 1) if parts[i - 1].split(".")[0] not in WHOLE):
                 kept.append(b)
         found = kept
+    if 2 * sum(len(b[1]) for b in found if b[3]) >= sum(len(b[1]) for b in found):
+        found = [b for b in found if b[3] or b[0] in high]
     return " ".join(b[1] for b in found)
 
 
 def extract_text(pages: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html", least: float = LEAST) -> DataFrame:
     """Per page: id, url, ``text``, ``n_chars``."""
-    low = importance(pages, url, html).where(F.col("importance") < least)
-    by_host = low.groupBy(F.col("host").alias("_host")).agg(F.collect_set("path").alias("_low"))
+    judged = importance(pages, url, html).withColumn("inside", F.col("path").rlike("/(article|main)(\\.|/|$)"))
+    low = F.col("importance") + F.when(F.col("inside"), PRIOR).otherwise(0.0) < least
+    judged = judged.withColumn("low", low).where(F.col("low") | ((F.col("importance") >= HIGH) & ~F.col("inside")))
+    by_host = judged.groupBy(F.col("host").alias("_host")).agg(
+        F.collect_set(F.when(F.col("low"), F.col("path"))).alias("_low"), F.collect_set(F.when(~F.col("low"), F.col("path"))).alias("_high"))
     own = pages.select(F.col(quoted(id_column)).alias("id"), F.col(quoted(url)).alias("url"), F.col(quoted(html)).cast("string").alias("html"),
                        host_of(F.col(quoted(url))).alias("host"))
-    joined = own.join(by_host, F.col("host") == F.col("_host"), "left").select("id", "url", "html", "_low")
+    joined = own.join(by_host, F.col("host") == F.col("_host"), "left").select("id", "url", "html", "_low", "_high")
     kind = pages.schema[id_column].dataType.simpleString()
     link = pages.schema[url].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h or "", frozenset(low or ())) for h, low in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            texts = [main_text(h or "", frozenset(low or ()), frozenset(high or ())) for h, low, high in zip(
+                batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["id", "url", "text", "n_chars"])
 

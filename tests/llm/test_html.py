@@ -57,6 +57,26 @@ def test_story_stays_beside_any_number_of_repeated_blocks(spark):
     assert all(got[5000 + i] == f"story {min(i, 8)} of its own" for i in range(200))
 
 
+def test_tree_judges_inside_and_beside_articles(spark):
+    def inside(i):
+        return f"<body><main><div class=tagline>the same words everywhere</div><p>story {i} of its own</p><div class=legal>all rights stay here</div></main></body>"
+
+    def teaser(i):
+        return f"<body><article><p>teaser {i}</p></article><div class=post><p>{f'the long story {i} of its own ' * 5}</p></div><div class=legal>all rights stay here</div></body>"
+
+    def two(i):
+        return f"<body><article><p>{f'first part {i} ' * 5}</p></article><div class=more><p>second part {i}</p></div><div class=legal>all rights</div></body>"
+
+    rows = [(100 * k + i, f"https://h{k}.example/{i}", f(i)) for k, f in enumerate((inside, teaser, two)) for i in range(12)]
+    rows += [(300, "https://alone.example", teaser(0))]
+    got = {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()}
+    for i in range(12):
+        assert got[i] == f"story {i} of its own"
+        assert got[100 + i] == f"teaser {i} " + " ".join([f"the long story {i} of its own"] * 5)
+        assert got[200 + i] == " ".join([f"first part {i}"] * 5) + f" second part {i}"
+    assert "the long story 0 of its own" in got[300]
+
+
 def test_cases(spark):
     rows = [(1, None, None), (1, None, None), (None, "x", ""), (2, "https://a.b", "<article>" + "long " * 50_000 + "</article>")]
     got = sorted((str(r.page_id), r.n_chars) for r in extract_text(pages(spark, rows)).collect())
