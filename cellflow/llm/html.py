@@ -10,7 +10,8 @@ the body never go as a whole. Pages of a host with the same text count once.
 An element that few pages have cannot be judged. What a page marks up as its article or main part is judged like the rest, ``PRIOR`` more
 important. If that part holds at least half of the text that is left, of the rest only branches that were judged and found of high importance stay;
 otherwise, as on a page with a small teaser in an article element, it does not count. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments of readers that are marked by element, role, class
-or id are left out on every page.
+or id are left out on every page. A class or id counts if all words of one of its tokens are such names (cookie-notice, but not no-sidebar). It never
+marks html, body, article or main, nor an element that holds a main element, the first article, or most of the text of a page without these.
 
 The statistics are counted with a map-side combine by host, element and value, so a host with a third of all pages is no hot task.
 Only its elements of low importance, and of high importance beside articles, are joined back, a few for each host, by a join that adaptive execution can split.
@@ -56,6 +57,8 @@ MARKS = frozenset(
     "navbar navigation newsletter notice notices pagination popup promo promoted related share sharing sidebar signup social sponsor sponsored subscribe toolbar "
     "topbar widget".split())
 LANDMARKS = frozenset(["article", "main"])
+#: A class or id marks no element that holds more than this part of the text of a page without landmarks.
+MOST = 0.75
 #: Elements that are the page itself; the root has no name.
 WHOLE = frozenset(["", "html", "body"])
 
@@ -67,8 +70,11 @@ ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 
 def blocks_of(html: str) -> list[tuple[str, str, bool, bool]]:
     """(path, text, aside, landmark) of every block of text in page order. A path has one part for each level."""
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # tag, path, aside, landmark
-    out: list[tuple[str, str, bool, bool]] = []
+    stack: list[tuple[str, str, bool, bool, int]] = [("", "", False, False, -1)]  # tag, path, aside, landmark, innermost element marked by class or id
+    out: list[tuple[str, str, bool, bool, int]] = []
+    outer: list[int] = []  # of every marked element the next marked one around it
+    holds: list[bool] = []  # whether it holds a landmark
+    landmarks = False
     parts: list[str] = []
     place = stack[0]
 
@@ -79,7 +85,7 @@ def blocks_of(html: str) -> list[tuple[str, str, bool, bool]]:
             text = entities.unescape(text)
         text = " ".join(text.split())
         if text:
-            out.append((place[1], text, place[2], place[3]))
+            out.append((place[1], text, *place[2:]))
 
     def pop_to(depth: int) -> None:
         del stack[depth:]
@@ -123,23 +129,46 @@ def blocks_of(html: str) -> list[tuple[str, str, bool, bool]]:
         if tag in VOID:
             continue
         attributes = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in ATTRIBUTE.finditer(found[3] or found[6] or "")}
-        words = set(re.split(r"[^a-z0-9]+", attributes.get("class", "") + " " + attributes.get("id", "")))
+        tokens = [re.findall(r"[a-z0-9]+", t) for t in (attributes.get("class", "") + " " + attributes.get("id", "")).split()]
+        words = {w for t in tokens for w in t}
         up = stack[-1]
-        beside = up[2] or tag in ASIDE or attributes.get("role", "") in ROLES or bool(words & MARKS)
-        if tag == "header" and up[3] and not (words & MARKS):
+        named = tag not in LANDMARKS | WHOLE and any(t and MARKS.issuperset(t) for t in tokens)
+        mark = up[4]
+        if named:
+            mark = len(outer)
+            outer.append(up[4])
+            holds.append(False)
+        beside = up[2] or tag in ASIDE or attributes.get("role", "") in ROLES
+        if tag == "header" and up[3] and not named:
             beside = up[2]  # the heading of an article
+        if tag in LANDMARKS and not beside:
+            if mark >= 0 and (tag == "main" or not landmarks):
+                holds[mark] = True
+            landmarks = True
         landmark = up[3] or tag in LANDMARKS
         if block:
             name = tag + "".join("." + w for w in sorted(words) if w)
-            stack.append((tag, f"{up[1]}/{name}" if up[1].count("/") < LEVELS else up[1], beside, landmark))
+            stack.append((tag, f"{up[1]}/{name}" if up[1].count("/") < LEVELS else up[1], beside, landmark, mark))
         else:
-            stack.append((tag, up[1], beside, landmark))
+            stack.append((tag, up[1], beside, landmark, mark))
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             at = size if end is None else end.end()
             pop_to(len(stack) - 1)
     flush()
-    return out
+    size = [0] * len(outer)
+    for b in out:
+        if b[4] >= 0 and not b[2]:
+            size[b[4]] += len(b[1])
+    most = MOST * sum(len(b[1]) for b in out if not b[2])
+    for k in range(len(outer) - 1, -1, -1):
+        if outer[k] >= 0:
+            size[outer[k]] += size[k]
+            holds[outer[k]] |= holds[k]
+    marked: list[bool] = []
+    for k, around in enumerate(outer):
+        marked.append((around >= 0 and marked[around]) or not (holds[k] or (not landmarks and size[k] > most)))
+    return [(path, text, aside or (mark >= 0 and marked[mark]), landmark) for path, text, aside, landmark, mark in out]
 
 
 def host_of(url: Column) -> Column:

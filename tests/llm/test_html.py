@@ -77,6 +77,17 @@ def test_tree_judges_inside_and_beside_articles(spark):
     assert "the long story 0 of its own" in got[300]
 
 
+def test_class_words_do_not_empty_a_page():
+    story = "<p>the story of this page</p>"
+    for page in (f"<body class='single no-sidebar'>{story}", f"<body class=widget>{story}", f"<div class='content-with-sidebar'>{story}</div>",
+                 f"<article class='post comments-open'>{story}</article>", f"<div id='page-widget-area-main'>{story}</div>",
+                 f"<main class='has-header'>{story}</main>", f"<div class=widget><main>{story}</main></div>",
+                 f"<div class='promo'>{story}</div><div class=ad>buy</div>", f"<div class=social><div class=share><article>{story}</article></div></div>"):
+        assert main_text(page, frozenset()) == "the story of this page", page
+    comments = f"<article>{story}</article><div id=comments><article class=comment>{'first! ' * 50}</article></div><p class='cookie-notice'>cookies</p>"
+    assert main_text(comments, frozenset()) == "the story of this page"
+
+
 def test_cases(spark):
     rows = [(1, None, None), (1, None, None), (None, "x", ""), (2, "https://a.b", "<article>" + "long " * 50_000 + "</article>")]
     got = sorted((str(r.page_id), r.n_chars) for r in extract_text(pages(spark, rows)).collect())
