@@ -1,6 +1,7 @@
 """Main text of web pages by a site style tree.
 
-Every page is read into a tree of elements; an element's key is the path of tags with their class and id. The trees of a host's pages are merged by
+Every page is read into a tree of elements; an element's key is the path of tags with the words of class and id
+that have no digit (post, but not the number of the post). The trees of a host's pages are merged by
 aggregates: per element, how often each sequence of child elements (its presentation) and each text of a leaf (its content) occurs. The
 presentation importance of an element is the entropy of its presentations, the content importance of a leaf the entropy of its texts, both over
 the pages that have it and scaled to 0 .. 1; a branch is as important as its most important leaf, with its own presentation
@@ -147,7 +148,7 @@ def blocks_of(html: str) -> list[tuple[str, str, bool, bool]]:
             landmarks = True
         landmark = up[3] or tag in LANDMARKS
         if block:
-            name = tag + "".join("." + w for w in sorted(words) if w)
+            name = tag + "".join("." + w for w in sorted(words) if not any(c.isdigit() for c in w))
             stack.append((tag, f"{up[1]}/{name}" if up[1].count("/") < LEVELS else up[1], beside, landmark, mark))
         else:
             stack.append((tag, up[1], beside, landmark, mark))

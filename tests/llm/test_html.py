@@ -88,6 +88,15 @@ def test_class_words_do_not_empty_a_page():
     assert main_text(comments, frozenset()) == "the story of this page"
 
 
+def test_numbers_of_pages_are_not_part_of_an_element(spark):
+    def page(i):
+        return f"<body class='postid-{i}'><div id='post-{i}'><div class=slogan>the same words</div><p>story {i} of its own</p></div></body>"
+
+    rows = [(i, f"https://one.example/{i}", page(1700 + i)) for i in range(12)]
+    got = {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()}
+    assert all(got[i] == f"story {1700 + i} of its own" for i in range(12))
+
+
 def test_cases(spark):
     rows = [(1, None, None), (1, None, None), (None, "x", ""), (2, "https://a.b", "<article>" + "long " * 50_000 + "</article>")]
     got = sorted((str(r.page_id), r.n_chars) for r in extract_text(pages(spark, rows)).collect())
