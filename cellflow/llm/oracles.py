@@ -73,3 +73,35 @@ WITH RECURSIVE words AS (
 SELECT doc_id, len(s) AS n_shingles, component_id
 FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)
 """
+
+LLM_ORACLES["op11_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || chr(10) || coalesce(text, '')), 1, 15))::BIGINT AS hash
+  FROM documents
+), sources AS (
+  SELECT source, sum(size) AS source_size, 3 * sum(size) AS cap, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+  FROM d GROUP BY source
+), filling AS (
+  SELECT *, sum(source_size) OVER () AS words,
+    coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS after
+  FROM sources
+), ended AS (
+  SELECT *, (words - before) * weight > cap * after AS ends FROM filling
+), targets AS (
+  SELECT source, source_size, cap, CASE WHEN ends THEN cap::DOUBLE ELSE
+    ((words - sum(CASE WHEN ends THEN cap ELSE 0 END) OVER ()) * weight)::DOUBLE / sum(CASE WHEN ends THEN 0 ELSE weight END) OVER () END AS target
+  FROM ended
+), plans AS (
+  SELECT source, source_size, target, least(floor(target + 0.5)::BIGINT, cap) AS whole FROM targets
+), places AS (
+  SELECT source, hash, sum(size) AS tied, sum(sum(size)) OVER (PARTITION BY source ORDER BY hash) - sum(size) AS before FROM d GROUP BY source, hash
+)
+SELECT doc_id, d.source, size, source_size::BIGINT AS source_size, target,
+  CASE WHEN size = 0 THEN 0 ELSE
+    (whole // source_size * size + CASE WHEN before + tied <= whole % source_size THEN size
+      WHEN before < whole % source_size THEN (whole % source_size - before) * size // tied ELSE 0 END)::BIGINT END AS taken
+FROM d JOIN plans p ON d.source IS NOT DISTINCT FROM p.source
+JOIN places h ON d.source IS NOT DISTINCT FROM h.source AND d.hash = h.hash
+"""

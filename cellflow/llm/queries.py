@@ -15,6 +15,7 @@ from cellflow.llm.html import extract_text
 from cellflow.llm.jaccard import near_duplicates
 from cellflow.llm.language import identify, learn
 from cellflow.llm.line_dedup import line_dedup
+from cellflow.llm.mixing import mix
 from cellflow.llm.packing import pack
 from cellflow.llm.pieces import encode_decode
 from cellflow.llm.pii import BASE, find_personal_data
@@ -95,3 +96,8 @@ def op9_line_dedup(spark, folder):
 @query
 def op10_packing(spark, folder):
     return pack(read(spark, folder, "documents"), *byte_vocabulary())
+
+
+@query
+def op11_mixing(spark, folder):
+    return mix(read(spark, folder, "documents"))
