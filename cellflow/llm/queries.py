@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellflow.llm.alignment import aligned
 from cellflow.llm.ann import nearest
 from cellflow.llm.common import read
 from cellflow.llm.exact_dedup import exact_dedup
@@ -101,3 +102,9 @@ def op10_packing(spark, folder):
 @query
 def op11_mixing(spark, folder):
     return mix(read(spark, folder, "documents"))
+
+
+@query
+def op13_token_alignment(spark, folder):
+    rows = aligned(read(spark, folder, "documents"), *byte_vocabulary(), public_tokenizers.path("piece_bpe_32k.model"), hashed=True)
+    return rows.withColumnRenamed("groups", "groups_sha256")

@@ -1,0 +1,98 @@
+"""Alignment of two tokenizers against a plain version with the tokenizers and sentencepiece libraries."""
+
+import hashlib
+from collections import Counter
+
+import public_tokenizers as P
+import pytest
+import sentencepiece
+from llm_helpers import CLASHES, documents
+from tokenizers import Tokenizer
+
+from cellflow.llm import alignment
+from cellflow.llm.alignment import aligned
+from cellflow.llm.queries import LLM_QUERIES, byte_vocabulary
+
+MODEL = P.path("piece_bpe_32k.model")
+
+
+def byte_table():
+    """Byte-level characters to bytes: printable ones stand for themselves, the others follow from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def brute(rows):
+    """[(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups)]"""
+    first = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    first.encode_special_tokens = True
+    second = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    table, out, total = byte_table(), [], Counter()
+    for i, text in rows:
+        ids_a = ids_b = []
+        if text:
+            a, b = first.encode(" " + text, add_special_tokens=False), second.encode(text)
+            bytes_a = [bytes(table[c] for c in t) for t in a.tokens]
+            names = [second.id_to_piece(k) for k in b]
+            bytes_b = [bytes([int(n[3:5], 16)]) if second.is_byte(k) else n.replace("▁", " ").encode() for k, n in zip(b, names, strict=True)]
+            if b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
+                ids_a, ids_b = a.ids, b
+        groups, links = [], []
+        if ids_a:
+            left_a, left_b, at_a, at_b, x, y = list(zip(ids_a, bytes_a)), list(zip(ids_b, bytes_b)), 0, 0, [], []
+            while left_a or left_b:
+                if at_a <= at_b:
+                    k, own = left_a.pop(0)
+                    x.append(k)
+                    at_a += len(own)
+                else:
+                    k, own = left_b.pop(0)
+                    y.append(k)
+                    at_b += len(own)
+                if at_a == at_b:
+                    groups.append((x, y))
+                    links.append((x[-1], y[-1]))
+                    x, y = [], []
+        total.update(links)
+        out.append((i, len(ids_a), len(ids_b), groups, links))
+    highest = {}
+    for (_, b), n in total.items():
+        highest[b] = max(highest.get(b, 0), n)
+    shown = lambda groups: ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
+    return [(i, a, b, len(g), len(li), sum(total[p] == highest[p[1]] for p in li), sum(total[p] for p in li), shown(g)) for i, a, b, g, li in out]
+
+
+COLUMNS = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
+ODD = [
+    None, "", " ", "\n", "a", "  two  blanks ", "▁", "x ▁ y", "<|endoftext|> and <s> </s> <unk>", "\x00\x01", "漢字かな交じり文", "🙂🙃 é", "don't  stop\n\n\tnow",
+    "the same words and the same words and the same words", "the same words and the same words", "<0x0A> literally", "ﬁ ½ ™", "w" * 3000, "long text of words " * 8000, "   x", "1234567890 12,345.67",
+]
+
+
+@pytest.mark.parametrize("most", [0, 5, 1 << 18])
+def test_odd_texts(spark, most):
+    rows = [*enumerate(ODD), (3, "a repeated id"), (None, "no id"), (None, None)]
+    docs = documents(spark, [t for _, t in rows], [i for i, _ in rows], extra=[*CLASHES, "pairs", "groups"]).repartition(3)
+    got = aligned(docs, *byte_vocabulary(), MODEL, most=most).collect()
+    assert sorted(map(str, (tuple(r[c] for c in COLUMNS) for r in got))) == sorted(map(str, brute(rows)))
+
+
+def test_the_query(spark, sf):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = LLM_QUERIES["op13_token_alignment"](spark, sf)
+    assert got.columns == [*COLUMNS[:-1], "groups_sha256"]
+    want = sorted((*w[:-1], hashlib.sha256(w[-1].encode()).hexdigest() if w[1] else "") for w in brute(rows))
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_forgotten_windows_and_early_sums(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    want = sorted(map(tuple, aligned(docs, *byte_vocabulary(), MODEL).collect()))
+    monkeypatch.setattr(alignment, "REMEMBERED", 3000)
+    monkeypatch.setattr(alignment, "SUMMED", 50)
+    assert sorted(map(tuple, aligned(docs, *byte_vocabulary(), MODEL, most=100).collect())) == want
+
+
+def test_empty_table(spark):
+    assert aligned(documents(spark, []), *byte_vocabulary(), MODEL).count() == 0
