@@ -17,6 +17,7 @@ from cellflow.llm.jaccard import near_duplicates
 from cellflow.llm.language import identify, learn
 from cellflow.llm.line_dedup import line_dedup
 from cellflow.llm.mixing import mix
+from cellflow.llm.negatives import hard_negatives
 from cellflow.llm.packing import pack
 from cellflow.llm.pieces import encode_decode
 from cellflow.llm.pii import BASE, find_personal_data
@@ -104,6 +105,12 @@ def op11_mixing(spark, folder):
     return mix(read(spark, folder, "documents"))
 
 
+@query
+def op12_hard_negatives(spark, folder):
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives(read(spark, folder, "embeddings"), "vec_id % 50 = 0", label)
+
+
 @query
 def op13_token_alignment(spark, folder):
     rows = aligned(read(spark, folder, "documents"), *byte_vocabulary(), public_tokenizers.path("piece_bpe_32k.model"), hashed=True)
