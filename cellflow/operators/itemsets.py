@@ -175,7 +175,7 @@ def frequent_item_sets(
         if size < max_size:
             if known.isEmpty():
                 break
-            level = skewed_join(grown.where(F.size("_tail") > 0), known, ["_set"], "left_semi", right_knows="_rows")
+            level = skewed_join(grown.where(F.size("_tail") > 0), known, ["_set"], "left_semi", counts=counts, right_knows="_rows")
     sets = reduce(DataFrame.unionByName, found) if found else known.where(F.lit(False))
     return sets.select(comma_joined("_set").alias(out), F.col("_rows").alias(FREQUENCY), ratio.alias(support))
 

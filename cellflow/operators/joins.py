@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -16,6 +17,12 @@ from cellflow.functions import orderable
 # proven bound of what is broadcast here, and together they are cut in fewer than 2 * MOST_HEAVY parts.
 ROWS_PER_TASK = 2_000_000
 MOST_HEAVY = 50_000
+# Counters of the summary of frequent keys. Its counts are off by at most about 1/7,500 of all rows, so with that many rows or more no
+# heavy key is missed, and one that is has no more rows than a task of such a table anyway.
+TRACKED = 10_000
+
+BROADCAST_SETTING = "spark.sql.autoBroadcastJoinThreshold"
+UNITS = {unit: 1 << (10 * i) for i, unit in enumerate(("B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB"))}
 
 
 def key_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -28,6 +35,19 @@ def heavy_keys(counts: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS
     return counts.where(F.col("_rows") > limit).select(*keys, _parts(F.col("_rows"), limit).alias("_parts"))
 
 
+def frequent_keys(rows: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Heavy keys by their hash: (``_hash``, ``_parts``), at most TRACKED of them.
+
+    One aggregate with a mergeable summary of bounded size: tasks count their own rows, and neither rows nor distinct keys are exchanged.
+    Keys with the same hash are spread alike, which does no harm.
+    """
+    summary = rows.select(F.xxhash64(*keys).alias("_hash")).agg(
+        F.call_function("approx_top_k", F.col("_hash"), F.lit(TRACKED), F.lit(TRACKED)).alias("_top"), F.count(F.lit(1)).alias("_all"))
+    limit = F.greatest(F.lit(float(rows_per_task)), F.col("_all") / F.lit(float(MOST_HEAVY)))
+    counted = summary.select(limit.alias("_limit"), F.explode("_top").alias("_key")).where(F.col("_key.count") > F.col("_limit"))
+    return counted.select(F.col("_key.item").alias("_hash"), _parts(F.col("_key.count"), F.col("_limit")).alias("_parts"))
+
+
 def _task_limit(counts: DataFrame, rows_per_task: int) -> Column:
     total = counts.agg(F.sum("_rows")).scalar()
     return F.greatest(F.lit(float(rows_per_task)), total / F.lit(float(MOST_HEAVY)))
@@ -61,32 +81,34 @@ def skewed_join(
 ) -> DataFrame:
     """Join with a side that has few rows per key while ``left`` may have very many.
 
-    Heavy keys of ``left`` are found by an exact count (partial aggregate, then one small
-    broadcast); their rows are spread over as many tasks as their number asks for, and their right
-    rows repeated there. All other keys join as usual, so Spark still broadcasts the right side when
-    it turns out small. ``how`` is inner, left, left_semi or left_anti; NULL keys match.
+    Heavy keys of ``left`` are found by a mergeable summary (one aggregate, then one small broadcast); their rows are spread
+    over as many tasks as their number asks for, and their right rows repeated there. All other keys join as usual, so
+    Spark still broadcasts the right side when it turns out small. ``how`` is inner, left, left_semi or left_anti; NULL keys match.
 
-    Counting reads ``left`` once more, with the key columns only: pass ``counts`` (keys and
-    ``_rows``) when they are known, and in ``right_knows`` the column of ``right`` that holds the
-    number of left rows of its key, if there is one.
+    The summary reads ``left`` once more, with the key columns only: pass ``counts`` (keys and ``_rows``) when they are
+    known, and in ``right_knows`` the column of ``right`` that holds the number of left rows of its key, if there is one.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skewed_join cannot do a {how} join")
     keys = list(on)
-    counts = key_counts(left, keys) if counts is None else counts
-    heavy = heavy_keys(counts, keys, rows_per_task)
+    heavy = frequent_keys(left, keys, rows_per_task) if counts is None else heavy_keys(counts, keys, rows_per_task)
 
-    marks, same = _match(left, heavy, keys, "_h_")
-    part = F.when(F.col("_parts").isNotNull(), F.pmod(row_hash(left), F.col("_parts"))).otherwise(F.lit(0))
-    spread = left.join(F.broadcast(marks), same, "left").select(*left.columns, part.cast("int").alias("_part"))
+    def marked(frame: DataFrame) -> DataFrame:
+        if counts is None:
+            return frame.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(heavy), "_hash", "left")
+        marks, same = _match(frame, heavy, keys, "_h_")
+        return frame.join(F.broadcast(marks), same, "left")
 
+    part = F.when(F.col("_parts").isNotNull(), F.pmod(row_hash(left), F.col("_parts"))).otherwise(F.lit(0))
+    spread = marked(left).select(*left.columns, part.cast("int").alias("_part"))
     if right_knows is None:
-        marks, same = _match(right, heavy, keys, "_h_")
-        marked = right.join(F.broadcast(marks), same, "left")
+        known = marked(right)
+    elif counts is None:
+        raise ValueError("right_knows goes with counts")
     else:
-        marked = right.withColumn("_parts", _parts(F.col(right_knows), _task_limit(counts, rows_per_task)))
+        known = right.withColumn("_parts", _parts(F.col(right_knows), _task_limit(counts, rows_per_task)))
     every_part = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
-    copies = marked.select(*right.columns, F.explode(every_part).alias("_part"))
+    copies = known.select(*right.columns, F.explode(every_part).alias("_part"))
     copies, same = _match(spread, copies, [*keys, "_part"], "_r_")
     joined = spread.join(copies, same, how)
     if how in ("left_semi", "left_anti"):
@@ -119,6 +141,22 @@ def cross_with_row(rows: DataFrame, one_row: DataFrame) -> DataFrame:
     return tagged.select(*rows.columns, "_only.*")
 
 
+def estimated_bytes(frame: DataFrame) -> int | None:
+    """Spark's estimate of a frame's size, from the sizes of its files and its plan. No job runs."""
+    told = frame.sparkSession.sql("EXPLAIN COST SELECT * FROM {frame}", frame=frame).first()[0]
+    found = re.search(r"sizeInBytes=([\d.E+]+) (\w+)", told)
+    return int(float(found[1]) * UNITS[found[2]]) if found and found[2] in UNITS else None
+
+
+def broadcasts(frame: DataFrame) -> bool:
+    """Whether Spark will broadcast this side of a join by its own size check, as far as can be told before a job."""
+    setting = frame.sparkSession.conf.get(BROADCAST_SETTING)
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", setting.strip().lower()).groups()
+    limit = int(number) * (1 << (10 * "bkmgtp".index(unit[0])) if unit else 1)
+    size = estimated_bytes(frame)
+    return size is not None and size <= limit
+
+
 def is_small(side: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> bool:
     """Measure whether a frame is safe to broadcast; reads at most ``max_rows`` + 1 rows."""
     width = F.octet_length(F.to_json(F.struct(*side.columns)))

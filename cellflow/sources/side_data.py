@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellflow.functions import as_column
-from cellflow.operators.joins import is_small, skewed_join
+from cellflow.operators.joins import broadcasts, is_small, skewed_join
 from cellflow.sources.cells import CellTable
 from cellflow.sources.requests import ColumnRequest, as_request
 from cellflow.sources.scan import scan_cells
@@ -62,8 +62,10 @@ def lookup(
     """Add the side value of ``key`` (D6). A NULL key fails; so does an absent one, unless
     ``on_missing`` is "null".
 
-    Side data is joined by key with the heavy keys of the rows spread; adaptive execution turns that into a broadcast when it
-    knows the side to be small. ``small`` asks for one in advance, which is done only if rows and bytes, measured then, allow it.
+    How is chosen before a job, by the size that the plan and the files of the side data tell: a side below Spark's broadcast
+    threshold is joined plainly, and Spark broadcasts it, so the rows are read once and not exchanged. Any other is joined by key, with the
+    heavy keys of the rows spread. ``small=False`` asks for that at once; ``small=True`` for a broadcast beyond the threshold, which is
+    done only if rows and bytes, measured then, allow it.
     """
     if on_missing not in ("error", "null"):
         raise ValueError('on_missing is "error" or "null"')
@@ -92,13 +94,14 @@ def _attach(
     small: bool | None,
     unique: bool = False,
 ) -> DataFrame:
-    # Without a hint the choice is Spark's, when it runs; a hint is measured before it is believed.
-    small = bool(small) and is_small(side)
+    hinted = bool(small) and is_small(side)  # a hint is measured before it is believed
     side = side if unique else unique_keys(side, keep_first_by)
     side = side.select(F.col("key").alias("_key"), F.struct("value").alias("_side"))
     key = as_column(key)
     checked = F.when(key.isNull(), F.raise_error(F.lit("the side data key is null"))).otherwise(key)
     keyed = rows.withColumn("_key", checked)
-    if small:
+    if hinted:
         return keyed.join(F.broadcast(side), "_key", "left")
+    if small is None and broadcasts(side):
+        return keyed.join(side, "_key", "left")
     return skewed_join(keyed, side, ["_key"], "left")

@@ -13,7 +13,7 @@ from cellflow.operators import slices as S
 from cellflow.operators.folds import fold_rows
 from cellflow.operators.itemsets import capped_counts, filter_by_support, frequent_item_sets, gather_baskets, item_sets
 from cellflow.operators.joins import (
-    cross_with_row, heavy_keys, is_small, join_with_count, join_with_group_count, key_counts, row_hash, skewed_join,
+    broadcasts, cross_with_row, estimated_bytes, frequent_keys, heavy_keys, is_small, join_with_count, join_with_group_count, key_counts, row_hash, skewed_join,
 )
 from cellflow.operators.nested import SchemaMismatch, conform, pack, require_type, unpack
 from tests.helpers import literal_slice, plan
@@ -146,6 +146,28 @@ def test_heavy_keys(spark):
     assert spread.distinct().count() >= 4
 
 
+def test_frequent_keys(spark):
+    rows = spark.createDataFrame([(0, "a")] * 950 + [(None, "a")] * 120 + [(i, "b") for i in range(1, 40)], "k int, s string")
+    heavy = {tuple(r) for r in frequent_keys(rows.repartition(4), ["k", "s"], rows_per_task=100).collect()}
+    named = rows.distinct().withColumn("h", F.xxhash64("k", "s")).collect()
+    assert heavy == {(r.h, 10 if r.k == 0 else 2) for r in named if r.k in (0, None)}
+    assert frequent_keys(rows, ["k"]).count() == 0 and frequent_keys(rows.limit(0), ["k"], 1).count() == 0
+    text = plan(frequent_keys(rows, ["k", "s"]))
+    assert text.count("Exchange") == 1 and "SinglePartition" in text  # summaries of tasks, no keys
+    with pytest.raises(ValueError):
+        skewed_join(rows, rows, ["k"], right_knows="_rows")
+
+
+def test_size_known_before_a_job(spark, sf):
+    nation, lines = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("nation", "lineitem"))
+    assert 0 < estimated_bytes(nation.select("n_nationkey")) < estimated_bytes(lines)
+    assert broadcasts(nation) and broadcasts(nation.groupBy("n_regionkey").count())
+    for setting, says in (("-1", False), ("1k", False), ("100m", True)):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", setting)
+        assert broadcasts(lines) is says
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_is_small(spark):
     assert is_small(spark.range(10)) and not is_small(spark.range(10), max_rows=9)
     assert not is_small(spark.range(100), max_bytes=10) and is_small(spark.range(0))

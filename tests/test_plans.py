@@ -53,3 +53,20 @@ def test_wide_views_push_their_conditions(spark, sf):
         assert "Generate" not in plan(frame)
     assert "o_orderdate" in plan(scan_cells(table, "order", late)) and "Generate" in plan(scan_cells(table, "order", late))
     assert scan(customers(spark, sf), {"n": "profile:name"}).count() > 0
+
+
+def test_small_side_data_costs_no_exchange_of_rows_and_no_job(spark, sf):
+    """The entities are scanned once, and the plan of a score is made without running anything."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "no job is expected")
+    try:
+        frame = QUERIES["extract_score"](spark, sf)
+        assert len(tracker.getJobIdsForGroup("planning")) <= 3  # the schemas of three files
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    text = plan(frame)
+    assert text.count("orders.parquet") == 1 and text.count("customer.parquet") == 1 and text.count("nation.parquet") == 1
+    assert "approx_top_k" not in text and "BroadcastHashJoin" in text
+    assert len(re.findall(r"Exchange hashpartitioning", text)) <= 3  # spend by customer, customers to meet it, keys of the side data
+    wide = plan(QUERIES["side_lookup_table"](spark, sf))
+    assert "approx_top_k" in wide
