@@ -155,12 +155,12 @@ def _entity(view: LongCells | WideCells) -> list[Column]:
     return [as_column(c).alias(n) for n, c in view.entity.items()]
 
 
-def _long_cells(view: LongCells, request: ColumnRequest, time_range: TimeRange) -> DataFrame:
+def _long_cells(view: LongCells, request: ColumnRequest, time_range: TimeRange, by: list[str] | None = None) -> DataFrame:
     rows = view.rows(request, time_range)
     order = None if view.write_order is None else "_order"
     keys = list(view.entity)
     if request.qualifier is None:
-        return latest_versions(rows, [*keys, "qualifier"], request.max_versions, order)
+        return latest_versions(rows, [*keys, "qualifier"], request.max_versions, order, by)
     # One qualifier only: leave it out of the keys, so that grouping by entity needs no new exchange.
     cells = latest_versions(rows.drop("qualifier"), keys, request.max_versions, order)
     return cells.withColumn("qualifier", F.lit(request.qualifier))
@@ -269,7 +269,7 @@ def _several_frame(
     rows = view.rows(ColumnRequest(view.family), time_range)
     rows = rows.where(F.col("qualifier").isin(sorted({r.qualifier for r in requests.values()})))
     order = None if view.write_order is None else "_order"
-    cells = latest_versions(rows, [*view.entity, "qualifier"], max_versions, order)
+    cells = latest_versions(rows, [*view.entity, "qualifier"], max_versions, order, list(view.entity))
     cells = _no_larger(cells, list(view.entity), max_cells)
     cells = cells.withColumn("newest_first", F.bitwise_not("version"))
     # collect_list leaves out the NULLs of the other columns' cells.
@@ -294,7 +294,7 @@ def _no_larger(cells: DataFrame, entity: list[str], max_cells: int | None) -> Da
 def _slice_frame(
     view: LongCells, field: str, request: ColumnRequest, time_range: TimeRange, max_cells: int | None
 ) -> DataFrame:
-    cells = _no_larger(_long_cells(view, request, time_range), list(view.entity), max_cells)
+    cells = _no_larger(_long_cells(view, request, time_range, list(view.entity)), list(view.entity), max_cells)
     gathered = cells.groupBy(*view.entity).agg(F.collect_list(_sortable()).alias(field))
     return gathered.select(*view.entity, _canonical(gathered, field).alias(field))
 

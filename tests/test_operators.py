@@ -1,7 +1,10 @@
 import itertools
 import math
 import random
+from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
@@ -10,12 +13,14 @@ from cellflow.functions import (
     component, dot, entity_id, hashed_entity_id, list_value, literal_of, map_value, record, scaled,
 )
 from cellflow.operators import slices as S
+from cellflow.operators import versions
 from cellflow.operators.folds import fold_rows
 from cellflow.operators.itemsets import capped_counts, filter_by_support, frequent_item_sets, gather_baskets, item_sets
 from cellflow.operators.joins import (
     broadcasts, cross_with_row, estimated_bytes, frequent_keys, heavy_keys, is_small, join_with_count, join_with_group_count, key_counts, row_hash, skewed_join,
 )
 from cellflow.operators.nested import SchemaMismatch, conform, pack, require_type, unpack
+from cellflow.operators.versions import latest_versions
 from tests.helpers import literal_slice, plan
 
 CELLS = [("c", 4, 0.0), ("b", 3, 3.0), ("b", 2, 0.0), ("a", 1, 1.0), ("a", 0, 0.0)]
@@ -173,6 +178,53 @@ def test_is_small(spark):
     assert not is_small(spark.range(100), max_bytes=10) and is_small(spark.range(0))
 
 
+# --- newest versions ---
+
+
+def brute_newest(rows, n):
+    cells = {}
+    for key, version, value, order in rows:
+        mine = cells.setdefault(key, {})
+        if version not in mine or mine[version][0] < order:
+            mine[version] = (order, value)
+    return sorted(str((key, v, mine[v][1])) for key, mine in cells.items() for v in sorted(mine, reverse=True)[:n])
+
+
+@pytest.mark.parametrize("n", [2, 3, 50])
+@pytest.mark.parametrize("held", [10, 200_000])
+def test_newest_versions_with_rewrites(spark, monkeypatch, n, held):
+    monkeypatch.setattr(versions, "STATE_ROWS", held)
+    rng = random.Random(n)
+    rows = [((rng.choice([None, "a", "é", "b"]), rng.randrange(6)), rng.randrange(20), f"v{i}", i) for i in range(1500)]
+    rows += [(("hot", 0), 7, f"w{i}", 10_000 + i) for i in range(3000)]  # one cell, written again and again
+    frame = spark.createDataFrame([(*k, v, x, o) for k, v, x, o in rows], "k string, q int, version bigint, value string, seq bigint").repartition(3)
+    for order in (F.col("seq"), F.struct(F.col("seq"), "value"), F.struct(F.array("seq"))):  # the last is not held in a task's state
+        got = latest_versions(frame.withColumn("_order", order), ["k", "q"], n, "_order", ["k"])
+        assert sorted(str(((r.k, r.q), r.version, r.value)) for r in got.collect()) == brute_newest(rows, n)
+
+
+def test_order_of_a_task_is_that_of_spark(spark):
+    nan, inf = float("nan"), float("inf")
+    numbers = [None, nan, inf, -inf, 0.0, -0.0, 1.5, -1.5, 1e300]
+    rows = [(x, y, s, x is not None, Decimal(i)) for i, (x, y, s) in enumerate(
+        (x, y, s) for x in numbers for y in numbers for s in (None, "", "z", "é", "Z"))]
+    frame = spark.createDataFrame(rows, "x double, y float, s string, b boolean, d decimal(9,2)").select(
+        F.struct("x", "y", "b", "d", "s", F.when(F.col("b"), F.date_add(F.lit("2020-01-01"), F.length("s"))).alias("t")).alias("o"))
+    # All rows are rewrites of one cell, so the last write is the greatest by Spark's own order.
+    cells = frame.select(F.lit(1).alias("k"), F.lit(1).alias("version"), F.to_json("o").alias("value"), F.col("o").alias("_order"))
+    assert latest_versions(cells, ["k"], 2, "_order").first().value == cells.agg(F.max_by("value", "_order")).first()[0]
+    for low in range(0, len(rows), 40):
+        some = spark.createDataFrame(cells.orderBy(F.col("_order")).collect()[:low + 1], cells.schema)
+        assert latest_versions(some, ["k"], 2, "_order").first().value == some.agg(F.max_by("value", "_order")).first()[0]
+
+
+def test_rewrites_combine_in_the_task():
+    n = 1_000_000
+    table = pa.table({"k": pa.array(np.zeros(n, np.int64)), "version": pa.array(np.full(n, 5)), "value": pa.array(np.arange(n)), "o": pa.array(np.arange(n))})
+    kept = versions.newest_rows(table, ["k"], "o", 3).to_pylist()
+    assert kept == [{"k": 0, "version": 5, "value": n - 1, "o": n - 1}]
+
+
 # --- item sets ---
 
 BASKETS = [["milk", "bread", "coke"], ["milk", "bread", "butter", "flour"], ["butter", "flour"]]

@@ -11,10 +11,10 @@ from cellflow.sources.scan import scan, scan_cells
 from tests.helpers import plan
 
 EXCHANGES = {  # queries whose number of exchanges is a design decision
-    "latest_cell_family": 1, "latest_n_versions": 2, "entities_scan": 1, "wide_time_range": 0,
+    "latest_cell_family": 1, "latest_n_versions": 1, "entities_scan": 1, "wide_time_range": 0,
     "multi_column_profile": 0, "reader_projection": 0, "slice_stats": 2, "slice_first_last": 2,
     "word_count": 1, "row_shaping": 0, "vector_products": 0,
-    "upsert_latest_write": 1, "evaluate_rows_only": 1, "lm_converged": 1, "selector_first": 3,
+    "upsert_latest_write": 1, "evaluate_rows_only": 1, "lm_converged": 1, "selector_first": 1,
 }
 WRITES = {  # what is read back from files of their own
     "cell_log_round_trip", "prepare_train_score", "text_round_trip", "tsv_round_trip", "sequence_round_trip", "scan_counters", "random_ids",
@@ -38,8 +38,7 @@ def test_plan(spark, sf, name):
 
 def test_newest_versions_are_cut_before_anything_moves(spark, sf):
     text = plan(QUERIES["latest_n_versions"](spark, sf))
-    first = [line for line in text.splitlines() if "Exchange" in line][-1]
-    assert "WindowGroupLimit" in text[text.index(first):]
+    assert re.findall(r"Exchange|MapInArrow", text) == ["Exchange", "MapInArrow"]
 
 
 def test_wide_views_push_their_conditions(spark, sf):
@@ -65,8 +64,9 @@ def test_small_side_data_costs_no_exchange_of_rows_and_no_job(spark, sf):
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     text = plan(frame)
-    assert text.count("orders.parquet") == 1 and text.count("customer.parquet") == 1 and text.count("nation.parquet") == 1
+    assert text.count("FileScan") == 3  # customers, orders, nations
     assert "approx_top_k" not in text and "BroadcastHashJoin" in text
     assert len(re.findall(r"Exchange hashpartitioning", text)) <= 3  # spend by customer, customers to meet it, keys of the side data
+    assert sum("Exchange hashpartitioning(custkey" in line for line in text.splitlines()) == 1
     wide = plan(QUERIES["side_lookup_table"](spark, sf))
     assert "approx_top_k" in wide
