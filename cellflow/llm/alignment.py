@@ -29,7 +29,7 @@ from cellflow.llm.packing import encoder
 
 SPACE = "▁"
 #: Bytes of remembered windows, by the length of their ids and groups; then a task starts anew.
-REMEMBERED = 64 << 20
+REMEMBERED = 128 << 20
 #: Texts encoded together.
 PIECE = 128
 #: Pairs of ids whose counts are sent to all tasks: 17 bytes each.
@@ -79,49 +79,73 @@ class Aligner:
 
     def __init__(self, tables: Tables):
         self.t = tables
+        self.kind = np.dtype("<u2" if max(len(tables.bytes_a), len(tables.bytes_b)) <= 1 << 16 else "<u4")
         self.known: dict[tuple[bytes, bytes], tuple[str, bytes]] = {}
         self.held = 0
-
-    def window(self, a: np.ndarray, b: np.ndarray) -> tuple[str, bytes, int]:
-        """Groups as text, the pairs of ids of links, and the number of groups, of tokens that span the same bytes."""
-        ends_a, ends_b = np.cumsum(self.t.size_a[a]), np.cumsum(self.t.size_b[b])
-        shared = np.intersect1d(ends_a, ends_b)
-        cut_a, cut_b = (np.append(0, np.searchsorted(e, shared, side="right")) for e in (ends_a, ends_b))
-        groups = ";".join(
-            f"{','.join(map(str, a[i:j].tolist()))}|{','.join(map(str, b[k:m].tolist()))}"
-            for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False))
+        # a token as it stands in the groups: inside, and as the last of its kind
+        self.inside = [np.array([f"{i}," for i in range(len(t))], dtype=object) for t in (tables.bytes_a, tables.bytes_b)]
+        self.last = [np.array([f"{i}{end}" for i in range(len(t))], dtype=object) for t, end in ((tables.bytes_a, "|"), (tables.bytes_b, ";"))]
+
+    def anchors(self, a: np.ndarray, b: np.ndarray, ends: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Where windows begin in either, and where the last one ends. a and b: ids of documents one after the other, which end at ends."""
+        places, at = [], []
+        for ids, size, blank, end in zip((a, b), (self.t.size_a, self.t.size_b), (self.t.blank_a, self.t.blank_b), ends, strict=True):
+            before = np.append(blank[ids[1:]], True)
+            before[end - 1] = True
+            at.append(np.flatnonzero(before))
+            places.append(np.cumsum(size[ids])[at[-1]])
+        _, in_a, in_b = np.intersect1d(*places, assume_unique=True, return_indices=True)
+        return np.append(0, at[0][in_a] + 1), np.append(0, at[1][in_b] + 1)
+
+    def learn(self, windows: list[tuple[bytes, bytes]]) -> None:
+        """Align windows: groups as text, and the pairs of ids of links."""
+        ids = [np.frombuffer(b"".join([w[side] for w in windows]), dtype=self.kind) for side in (0, 1)]
+        # a window spans the same bytes in both, so windows may stand one after the other
+        shared, in_a, in_b = np.intersect1d(
+            np.cumsum(self.t.size_a[ids[0]]), np.cumsum(self.t.size_b[ids[1]]), assume_unique=True, return_indices=True)
         # no token is without bytes, so one token of either ends at a shared end
-        pairs = a[cut_a[1:] - 1].astype(np.int64) * PAIR + b[cut_b[1:] - 1]
-        return groups, pairs.tobytes(), len(shared)
-
-    def anchors(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-        """Where windows begin and end, in tokens of either; the last ends with the document."""
-        at_a, at_b = np.flatnonzero(self.t.blank_a[a[1:]]), np.flatnonzero(self.t.blank_b[b[1:]])
-        ends_a, ends_b = np.cumsum(self.t.size_a[a])[at_a], np.cumsum(self.t.size_b[b])[at_b]
-        _, in_a, in_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        return [0, *(at_a[in_a] + 1).tolist(), len(a)], [0, *(at_b[in_b] + 1).tolist(), len(b)]
-
-    def align(self, a: np.ndarray, b: np.ndarray) -> tuple[str, np.ndarray]:
-        """Groups as text and the pairs of ids of all links, of a document with tokens."""
-        cut_a, cut_b = self.anchors(a, b)
-        flat_a, flat_b = a.tobytes(), b.tobytes()
-        width = a.itemsize
-        keys = [
-            (flat_a[i * width:j * width], flat_b[k * width:m * width])
-            for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False)]
-        found = list(map(self.known.get, keys))
-        if None in found:
-            for n, key in enumerate(keys):
-                if found[n] is None and (own := self.known.get(key)) is None:
-                    own = found[n] = self.window(*(np.frombuffer(ids, dtype=a.dtype) for ids in key))[:2]
-                    self.held += 200 + len(key[0]) + len(key[1]) + len(own[0]) + len(own[1])
-                    if self.held > REMEMBERED:
-                        self.known.clear()
-                        self.held = 0
-                    self.known[key] = own
-                elif found[n] is None:
-                    found[n] = own
-        return ";".join([f[0] for f in found]), np.frombuffer(b"".join([f[1] for f in found]), dtype=np.int64)
+        pairs = ids[0][in_a].astype(np.int64) * PAIR + ids[1][in_b]
+        ends = [in_a + 1, in_b + 1]
+        shown = np.empty(len(ids[0]) + len(ids[1]), dtype=object)
+        for side in (0, 1):
+            own = self.inside[side][ids[side]]
+            own[ends[side] - 1] = self.last[side][ids[side][ends[side] - 1]]
+            group = np.repeat(np.arange(len(shared)), np.diff(ends[side], prepend=0))
+            # before a token of B stand A's of its own group too
+            other = ends[1 - side] if side else np.append(0, ends[1])[:-1]
+            shown[np.arange(len(own)) + other[group]] = own
+        shown = shown.tolist()
+        upto = np.cumsum([len(w[0]) // self.kind.itemsize for w in windows])
+        groups = np.searchsorted(ends[0], upto, side="right")
+        to = (ends[0] + ends[1])[groups - 1].tolist()
+        flat, k, n = pairs.tobytes(), 0, 0
+        for window, g, end in zip(windows, groups.tolist(), to, strict=True):
+            own = "".join(shown[n:end])[:-1], flat[8 * k:8 * g]
+            self.known[window] = own
+            self.held += 250 + len(window[0]) + len(window[1]) + len(own[0]) + len(own[1])
+            k, n = g, end
+
+    def align(self, documents: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[str, np.ndarray]]:
+        """Groups as text and the pairs of ids of all links, of documents with tokens."""
+        if not documents:
+            return
+        if self.held > REMEMBERED:
+            self.known.clear()
+            self.held = 0
+        a, b = (np.concatenate([d[side] for d in documents]).astype(self.kind) for side in (0, 1))
+        ends = tuple(np.cumsum([len(d[side]) for d in documents]) for side in (0, 1))
+        cut_a, cut_b = self.anchors(a, b, ends)
+        flat_a, flat_b, width = a.tobytes(), b.tobytes(), self.kind.itemsize
+        at_a, at_b = (cut_a * width).tolist(), (cut_b * width).tolist()
+        windows = [(flat_a[i:j], flat_b[k:m]) for i, j, k, m in zip(at_a, at_a[1:], at_b, at_b[1:], strict=False)]
+        if new := set(windows) - self.known.keys():
+            self.learn(list(new))
+        found = list(map(self.known.__getitem__, windows))
+        begin = 0
+        for end in np.searchsorted(cut_a, ends[0]).tolist():
+            own = found[begin:end]
+            yield ";".join([f[0] for f in own]), np.frombuffer(b"".join([f[1] for f in own]), dtype=np.int64)
+            begin = end
 
 
 ROW = "row bigint, id {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, pairs array<bigint>, times array<int>"
@@ -141,8 +165,10 @@ def token_groups(
             for lo in range(0, batch.num_rows, PIECE):
                 part = batch.slice(lo, PIECE)
                 numbers, groups, pairs, times = [], [], [], []
-                for a, b in tables.encode(part.column(1).to_pylist()):
-                    shown, links = aligner.align(a, b) if len(a) else ("", np.zeros(0, np.int64))
+                encoded = list(tables.encode(part.column(1).to_pylist()))
+                alignments = aligner.align([ids for ids in encoded if len(ids[0])])
+                for a, b in encoded:
+                    shown, links = next(alignments) if len(a) else ("", np.zeros(0, np.int64))
                     groups.append(hashlib.sha256(shown.encode()).hexdigest() if hashed and len(a) else shown)
                     own, n = np.unique(links, return_counts=True)
                     pairs.append(own)
