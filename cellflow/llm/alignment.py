@@ -28,8 +28,8 @@ from cellflow.llm.common import quoted, stored, text_of
 from cellflow.llm.packing import encoder
 
 SPACE = "▁"
-#: Bytes of remembered windows, by the length of their ids and groups; then a task starts anew.
-REMEMBERED = 128 << 20
+#: Bytes of remembered windows, with what Python adds to each; then a task starts anew.
+REMEMBERED, OVERHEAD = 192 << 20, 400
 #: Texts encoded together.
 PIECE = 128
 #: Pairs of ids whose counts are sent to all tasks: 17 bytes each.
@@ -67,9 +67,10 @@ class Tables:
         none = np.zeros(0, dtype=np.int32)
         for text, b in zip(texts, self.second.encode(texts, num_threads=1), strict=True):
             if text:
-                a, spelled = self.first.encode_ordinary(" " + text), (" " + text).encode()
-                if b"".join(map(self.bytes_b.__getitem__, b)) == spelled and b"".join(map(self.bytes_a.__getitem__, a)) == spelled:
-                    yield np.array(a, dtype=np.int32), np.array(b, dtype=np.int32)
+                a, spelled = self.first.encode_to_numpy(" " + text, disallowed_special=()), (" " + text).encode()
+                # A's tokens are parts of these very bytes, so that their length tells; B's are compared
+                if self.size_a[a].sum() == len(spelled) and b"".join(map(self.bytes_b.__getitem__, b)) == spelled:
+                    yield a, np.array(b, dtype=np.int32)
                     continue
             yield none, none
 
@@ -79,8 +80,9 @@ class Aligner:
 
     def __init__(self, tables: Tables):
         self.t = tables
-        self.kind = np.dtype("<u2" if max(len(tables.bytes_a), len(tables.bytes_b)) <= 1 << 16 else "<u4")
-        self.known: dict[tuple[bytes, bytes], tuple[str, bytes]] = {}
+        self.kind = np.dtype("<u2" if max(len(tables.bytes_a), len(tables.bytes_b)) < 1 << 16 else "<u4")
+        self.known: dict[bytes, tuple[str, bytes]] = {}  # by A's ids, a mark, B's ids
+        self.mark = np.iinfo(self.kind).max
         self.held = 0
         # a token as it stands in the groups: inside, and as the last of its kind
         self.inside = [np.array([f"{i}," for i in range(len(t))], dtype=object) for t in (tables.bytes_a, tables.bytes_b)]
@@ -97,9 +99,13 @@ class Aligner:
         _, in_a, in_b = np.intersect1d(*places, assume_unique=True, return_indices=True)
         return np.append(0, at[0][in_a] + 1), np.append(0, at[1][in_b] + 1)
 
-    def learn(self, windows: list[tuple[bytes, bytes]]) -> None:
-        """Align windows: groups as text, and the pairs of ids of links."""
-        ids = [np.frombuffer(b"".join([w[side] for w in windows]), dtype=self.kind) for side in (0, 1)]
+    def learn(self, windows: list[bytes]) -> None:
+        """Align windows: groups as text, each with its end mark, and the pairs of ids of links."""
+        flat = np.frombuffer(b"".join(windows), dtype=self.kind)
+        upto = np.cumsum([len(w) for w in windows]) // self.kind.itemsize  # ids and mark of a window and those before
+        mark = np.flatnonzero(flat == self.mark)
+        first = np.arange(len(flat)) < np.repeat(mark, np.diff(upto, prepend=0))
+        ids = [flat[first], np.delete(flat, mark)[~np.delete(first, mark)]]
         # a window spans the same bytes in both, so windows may stand one after the other
         shared, in_a, in_b = np.intersect1d(
             np.cumsum(self.t.size_a[ids[0]]), np.cumsum(self.t.size_b[ids[1]]), assume_unique=True, return_indices=True)
@@ -115,15 +121,13 @@ class Aligner:
             other = ends[1 - side] if side else np.append(0, ends[1])[:-1]
             shown[np.arange(len(own)) + other[group]] = own
         shown = shown.tolist()
-        upto = np.cumsum([len(w[0]) // self.kind.itemsize for w in windows])
-        groups = np.searchsorted(ends[0], upto, side="right")
-        to = (ends[0] + ends[1])[groups - 1].tolist()
-        flat, k, n = pairs.tobytes(), 0, 0
-        for window, g, end in zip(windows, groups.tolist(), to, strict=True):
-            own = "".join(shown[n:end])[:-1], flat[8 * k:8 * g]
-            self.known[window] = own
-            self.held += 250 + len(window[0]) + len(window[1]) + len(own[0]) + len(own[1])
-            k, n = g, end
+        groups = np.searchsorted(ends[0], np.cumsum(mark - np.append(0, upto[:-1])), side="right")
+        to = [0, *(ends[0] + ends[1])[groups - 1].tolist()]
+        texts = map("".join, [shown[i:j] for i, j in zip(to, to[1:], strict=False)])
+        flat, at = pairs.tobytes(), [0, *(8 * groups).tolist()]
+        links = [flat[i:j] for i, j in zip(at, at[1:], strict=False)]
+        self.known.update(zip(windows, zip(texts, links, strict=True), strict=True))
+        self.held += OVERHEAD * len(windows) + 10 * len(shown) + len(flat)
 
     def align(self, documents: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[str, np.ndarray]]:
         """Groups as text and the pairs of ids of all links, of documents with tokens."""
@@ -135,16 +139,20 @@ class Aligner:
         a, b = (np.concatenate([d[side] for d in documents]).astype(self.kind) for side in (0, 1))
         ends = tuple(np.cumsum([len(d[side]) for d in documents]) for side in (0, 1))
         cut_a, cut_b = self.anchors(a, b, ends)
-        flat_a, flat_b, width = a.tobytes(), b.tobytes(), self.kind.itemsize
-        at_a, at_b = (cut_a * width).tolist(), (cut_b * width).tolist()
-        windows = [(flat_a[i:j], flat_b[k:m]) for i, j, k, m in zip(at_a, at_a[1:], at_b, at_b[1:], strict=False)]
+        # the ids of windows one after the other: A's, a mark, B's
+        window = np.arange(len(cut_a) - 1)
+        flat = np.full(len(a) + len(b) + len(window), self.mark, dtype=self.kind)
+        flat[np.arange(len(a)) + np.repeat(window + cut_b[:-1], np.diff(cut_a))] = a
+        flat[np.arange(len(b)) + np.repeat(window + cut_a[1:], np.diff(cut_b)) + 1] = b
+        at, flat = ((cut_a + cut_b + np.arange(len(cut_a))) * self.kind.itemsize).tolist(), flat.tobytes()
+        windows = [flat[i:j] for i, j in zip(at, at[1:], strict=False)]
         if new := set(windows) - self.known.keys():
             self.learn(list(new))
         found = list(map(self.known.__getitem__, windows))
         begin = 0
         for end in np.searchsorted(cut_a, ends[0]).tolist():
             own = found[begin:end]
-            yield ";".join([f[0] for f in own]), np.frombuffer(b"".join([f[1] for f in own]), dtype=np.int64)
+            yield "".join([f[0] for f in own])[:-1], np.frombuffer(b"".join([f[1] for f in own]), dtype=np.int64)
             begin = end
 
 
