@@ -16,8 +16,8 @@ From signatures to links: the members of a signature are tied to its smallest do
 signatures is verified first, which joins most groups of near copies at once. Only pairs that share a signature and are
 still in different components are looked at further, and signatures with the same members only once: first by the number of signatures
 they share (of the first H + 1 of one of them all but the differing ones, which sizes close to each other allow fewer of), by a bound from
-histograms of the sets (exact, it only discards pairs that cannot be similar), with 128 bins compared in blocks inside tasks and then
-with about as many bins as shingles, at last by exact comparison of the whole sets. No group of
+histograms of the sets (exact, it only discards pairs that cannot be similar), with a bin for about four shingles compared in blocks
+inside tasks and then with about as many bins as shingles, at last by exact comparison of the whole sets. No group of
 copies is expanded into its pairs, and no link between different components is left out, so the components are exact.
 
 Defined cases: null and empty texts have the empty set and no links. Rows with a null id take no part and have a null component. Rows
@@ -47,8 +47,11 @@ BAND, SEGMENTS = 1.5, 0.45
 COUNTERS = 20_000
 #: A signature is worth skipping from so many documents on.
 COMMON = 48
-#: Bins of the coarse histogram; the fine one has a power of two of bins, at least as many as the set has shingles.
-BINS, MOST_BINS = 128, 1 << 16
+#: A histogram has a power of two of bins. The coarse one has about one for every SHARE shingles: unlike sets of n shingles then differ in some
+#: 0.57 n of them and similar ones in 0.29 n, whatever n is. The fine one has at least as many bins as the set has shingles.
+BINS, SHARE, MOST_COARSE, MOST_BINS = 128, 4, 1 << 13, 1 << 16
+#: Numbers of histograms that are compared at a time.
+COMPARED = 1 << 22
 #: Documents in a block of a signature whose members are compared with each other.
 BLOCK = 512
 #: Bits of the filter that names the documents whose texts are fetched: 4 MB whatever the input.
@@ -166,17 +169,9 @@ def _digests(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _histograms(sets: Sets) -> np.ndarray:
-    """Counts by bin of the hash, cut at 255, one row of bytes for each set."""
-    row = np.repeat(np.arange(len(sets.sizes)), sets.sizes)
-    bins = (sets.hashes % np.uint64(BINS)).astype(np.int64)
-    counts = np.bincount(row * BINS + bins, minlength=len(sets.sizes) * BINS)
-    return np.minimum(counts, 255).astype(np.uint8).reshape(-1, BINS)
-
-
-def _fine(sets: Sets) -> list[bytes]:
-    """A histogram of each set, cut at 255; a finer one becomes a coarser one when its halves are added."""
-    bins = np.clip(1 << np.ceil(np.log2(np.maximum(sets.sizes, 1))).astype(np.int64), BINS, MOST_BINS)
+def _histograms(sets: Sets, shingles: int, most: int) -> list[bytes]:
+    """A histogram of each set with about so many shingles a bin, cut at 255."""
+    bins = np.clip(1 << np.ceil(np.log2(np.maximum(sets.sizes, 1) / shingles)).clip(0).astype(np.int64), BINS, most)
     begin = np.cumsum(bins) - bins
     row = np.repeat(np.arange(len(sets.sizes)), sets.sizes)
     at = begin[row] + (sets.hashes % bins[row].astype(np.uint64)).astype(np.int64)
@@ -184,6 +179,11 @@ def _fine(sets: Sets) -> list[bytes]:
     return [flat[b:b + n] for b, n in zip(begin.tolist(), bins.tolist(), strict=True)]
 
 
+def folded(histogram: np.ndarray, bins: int) -> np.ndarray:
+    """A histogram with fewer bins, as if it had been made so: it is cut at 255 again."""
+    return np.minimum(histogram.reshape(-1, bins).sum(axis=0, dtype=np.int64), 255).astype(np.int16)
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, Sets]]:
     for batch in batches:
         for sets in shingle_sets(batch.column(1), WIDTH):
@@ -217,12 +217,10 @@ def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, sets in _pieces(batches):
         a, b = _digests(sets)
         rows = len(ids)
-        bins = _histograms(sets)
-        flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BINS), rows, [None, pa.py_buffer(bins.tobytes())]).cast(pa.binary())
         none = pa.nulls(rows, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [ids.cast(pa.int64()), pa.array(sets.sizes.astype(np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), flat,
-             pa.array(_fine(sets), pa.binary()), none, none],
+            [ids.cast(pa.int64()), pa.array(sets.sizes.astype(np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
+             pa.array(_histograms(sets, SHARE, MOST_COARSE), pa.binary()), pa.array(_histograms(sets, 1, MOST_BINS), pa.binary()), none, none],
             schema=schema)
         new = unseen(sets)
         text, found, _ = signatures(sets, np.zeros(0, np.uint64))
@@ -306,11 +304,6 @@ def enough_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
 
-def _bins(column: pa.Array) -> np.ndarray:
-    joined = b"".join(column.to_pylist())
-    return np.frombuffer(joined, dtype=np.uint8).reshape(-1, BINS)
-
-
 def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, n_a, n_b, fine_a, fine_b) to the (a, b) that may be similar."""
     for batch in batches:
@@ -318,9 +311,9 @@ def close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         most = differ_most(n, m)
         keep = np.zeros(batch.num_rows, dtype=bool)
         for i in range(batch.num_rows):
-            x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=np.uint8).astype(np.int32) for c in (4, 5))
+            x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=np.uint8) for c in (4, 5))
             bins = min(len(x), len(y))
-            gap = np.abs(x.reshape(-1, bins).sum(axis=0) - y.reshape(-1, bins).sum(axis=0)).sum()
+            gap = np.abs(folded(x, bins) - folded(y, bins)).sum(dtype=np.int64)
             keep[i] = gap <= most[i] and DEN * min(n[i], m[i]) >= NUM * max(n[i], m[i])
         mask = pa.array(keep)
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
@@ -337,7 +330,27 @@ def close_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     def pairs(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(parts)
         ids, parent, n, rows, block, weight = (table.column(c).to_numpy() for c in ("id", "component", "n", "rows", "block", "weight"))
-        bins, n = _bins(table.column("bins").combine_chunks()).astype(np.int16), n.astype(np.int64)
+        n = n.astype(np.int64)
+        histograms = [np.frombuffer(h, dtype=np.uint8) for h in table.column("bins").to_pylist()]
+        width = np.array([len(h) for h in histograms])
+        tables: dict[int, np.ndarray] = {}  # by number of bins: the histograms with at least so many
+        places = np.zeros(len(ids), dtype=np.int64)
+
+        def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            """Which pairs are close enough, by the bins that both have."""
+            out = np.zeros(len(x), dtype=bool)
+            both = np.minimum(width[x], width[y])
+            for bins in np.unique(both).tolist():
+                wide = width >= bins
+                if bins not in tables:
+                    tables[bins] = np.stack([folded(h, bins) for h, w in zip(histograms, wide.tolist(), strict=True) if w])
+                places[wide] = np.arange(int(wide.sum()))
+                at = np.flatnonzero(both == bins)
+                for part in np.array_split(at, -(-len(at) * bins // COMPARED)):
+                    gap = np.abs(tables[bins][places[x[part]]] - tables[bins][places[y[part]]]).sum(axis=1, dtype=np.int64)
+                    out[part] = gap <= differ_most(n[x[part]], n[y[part]])
+            return out
+
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         out_a, out_b = [], []
@@ -350,9 +363,9 @@ def close_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             if i == j:
                 other &= x < y
             x, y = x[other], y[other]
-            near = (np.abs(bins[x] - bins[y]).sum(axis=1, dtype=np.int64) <= differ_most(n[x], n[y])) | (rows[x] > 1) | (rows[y] > 1)
-            out_a.append(ids[x[near]])
-            out_b.append(ids[y[near]])
+            kept = near(x, y) | (rows[x] > 1) | (rows[y] > 1)
+            out_a.append(ids[x[kept]])
+            out_b.append(ids[y[kept]])
         a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
         b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
         return pa.RecordBatch.from_arrays(
@@ -441,7 +454,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     told = stored(own.mapInArrow(describe, SET_SCHEMA), "sets")
     sets = told.where("n IS NOT NULL")
     linkable = sets.where("n > 0 AND id IS NOT NULL")
-    first = linkable.groupBy("d1", "d2").agg(F.min("id").alias("a"))
+    # stored, so that both sides of the join come straight from an exchange and a large group of copies is split
+    first = stored(linkable.groupBy("d1", "d2").agg(F.min("id").alias("a")), "copies")
     copies = linkable.join(first, ["d1", "d2"]).select("a", F.col("id").alias("b")).where("a < b")
 
     summaries = told.where("signature IS NOT NULL").groupBy("signature").agg(F.sum("count").alias("count"))

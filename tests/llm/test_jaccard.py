@@ -119,6 +119,37 @@ def test_every_similar_pair_shares_a_signature():
                 assert set(found[text == 0]) & set(found[text == 1]), (s, len(y), "skipped")
 
 
+def histogram_rows(texts, shingles, most):
+    (sets,) = list(shingle_sets(pa.array(texts)))
+    return sets, [np.frombuffer(h, dtype=np.uint8) for h in jaccard._histograms(sets, shingles, most)]
+
+
+def test_histograms_discard_no_similar_pair():
+    rng = random.Random(3)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(9000)]
+    texts = []
+    for size in (6, 100, 600, 2500, 9000):
+        for cut in (0, size // 30, size // 12):
+            words = long[:size]
+            for _ in range(cut // 4):
+                words[rng.randrange(size)] = "other"
+            texts.append(" ".join(words[: size - cut]))
+    texts += ["same " * 3000, "a b c d e f g h " * 400]
+    sets, coarse = histogram_rows(texts, jaccard.SHARE, jaccard.MOST_COARSE)
+    assert len({len(h) for h in coarse}) >= 4
+    parts = np.split(sets.hashes, sets.starts[1:-1])
+    for i, x in enumerate(parts):
+        for j, y in enumerate(parts[:i]):
+            bins = min(len(coarse[i]), len(coarse[j]))
+            gap = np.abs(jaccard.folded(coarse[i], bins) - jaccard.folded(coarse[j], bins)).sum(dtype=np.int64)
+            assert gap <= len(np.setxor1d(x, y))
+    unlike = [" ".join(f"{k}-{rng.randrange(10**6)}" for _ in range(4000)) for k in range(2)]
+    sets, (x, y) = histogram_rows(unlike, jaccard.SHARE, jaccard.MOST_COARSE)
+    assert np.abs(jaccard.folded(x, 1024) - jaccard.folded(y, 1024)).sum() > jaccard.differ_most(*sets.sizes)  # 128 bins could not tell
+    full = np.array([250, 9, 255, 255] * 64, dtype=np.uint8)
+    assert jaccard.folded(full, 128).max() == 255 and jaccard.folded(full, 256).tolist() == full.tolist()
+
+
 def test_shingle_sets_in_pieces():
     texts = [None, "", "a", "b c d e f g b c d e f g", "É é " * 10, *["w%d " % i * 9 + "z" * 300_000 for i in range(9)]]
     sizes = [int(n) for s in shingle_sets(pa.array(texts)) for n in s.sizes]
