@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from cellflow.llm.common import quoted, stored, text_of
 from cellflow.llm.components import components
-from cellflow.llm.shingles import Sets, mixed, shingle_sets
+from cellflow.llm.shingles import Sets, mixed, shingle_sets, words_collide
 
 WIDTH = 5
 #: Similarity as a fraction: intersection * DEN >= union * NUM.
@@ -388,20 +388,35 @@ def close_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, text_a, text_b) to the (a, b) whose sets are similar."""
+    """(a, b, text_a, text_b) to the (a, b) whose sets are similar.
+
+    Sets are compared by the hashes of their shingles after all words of the texts that share a hash were compared themselves; if two of
+    them differ, the sets are made of words.
+    """
     for batch in batches:
         step = max(1, min(256, batch.num_rows))
         for lo in range(0, batch.num_rows, step):
             part = batch.slice(lo, step)
-            both = [_listed(part.column(c)) for c in (2, 3)]
+            if words_collide(pa.chunked_array([part.column(2), part.column(3)]).combine_chunks()):
+                both = [[_spelled(t) for t in part.column(c).to_pylist()] for c in (2, 3)]
+                shared = lambda x, y: len(x & y)
+            else:
+                both = [_listed(part.column(c)) for c in (2, 3)]
+                shared = lambda x, y: len(np.intersect1d(x, y, assume_unique=True))
             keep = []
             for x, y in zip(*both, strict=True):
-                common = len(np.intersect1d(x, y, assume_unique=True)) if DEN * min(len(x), len(y)) >= NUM * max(len(x), len(y)) else 0
+                common = shared(x, y) if DEN * min(len(x), len(y)) >= NUM * max(len(x), len(y)) else 0
                 keep.append(common > 0 and DEN * common >= NUM * (len(x) + len(y) - common))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([part.column(0).filter(mask), part.column(1).filter(mask)], ["a", "b"])
 
 
+def _spelled(text: str | None) -> set[tuple[bytes, ...]]:
+    """The shingles of a text as words."""
+    words = (text or "").encode().lower().split()  # of bytes: A-Z, and the white space of the contract
+    return {tuple(words[i:i + WIDTH]) for i in range(max(1, len(words) - WIDTH + 1))} if words else set()
+
+
 def _listed(texts: pa.Array) -> list[np.ndarray]:
     out = []
     for sets in shingle_sets(texts, WIDTH):

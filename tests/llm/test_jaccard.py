@@ -13,6 +13,7 @@ from cellflow.llm.components import components
 from cellflow.llm.jaccard import near_duplicates, signatures
 from cellflow.llm.oracles import LLM_ORACLES
 from cellflow.llm.queries import LLM_QUERIES
+from cellflow.llm import shingles as shingles_module
 from cellflow.llm.shingles import Sets, shingle_sets
 
 
@@ -156,6 +157,36 @@ def test_shingle_sets_in_pieces():
     assert sizes == [len(shingles(t)) for t in texts]
 
 
+def thue_morse(n):
+    word, other = "a", "b"
+    while len(word) < n:
+        word, other = word + other, other + word
+    return word, other
+
+
+@pytest.mark.parametrize("n", [2048, 4096])
+def test_words_that_any_polynomial_of_a_power_of_two_confuses(spark, n):
+    word, other = thue_morse(n)
+    rest = " ".join(f"w{i}" for i in range(9))
+    texts = [f"{word} {rest}", f"{other} {rest}", f"{word} {other} {rest}", f"{word} x1 x2 x3 x4 {other} x1 x2 x3 x4"]
+    texts += [" ".join([word, "p", "q", "r", "s"]), " ".join([other, "p", "q", "r", "s"])]
+    check(documents(spark, texts), list(enumerate(texts)))
+
+
+def test_words_are_compared(monkeypatch):
+    texts = pa.array(["Some words and some WORDS", None, "", "other words", "é" * 400])
+    assert not shingles_module.words_collide(texts) and not shingles_module.words_collide(texts.slice(1, 2))
+    monkeypatch.setattr(shingles_module, "PIECE", 7)
+    assert not shingles_module.words_collide(texts)
+    pairs = [(1, 2, "a b c d e f", "A b c d e f"), (3, 4, "a b c d e f", "g h i j k l"), (5, 6, None, "")]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*pairs)], ["a", "b", "text_a", "text_b"])
+    want = [{"a": 1, "b": 2}]
+    assert [r for out in jaccard.similar(iter([batch])) for r in out.to_pylist()] == want
+    monkeypatch.setattr(shingles_module, "_BYTE", np.ones(256, np.uint64))  # words of one length have one hash
+    assert shingles_module.words_collide(pa.array(["ab cd"])) and not shingles_module.words_collide(pa.array(["ab AB"]))
+    assert [r for out in jaccard.similar(iter([batch])) for r in out.to_pylist()] == want
+
+
 def test_components(spark):
     rng = random.Random(8)
     edges = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(230)] + [(500 + i, 501 + i) for i in range(40)] + [(9, 9)]
