@@ -45,13 +45,13 @@ def resolve_writes(rows: DataFrame, keys: Sequence[str], order: str = "_order")
 
 def latest_versions(
     rows: DataFrame, keys: Sequence[str], max_versions: int | None, order: str | None = None,
-    by: Sequence[str] | None = None,
+    by: Sequence[str] | None = None, colocated: bool = False,
 ) -> DataFrame:
     """The newest ``max_versions`` cells per ``keys``; None keeps all.
 
     ``rows`` has the key columns, ``version``, ``value`` and, if cells may be written more than
     once, ``order``. The result has the keys, ``version`` and ``value``. ``by`` names some of the keys if what follows groups on
-    them alone, so that the rows are exchanged once for both.
+    them alone, so that the rows are exchanged once for both. ``colocated``: the rows of a key are together already.
     """
     keys = list(keys)
     if max_versions == 1:
@@ -62,11 +62,11 @@ def latest_versions(
     if max_versions is None:
         return (rows if order is None else resolve_writes(rows, keys, order)).select(*keys, "version", "value")
     limited = max_versions <= min(SMALL_LIMIT, int(rows.sparkSession.conf.get(GROUP_LIMIT_SETTING)))
-    if order is not None and limited:
+    if order is not None and limited and not colocated:
         return _newest_written(rows, keys, max_versions, order, by or keys)
     cells = rows if order is None else resolve_writes(rows, keys, order)
     cells = cells.select(*keys, "version", "value")
-    if not limited:
+    if not limited and not colocated:
         # Cut hot groups in parts first.
         spread = F.pmod(F.xxhash64("version"), F.lit(SPREAD))
         cells = _limit(cells.withColumn("_spread", spread), [*keys, "_spread"], max_versions).drop("_spread")

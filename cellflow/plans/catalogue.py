@@ -731,6 +731,46 @@ def map_family_write(spark, folder):
     return cells.withColumnRenamed("qualifier", "priority")
 
 
+def order_log(spark, folder):
+    """Order totals as cells by customer and priority, in ranges of 90 days, and how to write orders there."""
+    log = CellLog(spark, scratch(spark, "orders"), {"custkey": "bigint"}, {"spend": "double"}, period=90 * 86_400_000_000).create()
+    orders = read(spark, folder, "orders").select(
+        F.col("o_custkey").alias("custkey"), "o_orderpriority", "o_totalprice", "o_orderkey", C.micros("o_orderdate").alias("day"))
+
+    def put(rows):
+        log.write(rows, {"o_totalprice": ColumnOutput("spend", qualifier_field="o_orderpriority")}, version="day", order_by="o_orderkey", batch=1)
+
+    return log, orders, put
+
+
+@query
+def colocated_scan(spark, folder):
+    """Two newest orders of a priority from a bucketed base: no exchange."""
+    log, orders, put = order_log(spark, folder)
+    put(orders)
+    log.rebase(buckets=8)
+    return scan_cells(log.table(), ColumnRequest("spend", max_versions=2)).withColumnRenamed("qualifier", "priority")
+
+
+@query
+def base_and_delta_scan(spark, folder):
+    """The same while a third of the orders is a later write: the delta alone is exchanged and merged with the base."""
+    log, orders, put = order_log(spark, folder)
+    put(orders.where("o_orderkey % 3 > 0"))
+    log.rebase(buckets=8)
+    put(orders.where("o_orderkey % 3 = 0"))
+    return scan_cells(log.table(), ColumnRequest("spend", max_versions=2)).withColumnRenamed("qualifier", "priority")
+
+
+@query
+def log_time_range(spark, folder):
+    """Cells of one quarter of a log: other ranges of versions are not opened."""
+    log, orders, put = order_log(spark, folder)
+    put(orders)
+    window = TimeRange.between(day(1995, 2, 1), day(1995, 5, 1))
+    return scan_cells(log.table(), ColumnRequest("spend", max_versions=ALL_VERSIONS), window).withColumnRenamed("qualifier", "priority")
+
+
 @query
 def inferred_schema_write(spark, folder):
     """A column without a declared type keeps the record it is given."""

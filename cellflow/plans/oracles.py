@@ -137,6 +137,17 @@ FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand""",
 WITH {SPEND},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY custkey, priority ORDER BY version DESC) AS r FROM spend)
 SELECT custkey, priority, version, value FROM ranked WHERE r <= 2""",
+    "colocated_scan": f"""
+WITH {SPEND},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY custkey, priority ORDER BY version DESC) AS r FROM spend)
+SELECT custkey, priority, version, value FROM ranked WHERE r <= 2""",
+    "base_and_delta_scan": f"""
+WITH {SPEND},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY custkey, priority ORDER BY version DESC) AS r FROM spend)
+SELECT custkey, priority, version, value FROM ranked WHERE r <= 2""",
+    "log_time_range": f"""
+WITH {SPEND}
+SELECT custkey, priority, version, value FROM spend WHERE version >= {_micros(1995, 2, 1)} AND version < {_micros(1995, 5, 1)}""",
     "inferred_schema_write": "SELECT s_suppkey AS suppkey, s_name, s_acctbal FROM supplier",
     "nulls_and_empties_write": """
 SELECT doc_id, CASE WHEN quality = 1 THEN 'good' END AS name, CAST(CASE WHEN toxic = 1 THEN 1 ELSE 0 END AS BIGINT) AS words FROM labels""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import copy
+import re
 import time
 import uuid
 import zlib
@@ -22,6 +23,12 @@ from cellflow.sources.requests import ALL_TIME, ColumnRequest, DataRequest, Time
 from cellflow.sources.scan import scan
 
 
+#: How files are laid out: by column, range of versions, and write; a base is made of many writes.
+BASE_PARTITIONS = ("column", "low", "high")
+PARTITIONS = (*BASE_PARTITIONS, "delta")
+MANIFEST = "number bigint, base string, buckets int, merged array<string>"
+
+
 class InvalidWrite(ValueError):
     """Every fault of a write, in one message, before any job starts."""
 
@@ -56,6 +63,13 @@ class CellLog:
     a write of any number of columns is a single job, and a read touches the partitions and the value
     field of the requested columns only. Columns without a declared type have a table of their own.
     Nothing is updated in place: of several rows for one cell the last write counts (K5).
+
+    ``period`` is a number of versions: cells are stored apart by ranges of so many, and a read with a time range opens the
+    files of the ranges it meets only.
+
+    ``rebase`` merges the cells into a base that is bucketed and sorted by entity, so that a scan of it exchanges nothing; later
+    writes are deltas, and a read exchanges those alone and merges them with the base by entity. Which base and which deltas make up
+    the table is told by a manifest, of which one file more is written when all else is done: a reader sees the one or the other.
     """
 
     def __init__(
@@ -64,8 +78,11 @@ class CellLog:
         path: str,
         entity: Mapping[str, str],
         columns: Mapping[str, str | ColumnLayout],
+        period: int | None = None,
     ):
-        self.spark, self.path = spark, path
+        if period is not None and period < 1:
+            raise ValueError("a period has at least one version")
+        self.spark, self.path, self.period = spark, path, period
         self.entity = {n: T.DataType.fromDDL(t) for n, t in entity.items()}
         self.columns = {n: c if isinstance(c, ColumnLayout) else ColumnLayout(c) for n, c in columns.items()}
         types = {c.data_type.simpleString(): c.data_type for c in self.columns.values() if c.type is not None}
@@ -82,7 +99,25 @@ class CellLog:
         middle = [T.StructField("qualifier", T.StringType())]
         middle += [T.StructField(n, T.LongType()) for n in ("version", "batch", "seq")]
         slots = [T.StructField(n, t) for n, t in self._slots.values()]
-        return T.StructType([*head, *middle, *slots, T.StructField("column", T.StringType())])
+        parts = [T.StructField(n, T.LongType() if n in ("low", "high") else T.StringType()) for n in PARTITIONS]
+        return T.StructType([*head, *middle, *slots, *parts])
+
+    def _ranged(self, rows: DataFrame) -> DataFrame:
+        """Rows with the range of versions they are stored under."""
+        if self.period is None:
+            return rows.withColumn("low", F.lit(-(1 << 63))).withColumn("high", F.lit((1 << 63) - 1))
+        size = F.lit(self.period).cast("bigint")
+        # a range that would leave the numbers ends with them
+        low = F.coalesce(F.try_subtract("version", F.pmod("version", size)), F.lit(-(1 << 63)))
+        return rows.withColumn("low", low).withColumn("high", F.coalesce(F.try_add("low", size), F.lit((1 << 63) - 1)))
+
+    def _append(self, rows: DataFrame, path: str) -> None:
+        """One more delta: rows gathered by column first, so that many small tasks do not leave a file each in every column (adaptive
+        execution cuts large columns into several tasks), and sorted, which keeps the row-group statistics narrow."""
+        named = self._ranged(rows).withColumn("delta", F.lit(f"d{uuid.uuid4().hex}"))
+        gathered = named.select(*[f.name for f in self._schema().fields]).hint("rebalance", "column", "low")
+        ordered = gathered.sortWithinPartitions(*PARTITIONS, *self.entity, "version")
+        ordered.write.mode("append").partitionBy(*PARTITIONS).parquet(f"{path}/cells")
 
     def _own_path(self, column: str) -> str:
         return f"{self.path}/own/{column.replace(':', '.')}"
@@ -90,7 +125,7 @@ class CellLog:
     def create(self) -> CellLog:
         """Lay out an empty table, so that it can be read before the first write."""
         empty = self.spark.createDataFrame([], self._schema())
-        empty.write.mode("append").partitionBy("column").parquet(f"{self.path}/cells")
+        empty.write.mode("append").partitionBy(*PARTITIONS).parquet(f"{self.path}/cells")
         return self
 
     # --- writing ---
@@ -124,14 +159,7 @@ class CellLog:
         if declared:
             cells = F.array(*[self._cell(o, values[f]) for f, o in declared.items()])
             long = rows.select(*head, F.inline(cells))
-            ordered = [f.name for f in self._schema().fields]
-            # The partitioned writer sorts by column anyway; going on by entity and version keeps the
-            # row-group statistics narrow.
-            # Gathered by column first, so that many small tasks do not leave a file each in every column; adaptive execution
-            # cuts large columns into several tasks.
-            gathered = long.select(*ordered).hint("rebalance", "column")
-            sorted_rows = gathered.sortWithinPartitions("column", *self.entity, "version")
-            sorted_rows.write.mode("append").partitionBy("column").parquet(f"{self.path}/cells")
+            self._append(long, self.path)
         for field, output in targets.items():
             if field not in declared:
                 own = rows.select(*head, self._qualifier(output).alias("qualifier"), values[field].alias("value"))
@@ -191,13 +219,7 @@ class CellLog:
         out = copy.copy(self)
         out.path = path
         out.create()
-        stored = [f for f in self._schema().fields if f.name not in (*self.entity, "column", "qualifier", "version")]
-        order = F.struct(*[f.name for f in stored if orderable(f.dataType)])
-        cells = self.spark.read.schema(self._schema()).parquet(f"{self.path}/cells")
-        last = cells.groupBy(*self.entity, "column", "qualifier", "version").agg(
-            F.max_by(F.struct(*[f.name for f in stored]), order).alias("_last"))
-        rows = last.select("*", "_last.*").select(*[f.name for f in self._schema().fields]).hint("rebalance", "column")
-        rows.sortWithinPartitions("column", *self.entity, "version").write.mode("append").partitionBy("column").parquet(f"{path}/cells")
+        self._append(self._last_writes(self._cells()[0]), path)
         for name, layout in self.columns.items():
             if layout.type is None and (views := self._own_views(name, *name.partition(":")[::2], {})):
                 own = views[0].frame
@@ -207,10 +229,84 @@ class CellLog:
                 last.select("*", "_last.*").select(*own.columns).write.mode("append").parquet(out._own_path(name))
         return out
 
+    def _last_writes(self, cells: DataFrame) -> DataFrame:
+        """One row for every cell. Earlier writes of a cell combine before the exchange."""
+        stored = [f for f in self._schema().fields if f.name not in (*self.entity, *PARTITIONS, "qualifier", "version")]
+        order = F.struct(*[f.name for f in stored if orderable(f.dataType)])
+        last = cells.groupBy(*self.entity, "column", "qualifier", "version").agg(
+            F.max_by(F.struct(*[f.name for f in stored]), order).alias("_last"))
+        return last.select(*self.entity, "column", "qualifier", "version", "_last.*")
+
+    def rebase(self, buckets: int = 64) -> None:
+        """Merge all that is written now into a new base, in ``buckets`` files a column and range (K5, A1-A3).
+
+        Reads before, while and after are equal. Writes that go on meanwhile stay deltas of the new base. Choose buckets so that one holds
+        some 200 MB; an entity lies in one bucket, so a table with an entity too large for a task is better served by ``compact``.
+        Old files stay where they are, for readers that have begun. Two merges at once: the later one fails. Columns without a declared
+        type keep their own tables.
+        """
+        now = self._manifest()
+        cells, pending, _ = self._cells()
+        base = f"{self.path}/base/{uuid.uuid4().hex}"
+        names = [f.name for f in self._schema().fields if f.name not in PARTITIONS]
+        rows = self._ranged(self._last_writes(cells)).select(*names, *BASE_PARTITIONS).repartition(buckets, *self.entity)
+        rows.write.bucketBy(buckets, *self.entity).sortBy(*self.entity, "qualifier", "version").partitionBy(*BASE_PARTITIONS).option(
+            "path", base).saveAsTable(_table_name(base))
+        merged = sorted({*now.merged, *pending}) if now else sorted(pending)
+        number = now.number + 1 if now else 1
+        told = self.spark.createDataFrame([(number, base, buckets, merged)], MANIFEST)
+        told.coalesce(1).write.mode("errorifexists").json(f"{self.path}/manifest/{number:012d}")
+
+    def _manifest(self) -> T.Row | None:
+        try:
+            return self.spark.read.schema(MANIFEST).json(f"{self.path}/manifest/*").orderBy(F.desc("number")).first()
+        except AnalysisException as fault:
+            if fault.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None  # never rebased
+
+    def _base(self, path: str, buckets: int) -> DataFrame:
+        """The base as a table that Spark knows to be bucketed; a session that did not write it is told so."""
+        name = _table_name(path)
+        if not self.spark.catalog.tableExists(name):
+            fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self._schema().fields if f.name != "delta")
+            keys = ", ".join(f"`{e}`" for e in self.entity)
+            self.spark.sql(
+                f"CREATE TABLE {name} ({fields}) USING parquet PARTITIONED BY ({', '.join(f'`{p}`' for p in BASE_PARTITIONS)}) "
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}, qualifier, version) INTO {buckets} BUCKETS LOCATION '{path}'")
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        return self.spark.table(name)
+
     # --- reading ---
 
+    def _cells(self) -> tuple[DataFrame, set[str], bool]:
+        """All rows of declared columns, the deltas that are in no base yet, and whether there is a base."""
+        now = self._manifest()
+        deltas = self.spark.read.schema(self._schema()).parquet(f"{self.path}/cells")
+        # the files are listed already, so this runs no job
+        pending = {m[1] for f in deltas.inputFiles() if (m := re.search(r"/delta=(\w+)/", f))}
+        if now is None:
+            return deltas, pending, False
+        pending -= set(now.merged)
+        names = [f.name for f in self._schema().fields if f.name != "delta"]
+        base = self._base(now.base, now.buckets).select(*names)
+        if not pending:
+            return base, pending, True
+        late = deltas.where(F.col("delta").isin(sorted(pending))).select(*names)
+        return base.unionByName(late.repartition(now.buckets, *self.entity)), pending, True
+
     def table(self) -> CellTable:
-        cells = self.spark.read.schema(self._schema()).parquet(f"{self.path}/cells")
+        cells, pending, colocated = self._cells()
+        keys = [*self.entity, "column", "qualifier", "version"]
+
+        def resolution(slot: str, dtype: T.DataType) -> dict:
+            """How the last write of a cell is found. Cells of a base alone are written once; with deltas, rows are resolved before
+            anything is renamed, as Spark forgets the partitioning of a union below renamed columns."""
+            order = _write_order(slot, dtype)
+            if not colocated:
+                return {"write_order": order}
+            return {"colocated": True, "resolve": (keys, order) if pending else None}
+
         entity = {e: e for e in self.entity}
         groups: dict[tuple[str, str], list[str]] = {}
         views = []
@@ -223,16 +319,13 @@ class CellLog:
             else:
                 mine = cells.where(F.col("column") == name)
                 slot = self._slot(layout)
-                order = _write_order(slot, layout.data_type)
-                views.append(LongCells(mine, family, entity, "qualifier", Version.number("version"), slot, order))
+                views.append(LongCells(mine, family, entity, "qualifier", _versions(), slot, **resolution(slot, layout.data_type)))
         for (family, slot), qualifiers in groups.items():
             mine = cells.where(F.col("column").isin([f"{family}:{q}" for q in qualifiers]))
             # Taken from the partition value, so that a filter on it prunes partitions.
             from_partition = F.substring("column", len(family) + 2, 1 << 30)
-            order = _write_order(slot, mine.schema[slot].dataType)
-            views.append(
-                LongCells(mine, family, entity, from_partition, Version.number("version"), slot, order, qualifiers)
-            )
+            views.append(LongCells(
+                mine, family, entity, from_partition, _versions(), slot, qualifiers=qualifiers, **resolution(slot, mine.schema[slot].dataType)))
         return CellTable(list(self.entity), views)
 
     def _own_views(self, name, family, qualifier, entity) -> list[LongCells]:
@@ -250,6 +343,14 @@ class CellLog:
         return scan(self.table(), columns, time_range)
 
 
+def _versions() -> Version:
+    return Version.number("version", "low", "high")
+
+
+def _table_name(base: str) -> str:
+    return f"cellflow_base_{base.rpartition('/')[2]}"
+
+
 def _slot_name(type_name: str) -> str:
     return f"value_{type_name}" if type_name.isalnum() else f"value_{zlib.crc32(type_name.encode()):08x}"
 

@@ -28,10 +28,13 @@ class Version:
 
     stored: Column
     from_timestamp: bool = False
+    #: Partition columns that hold the least version of a file and the end of its versions, if the files are laid out so.
+    low: Column | None = None
+    high: Column | None = None
 
     @classmethod
-    def number(cls, column: str | Column) -> Version:
-        return cls(as_column(column))
+    def number(cls, column: str | Column, low: str | Column | None = None, high: str | Column | None = None) -> Version:
+        return cls(as_column(column), False, None if low is None else as_column(low), None if high is None else as_column(high))
 
     @classmethod
     def micros_of(cls, column: str | Column) -> Version:
@@ -49,6 +52,10 @@ class Version:
         begin, end = time_range.begin, time_range.end
         low = None if begin is None else self.stored >= self.bound(begin)
         high = None if end is None else self.stored < self.bound(end)
+        if low is not None and self.high is not None:
+            low = low & (self.high >= begin)  # the last range includes its end
+        if high is not None and self.low is not None:
+            high = high & (self.low < end)
         if low is None or high is None:
             return high if low is None else low
         return low & high
@@ -60,7 +67,9 @@ class LongCells:
 
     ``qualifiers`` lists the columns of a group-type family; None makes it a map-type family.
     ``write_order`` ranks several rows of one (entity, qualifier, version): the highest wins, which
-    is the upsert rule (K5). Leave it out only when those rows are known to be unique.
+    is the upsert rule (K5). Leave it out only when those rows are known to be unique. ``colocated``: Spark knows
+    the frame to be partitioned by the entity, so that a scan needs no exchange. ``resolve`` names the columns that
+    tell its cells apart, and the order of writes: rows are resolved as they are stored then, before any column is renamed.
     """
 
     frame: DataFrame
@@ -71,6 +80,8 @@ class LongCells:
     value: str | Column
     write_order: str | Column | None = None
     qualifiers: Sequence[str] | None = None
+    colocated: bool = False
+    resolve: tuple[Sequence[str], Column] | None = None
 
     def names(self) -> list[str]:
         return [self.family] if self.qualifiers is None else [f"{self.family}:{q}" for q in self.qualifiers]
@@ -87,12 +98,16 @@ class LongCells:
         in_time = self.version.within(time_range)
         if in_time is not None:
             frame = frame.where(in_time)
+        value = as_column(self.value)
+        if self.resolve is not None:
+            keys, order = self.resolve
+            frame, value = frame.groupBy(*keys).agg(F.max_by(value, order).alias("_resolved")), F.col("_resolved")
         extra = [] if self.write_order is None else [as_column(self.write_order).alias("_order")]
         return frame.select(
             *[as_column(c).alias(n) for n, c in self.entity.items()],
             qualifier.alias("qualifier"),
             self.version.value.alias("version"),
-            narrowed(as_column(self.value), request).alias("value"),
+            narrowed(value, request).alias("value"),
             *extra,
         )
 

@@ -160,9 +160,9 @@ def _long_cells(view: LongCells, request: ColumnRequest, time_range: TimeRange,
     order = None if view.write_order is None else "_order"
     keys = list(view.entity)
     if request.qualifier is None:
-        return latest_versions(rows, [*keys, "qualifier"], request.max_versions, order, by)
+        return latest_versions(rows, [*keys, "qualifier"], request.max_versions, order, by, view.colocated)
     # One qualifier only: leave it out of the keys, so that grouping by entity needs no new exchange.
-    cells = latest_versions(rows.drop("qualifier"), keys, request.max_versions, order)
+    cells = latest_versions(rows.drop("qualifier"), keys, request.max_versions, order, colocated=view.colocated)
     return cells.withColumn("qualifier", F.lit(request.qualifier))
 
 
@@ -269,7 +269,7 @@ def _several_frame(
     rows = view.rows(ColumnRequest(view.family), time_range)
     rows = rows.where(F.col("qualifier").isin(sorted({r.qualifier for r in requests.values()})))
     order = None if view.write_order is None else "_order"
-    cells = latest_versions(rows, [*view.entity, "qualifier"], max_versions, order, list(view.entity))
+    cells = latest_versions(rows, [*view.entity, "qualifier"], max_versions, order, list(view.entity), view.colocated)
     cells = _no_larger(cells, list(view.entity), max_cells)
     cells = cells.withColumn("newest_first", F.bitwise_not("version"))
     # collect_list leaves out the NULLs of the other columns' cells.

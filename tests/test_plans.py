@@ -18,7 +18,7 @@ EXCHANGES = {  # queries whose number of exchanges is a design decision
 }
 WRITES = {  # what is read back from files of their own
     "cell_log_round_trip", "prepare_train_score", "text_round_trip", "tsv_round_trip", "sequence_round_trip", "scan_counters", "random_ids",
-    "map_family_write", "inferred_schema_write", "nulls_and_empties_write", "several_outputs",
+    "map_family_write", "colocated_scan", "base_and_delta_scan", "log_time_range", "inferred_schema_write", "nulls_and_empties_write", "several_outputs",
 }
 
 

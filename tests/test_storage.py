@@ -1,8 +1,10 @@
 import os
 import random
+import re
 import tempfile
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cellflow.functions import random_entity_id, words
@@ -258,6 +260,124 @@ def test_a_write_of_many_small_tasks_leaves_few_files(spark, path):
     assert read(again) == read(log) and spark.read.parquet(f"{path}-next/cells").count() == 3 * 6400
 
 
+# --- bases and deltas ---
+
+
+def exchanges(frame):
+    return [line for line in plan(frame).splitlines() if "Exchange" in line and "Broadcast" not in line]
+
+
+@pytest.fixture
+def visits(spark, path):
+    """A map family and two single columns, rewritten in part, with a base of four buckets."""
+    log = CellLog(spark, path, {"k": "bigint"}, {"m": "double", "f:a": "string", "f:b": "int"}, period=10).create()
+    rows = spark.range(400).select(
+        (F.col("id") % 40).alias("k"), F.concat(F.lit("q"), F.col("id") % 3).alias("q"), (F.col("id") % 50).alias("ts"),
+        F.col("id").cast("double").alias("v"), F.col("id").cast("string").alias("a"), F.col("id").cast("int").alias("b"), F.col("id").alias("o"))
+    log.write(rows, {"v": ColumnOutput("m", "q"), "a": "f:a", "b": "f:b"}, version="ts", order_by="o", batch=1)
+    log.write(rows.where("id % 7 = 0").withColumn("v", -F.col("v")), {"v": ColumnOutput("m", "q")}, version="ts", order_by="o", batch=2)
+    return log
+
+
+def all_reads(log):
+    """Results of scans of every kind, as plain values."""
+    frames = [
+        scan_cells(log.table(), ColumnRequest("m", max_versions=n), t) for n in (1, 2, 200, ALL_VERSIONS)
+        for t in (TimeRange(), TimeRange.between(8, 21), TimeRange.after(30))]
+    frames += [log.scan({"m": "m", "a": "f:a", "b": ColumnRequest("f:b", max_versions=3)}), log.scan({"a": "f:a", "b": "f:b"}, TimeRange.before(12))]
+    return [sorted(map(str, f.collect())) for f in frames]
+
+
+def test_scans_of_a_base_exchange_nothing(spark, visits):
+    before = all_reads(visits)
+    assert exchanges(visits.scan({"m": "m"}))
+    visits.rebase(buckets=4)
+    table = visits.table()
+    for frame in (
+        scan_cells(table, ColumnRequest("m")), scan_cells(table, ColumnRequest("m", max_versions=2)), visits.scan({"m": ColumnRequest("m", max_versions=5)}),
+        visits.scan({"a": "f:a"}), visits.scan({"a": "f:a", "b": ColumnRequest("f:b", max_versions=2)}),
+        visits.scan({"a": "f:a", "m": ColumnRequest("m", max_versions=ALL_VERSIONS)}),
+    ):
+        assert not exchanges(frame), plan(frame)
+        assert "Bucketed: true" in plan(frame)
+    assert all_reads(visits) == before
+
+
+def test_a_later_write_is_exchanged_alone(spark, visits):
+    visits.rebase(buckets=4)
+    late = spark.createDataFrame([(3, "q0", 3, 1e6, 1), (3, "q9", 60, 2e6, 1), (99, "q0", 1, 3e6, 1)], "k bigint, q string, ts bigint, v double, o bigint")
+    visits.write(late, {"v": ColumnOutput("m", "q")}, version="ts", order_by="o", batch=3)
+    for frame in (visits.scan({"m": "m"}), scan_cells(visits.table(), ColumnRequest("m", max_versions=2)), visits.scan({"m": "m", "a": "f:a"})):
+        found = exchanges(frame)
+        assert found and all("REPARTITION_BY_NUM" in line for line in found), plan(frame)
+        # what is exchanged is read from the deltas: the base is bucketed, and beside the exchange
+        assert plan(frame).count("Bucketed: true") == plan(frame).count("Union")
+    newest = {(r.k, r.qualifier): r.value for r in scan_cells(visits.table(), "m").collect()}
+    assert newest[3, "q9"] == 2e6 and newest[99, "q0"] == 3e6
+    cells = {(r.k, r.qualifier, r.version): r.value for r in scan_cells(visits.table(), ColumnRequest("m", max_versions=ALL_VERSIONS)).collect()}
+    assert cells[3, "q0", 3] == 1e6  # rewritten after the base was made
+    before = all_reads(visits)
+    visits.rebase(buckets=8)
+    assert not exchanges(visits.scan({"m": "m"})) and all_reads(visits) == before
+
+
+def test_a_reader_sees_one_generation(spark, visits):
+    visits.rebase(buckets=4)
+    old = visits.table()
+    before = sorted(map(str, scan_cells(old, "m").collect()))
+    late = spark.createDataFrame([(1, "q0", 70, 5.0)], "k bigint, q string, ts bigint, v double")
+    seen = visits._cells
+    visits._cells = lambda: (found := seen(), visits.write(late, {"v": ColumnOutput("m", "q")}, version="ts"))[0]  # a write while cells are merged
+    visits.rebase(buckets=4)
+    del visits._cells
+    assert sorted(map(str, scan_cells(old, "m").collect())) == before  # opened before the switch
+    assert [r.value for r in scan_cells(visits.table(), "m").where("version = 70").collect()] == [5.0]  # not lost
+    for name in [t.name for t in spark.catalog.listTables() if t.name.startswith("cellflow_base_")]:
+        spark.sql(f"DROP TABLE {name}")  # a session that knows nothing of the bases; their files stay
+    again = CellLog(spark, visits.path, {"k": "bigint"}, {"m": "double", "f:a": "string", "f:b": "int"})
+    assert all_reads(again) == all_reads(visits)
+    assert all("REPARTITION_BY_NUM" in line for line in exchanges(again.scan({"m": "m"})))
+    first = visits._manifest()
+    visits._manifest = lambda: first
+    visits.rebase(buckets=4)
+    with pytest.raises(AnalysisException):
+        visits.rebase(buckets=4)  # another merge took this number
+
+
+def test_time_ranges_prune_files(spark, visits):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    for step in range(2):
+        frame = scan_cells(visits.table(), ColumnRequest("m", max_versions=ALL_VERSIONS), TimeRange.between(10, 20))
+        filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(frame))[1]
+        assert re.search(r"low#\d+L < 20", filters) and re.search(r"high#\d+L >= 10", filters)
+        pruned = visits._cells()[0].where("column = 'm' AND low < 20 AND high >= 10").select(F.min("low"), F.max("high")).first()
+        assert tuple(pruned) == (0, 20)
+        visits.rebase(buckets=4)
+    extremes = spark.createDataFrame([(7, v) for v in (-(1 << 63), -5, -1, (1 << 63) - 1)], "k bigint, ts bigint")
+    visits.write(extremes.withColumn("b", F.lit(1)), {"b": "f:b"}, version="ts")
+    found = lambda t: sorted(r.version for r in scan_cells(visits.table(), ColumnRequest("f:b", max_versions=ALL_VERSIONS), t).where("k = 7 AND value = 1").collect())
+    assert found(TimeRange.before(0)) == [-(1 << 63), -5, -1] and found(TimeRange.after((1 << 63) - 1)) == [(1 << 63) - 1]
+    assert found(TimeRange.between(-5, -1)) == [-5] and found(TimeRange.at(-(1 << 63))) == [-(1 << 63)]
+    with pytest.raises(ValueError):
+        CellLog(spark, visits.path, {"k": "bigint"}, {}, period=0)
+
+
+def test_random_writes_and_bases_against_a_dictionary(spark, path):
+    rng = random.Random(5)
+    log = CellLog(spark, path, {"entity": "string", "part": "int"}, {"m": "int"}, period=3).create()
+    cells = {}
+    for batch in range(4):
+        rows = [(f"e{rng.randrange(4)}", rng.randrange(2), f"q{rng.randrange(3)}", rng.randrange(9), rng.randrange(1000), i) for i in range(60)]
+        frame = spark.createDataFrame(rows, "entity string, part int, q string, ts int, v int, o bigint").repartition(3)
+        log.write(frame, {"v": ColumnOutput("m", "q")}, version="ts", order_by="o", batch=batch)
+        for e, p, q, t, v, _ in rows:
+            cells[e, p, q, t] = v
+        if batch % 2:
+            log.rebase(buckets=3)
+        got = scan_cells(log.table(), ColumnRequest("m", max_versions=ALL_VERSIONS))
+        assert {(tuple(r)[:4], r.value) for r in got.select("entity", "part", "qualifier", "version", "value").collect()} == set(cells.items())
+
+
 def test_a_broken_own_table_is_not_an_unwritten_one(spark, path):
     log = CellLog(spark, path, {"k": "bigint"}, {"f:any": None}).create()
     assert log.table() is not None
