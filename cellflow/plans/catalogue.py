@@ -22,6 +22,7 @@ from cellflow.operators.itemsets import (
 )
 from cellflow.operators.joins import cross_with_row, join_with_count, join_with_group_count
 from cellflow.operators.nested import conform, pack, require_type, unpack
+from cellflow.operators.paged import first_of_pages, fold_pages, group_pages, last_of_pages, page_stats
 from cellflow.operators.versions import newest, oldest
 from cellflow.plans.phases import (
     ALL, Distance, Environment, Evaluator, Extractor, Model, PhaseEnvironment, ScoreEnvironment, Scorer,
@@ -670,7 +671,19 @@ def text_round_trip(spark, folder):
     parts = F.split("line", "\t")
     return lines.select(
         F.get(parts, F.lit(0)).cast("bigint").alias("custkey"), F.get(parts, F.lit(1)).alias("name"),
-        F.get(parts, F.lit(2)).cast("int").alias("nation"), (F.col("offset") >= 0).alias("placed"))
+        F.get(parts, F.lit(2)).cast("int").alias("nation"))
+
+
+@query
+def line_offsets(spark, folder):
+    """Lines of a file for each nation, with the place of every line in its file."""
+    path = scratch(spark, "lines")
+    rows = read(spark, folder, "customer").select(
+        F.concat_ws("\t", "c_custkey", "c_name", "c_nationkey").alias("value"), "c_custkey", F.col("c_nationkey").alias("nation"))
+    gathered = rows.repartition("nation").sortWithinPartitions("nation", "c_custkey")
+    gathered.select("value", "nation").write.partitionBy("nation").text(path)
+    lines = text_lines(spark, path, offsets=True)
+    return lines.select(F.get(F.split("line", "\t"), F.lit(0)).cast("bigint").alias("custkey"), "offset", "line")
 
 
 @query
@@ -719,6 +732,46 @@ def side_delimited(spark, folder):
     return lookup(rows, delimited_text(spark, path, "="), "nation", "name").select("s_suppkey", "name")
 
 
+def activity_pages(spark, folder):
+    return scan_pages(activity(spark, folder), ACTIVITY_ALL, page_size=20)
+
+
+@query
+def paged_first_last(spark, folder):
+    """First and last cell and statistics of slices that no task holds as a whole."""
+    pages = activity_pages(spark, folder)
+    first, last = first_of_pages(pages, ["user_id"]), last_of_pages(pages, ["user_id"])
+    rows = first.join(last, "user_id").join(page_stats(pages, ["user_id"]), "user_id")
+    return rows.select(
+        "user_id", F.col("first.qualifier").alias("first_type"), F.col("first.version").alias("first_version"),
+        F.col("last.qualifier").alias("last_type"), F.col("last.version").alias("last_version"), "n", F.round("sum", 4).alias("sum"), F.round("variance", 4).alias("variance"))
+
+
+@query
+def paged_groups(spark, folder):
+    """Slices by event type, in pieces of a page."""
+    groups = group_pages(activity_pages(spark, folder), ["user_id"])
+    newest = groups.where("page = 0").select("user_id", "qualifier", F.get("cells", F.lit(0)).version.alias("newest"))
+    counts = groups.groupBy("user_id", "qualifier").agg(F.sum(F.size("cells")).cast("bigint").alias("n"))
+    return counts.join(newest, ["user_id", "qualifier"]).withColumnRenamed("qualifier", "event_type")
+
+
+@query
+def paged_ordered_fold(spark, folder):
+    """How far values move from cell to cell of a slice: a fold in which the order of cells matters."""
+    number = lambda c: c.value.cast("double")
+
+    def page_state(cells):
+        steps = F.zip_with(F.slice(cells, F.lit(2), F.size(cells)), F.slice(cells, F.lit(1), F.size(cells) - 1), lambda b, a: F.abs(number(b) - number(a)))
+        return F.struct(
+            number(F.get(cells, F.lit(0))).alias("first"), number(F.element_at(cells, -1)).alias("last"), F.aggregate(steps, F.lit(0.0), lambda t, x: t + x).alias("moved"))
+
+    def merge(a, b):
+        return F.struct(a.first.alias("first"), b.last.alias("last"), (a.moved + F.abs(b.first - a.last) + b.moved).alias("moved"))
+
+    return fold_pages(activity_pages(spark, folder), ["user_id"], page_state, merge, "moved", lambda s: F.round(s.moved, 4))
+
+
 @query
 def map_family_write(spark, folder):
     """Order totals into a family by priority, with the order date as version, then compacted."""
@@ -945,7 +998,7 @@ def scaled_lines(spark: SparkSession, folder: str) -> DataFrame:
     lines = read(spark, folder, "lineitem")
     return lines.select(
         ((F.col("l_quantity") - 25.5) / 14.43).alias("quantity"), ((F.col("l_discount") - 0.05) / 0.03).alias("discount"),
-        (F.col("l_extendedprice") / 10000).alias("price"),
+        (F.col("l_extendedprice") / 10000).alias("price"), F.col("l_shipdate").alias("shipped"),
     )
 
 
@@ -965,6 +1018,15 @@ def lm_converged(spark, folder):
     return fitted.select(F.col("index").cast("bigint").alias("index"), F.round("theta", 4).alias("theta"))
 
 
+@query
+def lm_wide(spark, folder):
+    """One step on a feature for each day of the month and each discount: too many for sums as columns."""
+    lines = scaled_lines(spark, folder)
+    days = [F.when(F.dayofmonth("shipped") == d, 1.0).otherwise(0.0) for d in range(1, 32)]
+    fitted = train_linear(lines, [*days, "quantity"], "price", learning_rate=0.001, max_iterations=1)
+    return fitted.select(F.col("index").cast("bigint").alias("index"), F.round("theta", 4).alias("theta"), F.col("iterations").cast("bigint").alias("iterations"))
+
+
 @query
 def lm_two_features(spark, folder):
     rate = F.lit(0.5) / F.count("*")

@@ -125,7 +125,11 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY custkey, priority ORDER BY version DESC) AS rank FROM spend
   WHERE version >= {_micros(1995, 1, 1)} AND version < {_micros(1997, 1, 1)} AND priority >= '2' AND priority < '5')
 SELECT custkey, count(*) AS cells, round(sum(value), 2) AS total FROM ranked WHERE rank <= 2 GROUP BY custkey""",
-    "text_round_trip": "SELECT c_custkey AS custkey, c_name AS name, CAST(c_nationkey AS INTEGER) AS nation, true AS placed FROM customer",
+    "text_round_trip": "SELECT c_custkey AS custkey, c_name AS name, CAST(c_nationkey AS INTEGER) AS nation FROM customer",
+    "line_offsets": """
+WITH lines AS (SELECT c_custkey, c_nationkey, concat_ws(chr(9), c_custkey, c_name, c_nationkey) AS line FROM customer)
+SELECT c_custkey AS custkey, line, CAST(coalesce(sum(strlen(line) + 1) OVER (
+  PARTITION BY c_nationkey ORDER BY c_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM lines""",
     "tsv_round_trip": "SELECT s_suppkey AS suppkey, s_name AS name, s_acctbal AS acctbal FROM supplier",
     "sequence_round_trip": "SELECT o_orderstatus AS status, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY o_orderstatus",
     "side_key_values": """
@@ -175,6 +179,18 @@ FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id WHERE d.lang IS NULL
 WITH {ACTIVITY},
 placed AS (SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY event_type, version DESC) - 1) // 20 AS page FROM activity)
 SELECT user_id, page, count(*) AS cells, round(sum(value), 2) AS total, max(version) AS newest FROM placed GROUP BY user_id, page""",
+    "paged_first_last": f"""
+WITH {ACTIVITY},
+placed AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_type, version DESC) AS r FROM activity)
+SELECT user_id, arg_min(event_type, r) AS first_type, arg_min(version, r) AS first_version, arg_max(event_type, r) AS last_type,
+       arg_max(version, r) AS last_version, count(*) AS n, round(sum(value), 4) AS sum, round(var_pop(value), 4) AS variance
+FROM placed GROUP BY user_id""",
+    "paged_groups": f"""
+WITH {ACTIVITY} SELECT user_id, event_type, count(*) AS n, max(version) AS newest FROM activity GROUP BY user_id, event_type""",
+    "paged_ordered_fold": f"""
+WITH {ACTIVITY},
+moves AS (SELECT user_id, abs(value - lag(value) OVER (PARTITION BY user_id ORDER BY event_type, version DESC)) AS moved FROM activity)
+SELECT user_id, round(coalesce(sum(moved), 0), 4) AS moved FROM moves GROUP BY user_id""",
     "wide_time_range": """
 SELECT o_orderkey AS orderkey, o_orderstatus AS status, o_totalprice AS price FROM orders
 WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderstatus IS NOT NULL AND o_totalprice IS NOT NULL""",
@@ -329,6 +345,12 @@ UNION ALL SELECT 1, round(0.25 * sum(price * quantity), 2), round(sum(price * qu
 WITH {_SCALED}
 SELECT 0 :: BIGINT AS index, round(regr_intercept(price, quantity), 4) AS theta FROM scaled
 UNION ALL SELECT 1, round(regr_slope(price, quantity), 4) FROM scaled""",
+    "lm_wide": """
+WITH lines AS (
+  SELECT l_extendedprice / 10000 AS price, (l_quantity - 25.5) / 14.43 AS quantity, day(l_shipdate) AS day FROM lineitem)
+SELECT 0 :: BIGINT AS index, round(0.001 * sum(price), 4) AS theta, 1 :: BIGINT AS iterations FROM lines
+UNION ALL SELECT d.d, round(0.001 * coalesce(sum(price), 0), 4), 1 FROM range(1, 32) d(d) LEFT JOIN lines ON day = d.d GROUP BY d.d
+UNION ALL SELECT 32, round(0.001 * sum(price * quantity), 4), 1 FROM lines""",
     "lm_two_features": f"""
 WITH {_SCALED},
 m AS (

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import pickle
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import and_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellflow.functions import as_column, dot
+from cellflow.operators.folds import STATE, merged_states
 from cellflow.operators.joins import cross_with_row
 
+#: Features up to which the sums are columns of one aggregate; their number grows with the square.
+WIDE = 24
+
 
 def train_linear(
     rows: DataFrame,
@@ -29,8 +36,9 @@ def train_linear(
     all rows, so a rate that fits few rows diverges on many: scale the columns and give a rate such
     as ``F.lit(0.5) / F.count("*")``. A result that is not finite fails.
 
-    The gradient needs only the sums of x_i x_j and x_i y. They are taken in one aggregate over the
-    data; the steps then run on that one small row, so the data is read once, not once per step.
+    The gradient needs only the sums of x_i x_j and x_i y. They are taken in one pass over the
+    data; the steps then run on those sums, so the data is read once, not once per step. Up to ``WIDE`` features the sums are
+    one aggregate; beyond that every partition multiplies its batches as matrices, and its sums are added in a tree.
 
     ``parameters`` gives the starting theta, by default zeros: a list, or a frame of
     (index, theta, gradient) whose gradient counts as the previous one.
@@ -43,6 +51,8 @@ def train_linear(
     data = data.where(reduce(and_, [F.col(n).isNotNull() for n in [*names[1:], "_y"]]))
 
     size = len(names)
+    if size > WIDE + 1:
+        return _train_wide(data, names, parameters, learning_rate, max_iterations, epsilon)
     sums = [
         F.sum(F.col(names[i]) * F.col(names[j])).alias(f"_s{i}_{j}") for i in range(size) for j in range(i, size)
     ]
@@ -74,6 +84,48 @@ def train_linear(
     ).select("index", "_p.theta", "_p.gradient", "iterations")
 
 
+def _train_wide(
+    data: DataFrame, names: Sequence[str], parameters: DataFrame | Sequence[float] | None, learning_rate: float | Column, max_iterations: int, epsilon: float
+) -> DataFrame:
+    """The same steps on a matrix of sums. Its size follows the number of features alone, so one task holds it."""
+    size = len(names)
+    if isinstance(learning_rate, Column):
+        learning_rate = data.agg(learning_rate.cast("double")).first()[0]
+    gradient = np.full(size, np.inf)
+    if isinstance(parameters, DataFrame):
+        rows = sorted(map(tuple, parameters.select("index", "theta", "gradient").limit(size + 1).collect()))
+        parameters, gradient = [r[1] for r in rows], np.array([r[2] for r in rows], dtype=float)
+    theta = np.zeros(size) if parameters is None else np.array(parameters, dtype=float)
+    if len(theta) != size:
+        raise ValueError(f"{size} parameters expected, {len(theta)} given")
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((size, size + 1))
+        for batch in batches:
+            table = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            sums += table[:, :size].T @ table
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(sums)], pa.binary())], ["state"])
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((size, size + 1))
+        for batch in batches:
+            for packed in batch.column(0).to_pylist():
+                sums += pickle.loads(packed)
+        t, g, n = theta, gradient, 0
+        with np.errstate(over="ignore", invalid="ignore"):
+            while n < max_iterations and not np.sqrt(g @ g) < epsilon:
+                g = sums[:, size] - sums[:, :size] @ t
+                t, n = t + learning_rate * g, n + 1
+        if not np.isfinite(t).all():
+            raise ValueError("gradient descent diverged: scale the columns or lower the learning rate")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(size, dtype=np.int32)), pa.array(t), pa.array(g), pa.array(np.full(size, n, dtype=np.int32))],
+            ["index", "theta", "gradient", "iterations"])
+
+    states = merged_states(data.select(*names, "_y").mapInArrow(products, STATE), lambda a, b: a + b)
+    return states.repartition(1).mapInArrow(steps, "index int, theta double, gradient double, iterations int")
+
+
 def _state(theta: Column, gradient: Column, iterations: Column) -> Column:
     return F.struct(
         F.transform(theta, lambda t: t.cast("double")).alias("theta"),

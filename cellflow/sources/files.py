@@ -2,24 +2,68 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cellflow.operators.joins import is_small
+from cellflow.session import written
+
 
 def text_lines(spark: SparkSession, path: str, offsets: bool = False) -> DataFrame:
-    """Lines as ``line``, with the byte ``offset`` of each in its file if asked for."""
+    """Lines as ``line``, with the byte ``offset`` of each in its file if asked for.
+
+    Offsets come from two passes over the blocks that files are split into: the bytes of each block, then the places of lines in it.
+    A line ends with a line feed, a carriage return or both. A byte order mark counts as no bytes.
+    """
     if not offsets:
         return spark.read.text(path).withColumnRenamed("value", "line")
-    lines = spark.sparkContext.newAPIHadoopFile(
-        path,
-        "org.apache.hadoop.mapreduce.lib.input.TextInputFormat",
-        "org.apache.hadoop.io.LongWritable",
-        "org.apache.hadoop.io.Text",
-    )
-    return spark.createDataFrame(lines, "offset bigint, line string")
+    blocks = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    # The lines of a block begin where those of the blocks before it in the file end. A file has one row a block here.
+    sizes = blocks.groupBy("_file", "_block").agg(F.sum(F.octet_length("value").cast("bigint") + 1).alias("_bytes"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    begins = written(sizes.select("_file", "_block", F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_begin")), "blocks")
+    if is_small(begins):  # a row for each block; with very many of them lines are exchanged by block instead
+        begins = F.broadcast(begins)
+    placed = blocks.mapInArrow(_places_in_block, "_file string, _block bigint, _at bigint, line string")
+    return placed.join(begins, ["_file", "_block"]).select((F.col("_begin") + F.col("_at")).alias("offset"), "line")
+
+
+def _places_in_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(value, file, block), in the order of the file, to (file, block, offset in the block, line). A carriage return ends a line, too."""
+    block, reached = None, 0
+    for batch in batches:
+        value = batch.column(0).cast(pa.large_string())
+        size = pc.binary_length(value).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        files, starts = batch.column(1), batch.column(2).to_numpy()
+        change = np.ones(batch.num_rows, dtype=bool)
+        change[1:] = (starts[1:] != starts[:-1]) | pc.not_equal(files.slice(1), files.slice(0, max(0, batch.num_rows - 1))).to_numpy(zero_copy_only=False)
+        begin = np.cumsum(size) - size
+        for lo, hi in itertools.pairwise([*np.flatnonzero(change).tolist(), batch.num_rows]):
+            own = (files[lo].as_py(), int(starts[lo]))
+            carried = reached if own == block else 0
+            at = begin[lo:hi] - begin[lo] + carried
+            block, reached = own, int(carried + size[lo:hi].sum())
+            part = value.slice(lo, hi - lo)
+            if pc.any(pc.match_substring(part, "\r")).as_py():
+                lines, inside = [], []
+                for start, text in zip(at.tolist(), part.to_pylist(), strict=True):
+                    for line in text.removesuffix("\r").split("\r"):
+                        lines.append(line)
+                        inside.append(start)
+                        start += len(line.encode()) + 1
+                at, part = np.array(inside, dtype=np.int64), pa.array(lines, pa.large_string())
+            rows = len(part)
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(pa.scalar(own[0]), rows), pa.repeat(pa.scalar(own[1], pa.int64()), rows), pa.array(at), part.cast(pa.string())],
+                ["_file", "_block", "_at", "line"])
 
 
 def sequence_file(spark: SparkSession, path: str, schema: str = "key string, value string") -> DataFrame:

@@ -1,10 +1,12 @@
 import tempfile
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from cellflow.functions import words
 from cellflow.operators.slices import first_value
+from cellflow.plans import regression
 from cellflow.plans.phases import (
     ALL, RESULTS, Distance, Environment, EvaluateEnvironment, Evaluator, Extractor, Fold, InvalidModel, Model,
     PhaseEnvironment, ScoreEnvironment, Scorer, SideLookup, evaluate_rows, first_value_extractor,
@@ -252,6 +254,31 @@ def test_many_steps_equal_direct_descent(spark):
         assert {r.iterations for r in got} == {n}
 
 
+def test_many_features_equal_direct_descent(spark, monkeypatch):
+    n, features = 400, 200
+    rng = np.random.default_rng(1)
+    x = np.column_stack([np.ones(n), rng.standard_normal((n, features))])
+    y = x @ rng.standard_normal(features + 1) + rng.standard_normal(n)
+    data = spark.createDataFrame([(*map(float, r[1:]), float(t)) for r, t in zip(x, y)], ", ".join(f"f{i} double" for i in range(features)) + ", y double")
+    data = data.unionByName(data.limit(1).withColumn("f3", F.lit(None).cast("double"))).repartition(5)  # a row without a feature is left out
+    names = [f"f{i}" for i in range(features)]
+    got = train_linear(data, names, "y", learning_rate=F.lit(0.2) / F.count("*"), max_iterations=30).orderBy("index").collect()
+    theta, rate = np.zeros(features + 1), 0.2 / n
+    for _ in range(30):
+        gradient = x.T @ (y - x @ theta)
+        theta = theta + rate * gradient
+    assert np.allclose([r.theta for r in got], theta) and np.allclose([r.gradient for r in got], gradient) and {r.iterations for r in got} == {30}
+    with pytest.raises(Exception, match="diverged"):
+        train_linear(data, names, "y", learning_rate=10.0, max_iterations=500).collect()
+    with pytest.raises(ValueError):
+        train_linear(data, names, "y", [0.0])
+    # the wide way gives what the aggregate gives, also from a start
+    few, start = [*names[:3]], spark.createDataFrame([(i, 0.1 * i, 5.0) for i in range(4)], "index int, theta double, gradient double")
+    aggregate = [tuple(r) for r in train_linear(data, few, "y", start, 0.001, 20).orderBy("index").collect()]
+    monkeypatch.setattr(regression, "WIDE", 1)
+    assert np.allclose([tuple(r) for r in train_linear(data, few, "y", start, 0.001, 20).orderBy("index").collect()], aggregate)
+
+
 def test_converged_start_stays(spark):
     data = spark.createDataFrame(LINE, "x double, y double")
     start = spark.createDataFrame([(0, 0.5, 0.0), (1, 0.5, 1e-6)], "index int, theta double, gradient double")

@@ -1,5 +1,6 @@
 import itertools
 import math
+import pickle
 import random
 from decimal import Decimal
 
@@ -12,16 +13,21 @@ from pyspark.sql.types import DataType
 from cellflow.functions import (
     component, dot, entity_id, hashed_entity_id, list_value, literal_of, map_value, record, scaled,
 )
+from cellflow.operators import folds, versions
+from cellflow.operators import paged as paged_module
 from cellflow.operators import slices as S
-from cellflow.operators import versions
 from cellflow.operators.folds import fold_rows
 from cellflow.operators.itemsets import capped_counts, filter_by_support, frequent_item_sets, gather_baskets, item_sets
 from cellflow.operators.joins import (
     broadcasts, cross_with_row, estimated_bytes, frequent_keys, heavy_keys, is_small, join_with_count, join_with_group_count, key_counts, row_hash, skewed_join,
 )
 from cellflow.operators.nested import SchemaMismatch, conform, pack, require_type, unpack
+from cellflow.operators.paged import first_of_pages, fold_pages, group_pages, last_of_pages, page_stats
 from cellflow.operators.versions import latest_versions
-from tests.helpers import literal_slice, plan
+from cellflow.session import written
+from cellflow.sources.requests import ALL_VERSIONS, ColumnRequest
+from cellflow.sources.scan import scan, scan_pages
+from tests.helpers import cell_table, cell_view, literal_slice, plan
 
 CELLS = [("c", 4, 0.0), ("b", 3, 3.0), ("b", 2, 0.0), ("a", 1, 1.0), ("a", 0, 0.0)]
 
@@ -225,6 +231,62 @@ def test_rewrites_combine_in_the_task():
     assert kept == [{"k": 0, "version": 5, "value": n - 1, "o": n - 1}]
 
 
+# --- slices page by page ---
+
+
+@pytest.fixture(scope="module")
+def paged(spark):
+    """Pages of slices of 1, 7 and 900 cells, and the slices themselves."""
+    rng = random.Random(12)
+    rows = [(e, q, v, rng.choice([1e9, 0.5, -3.0]) + v / 7) for e, n in (("one", 1), ("few", 7), ("hot", 900)) for q, v in
+            sorted({(rng.choice("abc"), rng.randrange(2000)) for _ in range(n)})]
+    table = cell_table(cell_view(spark, "m", rows, "double"))
+    request = ColumnRequest("m", max_versions=ALL_VERSIONS)
+    return written(scan_pages(table, request, page_size=5), "pages"), {r.entity: r.s for r in scan(table, {"s": request}).collect()}
+
+
+def test_first_last_and_statistics_of_pages(paged):
+    pages, whole = paged
+    assert {r.entity: r.first for r in first_of_pages(pages, ["entity"]).collect()} == {e: s[0] for e, s in whole.items()}
+    assert {r.entity: r.last for r in last_of_pages(pages, ["entity"]).collect()} == {e: s[-1] for e, s in whole.items()}
+    for r in page_stats(pages, ["entity"]).collect():
+        values = [c.value for c in whole[r.entity]]
+        assert (r.n, r.min, r.max) == (len(values), min(values), max(values))
+        assert math.isclose(r.sum, sum(values), rel_tol=1e-12) and math.isclose(r["mean"], sum(values) / len(values), rel_tol=1e-12)
+        assert math.isclose(r.variance, float(np.var(values)), rel_tol=1e-9, abs_tol=1e-6)
+
+
+def test_groups_of_pages(paged):
+    pages, whole = paged
+    got = {}
+    for r in group_pages(pages, ["entity"]).orderBy("page").collect():
+        assert 1 <= len(r.cells) <= 5 and r.page == len(got.setdefault((r.entity, r.qualifier), []))
+        got[r.entity, r.qualifier].append(r.cells)
+    want = {(e, q): [c for c in s if c.qualifier == q] for e, s in whole.items() for q in {c.qualifier for c in s}}
+    assert {k: [c for piece in v for c in piece] for k, v in got.items()} == want
+
+
+@pytest.mark.parametrize("fan", [2, 3, 64])
+def test_ordered_fold_of_pages(paged, monkeypatch, fan):
+    monkeypatch.setattr(paged_module, "FAN", fan)
+    pages, whole = paged
+    text = lambda cells: F.array_join(F.transform(cells, lambda c: F.concat(c.qualifier, c.version.cast("string"))), " ")
+    folded = fold_pages(pages, ["entity"], text, lambda a, b: F.concat_ws(" ", a, b), "all", F.upper)
+    assert {r.entity: r["all"] for r in folded.collect()} == {e: " ".join(f"{c.qualifier}{c.version}" for c in s).upper() for e, s in whole.items()}
+    assert fold_pages(pages.limit(0), ["entity"], text, lambda a, b: a, "all").count() == 0
+
+
+def test_states_are_merged_in_a_tree(spark, monkeypatch):
+    states = spark.range(0, 300, 1, 300).select(F.lit(pickle.dumps([1])).alias("state"))
+    monkeypatch.setattr(folds, "FAN", 8)
+    left = folds.merged_states(states, lambda a, b: [a[0] + b[0]])
+    assert 1 <= left.count() <= 8
+    assert sum(pickle.loads(bytes(r.state))[0] for r in left.collect()) == 300
+    total = fold_rows(spark.range(0, 100, 1, 100), ["id"], lambda: 0, lambda s, b: s + int(b["id"].sum()), lambda a, b: a + b, float, "total")
+    assert total.first().total == 4950.0
+    assert fold_rows(spark.range(0), ["id"], lambda: 0, lambda s, b: s + 1, lambda a, b: a + b, float, "total").first().total == 0.0
+
+
 # --- item sets ---
 
 BASKETS = [["milk", "bread", "coke"], ["milk", "bread", "butter", "flour"], ["butter", "flour"]]

@@ -228,6 +228,32 @@ def test_lookup_by_composite_id_without_broadcast(spark):
     assert {(r.k, r.n, r.found) for r in got.collect()} == {("a", 1, "x"), ("a", None, "y"), ("b", 2, "z")}
 
 
+@pytest.mark.parametrize("size", ["40b", "1k", "1g"])
+def test_offsets_of_lines_in_blocks(spark, path, size):
+    """Files are split into blocks of any size, and lines end in every way."""
+    rng = random.Random(9)
+    want = []
+    os.makedirs(path, exist_ok=True)
+    for name in ("a.txt", "b.txt", "empty.txt"):
+        data, n = b"", {"a.txt": 120, "b.txt": 40, "empty.txt": 0}[name]
+        for i in range(n):
+            line = "".join(rng.choice(["x", "é", "漢", " ", "\t"]) for _ in range(rng.choice([0, 1, 5, 30, 90])))
+            want.append((len(data), line))
+            data += line.encode() + (b"" if i == n - 1 and line else rng.choice([b"\n", b"\r\n", b"\n"] if name == "a.txt" else [b"\n", b"\r"]))
+            if data.endswith(b"\r") and name == "b.txt":
+                data += b"z\n"  # a line feed after a carriage return would belong to it
+                want.append((len(data) - 2, "z"))
+        with open(f"{path}/{name}", "wb") as out:
+            out.write(data)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got = text_lines(spark, path, offsets=True)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert "Python" not in plan(got) and got.columns == ["offset", "line"]
+
+
 def test_random_writes_against_a_dictionary(spark, path):
     rng = random.Random(23)
     log = CellLog(spark, path, {"entity": "string"}, {"m": "int", "g:a": "int", "g:b": "int"}).create()
