@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+#: The folder this program made for itself, if any; it goes when the program ends.
+_own: list[tempfile.TemporaryDirectory] = []
 
 
 def session(master: str = "local[8]", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -42,6 +44,7 @@ def shared_folder(spark: SparkSession) -> str:
     if named is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="cellflow-")
-        spark.conf.set(CHECKPOINT_SETTING, named)
+        if not _own:  # the setting itself cannot be changed in a running session
+            _own.append(tempfile.TemporaryDirectory(prefix="cellflow-", ignore_cleanup_errors=True))
+        named = _own[0].name
     return named

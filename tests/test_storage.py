@@ -2,6 +2,7 @@ import os
 import random
 import re
 import tempfile
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cellflow.functions import random_entity_id, words
 from cellflow.operators.slices import first_value
+from cellflow.session import shared_folder
 from cellflow.sources.cell_log import CellColumns, CellLog, ColumnLayout, ColumnOutput, InvalidWrite, write_outputs
 from cellflow.sources.files import (
     ParquetFile, SequencePairs, TextFile, TsvFile, text_lines, write_sequence_file, write_text, write_tsv,
@@ -286,6 +288,21 @@ def test_a_write_of_many_small_tasks_leaves_few_files(spark, path):
     assert read(again) == read(log) and spark.read.parquet(f"{path}-next/cells").count() == 3 * 6400
 
 
+def test_shared_folder(spark):
+    class Session:
+        """A session that names no folder, or one."""
+
+        def __init__(self, master, named=None):
+            self.sparkContext, self.conf = SimpleNamespace(master=master), SimpleNamespace(get=lambda key, default: named or default)
+
+    own = shared_folder(Session("local[2]"))
+    assert os.path.isdir(own) and shared_folder(Session("local[2]")) == own
+    assert shared_folder(Session("spark://host:1", "hdfs://x/y")) == "hdfs://x/y"
+    with pytest.raises(RuntimeError):
+        shared_folder(Session("spark://host:1"))
+    assert os.path.isdir(shared_folder(spark)) or "://" in shared_folder(spark)
+
+
 # --- bases and deltas ---
 
 
