@@ -49,11 +49,11 @@ COUNTERS = 20_000
 COMMON = 48
 #: A histogram has a power of two of bins. The coarse one has about one for every SHARE shingles: unlike sets of n shingles then differ in some
 #: 0.57 n of them and similar ones in 0.29 n, whatever n is. The fine one has at least as many bins as the set has shingles.
-BINS, SHARE, MOST_COARSE, MOST_BINS = 128, 4, 1 << 13, 1 << 16
+BINS, SHARE, MOST_COARSE, MOST_BINS = 64, 4, 1 << 13, 1 << 16
 #: Numbers of histograms that are compared at a time.
 COMPARED = 1 << 22
 #: Documents in a block of a signature whose members are compared with each other.
-BLOCK = 512
+BLOCK = 1024
 #: Bits of the filter that names the documents whose texts are fetched: 4 MB whatever the input.
 FILTER_BITS = 1 << 25
 
