@@ -2,8 +2,8 @@
 
 The network reads windows of 64 bytes in both directions and labels every position; the label probabilities of all positions of a
 text are averaged, the largest average is its score. It is trained here, in numpy, by backpropagation through time
-with Adam, on a bounded sample of labelled rows (``SAMPLE`` rows in all, equally many for each language, chosen by a hash of the id, one
-stretch of each). Every byte of every text is labelled; long texts are read a bounded piece at a time.
+with Adam, on a bounded sample of labelled rows (``SAMPLE`` rows in all, equally many for each label and one at least, chosen by a hash of
+the id, one stretch of each). No label is left out. Every byte of every text is labelled; long texts are read a bounded piece at a time.
 
 Only texts and labels of rows outside the held-out fold are learned from; a prediction sees the text alone.
 
@@ -18,14 +18,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellflow.llm.common import quoted
 
 UNKNOWN = "und"
-#: Rows of the training sample, and languages that are learned (the most frequent ones).
-SAMPLE, LANGUAGES = 4096, 64
+#: Rows of the training sample. Every label is learned: with more labels than this, from one row each.
+SAMPLE = 4096
 #: Characters of a sampled row; its place in the text depends on a hash.
 STRETCH = 400
 HIDDEN, WINDOW, STEPS, BATCH = 8, 64, 320, 256
@@ -216,21 +216,22 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang:
         F.col(quoted(id_column)).cast("string").alias("id"), F.col(quoted(text)).alias("text"), F.col(quoted(lang)).alias("lang"),
         held_out(id_column).alias("held")).where("id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL AND NOT held")
     known = known.where(F.col("text").rlike(r"\p{L}")).withColumn("place", F.xxhash64("id", F.lit(99)))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = known.groupBy("lang").count().collect()  # a row for each label, as the network has an output for each
     if not counts:
         return None
     each = max(1, SAMPLE // len(counts))
-    share = F.lit(0.0)
-    for r in counts:  # a share of the hash range in which about twice the wanted rows lie
-        share = F.when(F.col("lang") == r["lang"], min(1.0, 2.0 * each / r["count"])).otherwise(share)
-    near = known.where(F.pmod(F.col("place"), F.lit(1 << 20)) < share * (1 << 20))
+    # a share of the hash range in which about twice the wanted rows lie, and never so few that a label might be missed
+    shares = [(r["lang"], min(1.0, max(2.0 * each, each + 20.0) / r["count"])) for r in counts]
+    shared = docs.sparkSession.createDataFrame(shares, "lang string, share double")
+    near = known.withColumn("lang", F.col("lang").cast("string")).join(F.broadcast(shared), "lang").where(
+        F.pmod(F.col("place"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
     start = F.pmod(F.xxhash64("id", F.lit(5)), F.greatest(F.lit(1), F.length("text") - STRETCH))
     near = near.select("id", "lang", F.substring("text", (start + 1).cast("int"), F.lit(STRETCH)).alias("text"))
+    # rows of a hash share: their number follows the sample, not the table
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("id", F.lit(3)), "id", "text")
     by_lang: dict[str, list] = {}
-    for r in near.orderBy(F.xxhash64("id", F.lit(3)), "id", "text").limit(4 * SAMPLE).collect():
-        own = by_lang.setdefault(r["lang"], [])
-        if len(own) < each:
-            own.append(r["text"])
+    for r in near.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= each).orderBy("lang", "nth").collect():
+        by_lang.setdefault(r["lang"], []).append(r["text"])
     rows = [(t, k) for k in sorted(by_lang) for t in by_lang[k]]
     return trained([t for t, _ in rows], [k for _, k in rows])
 

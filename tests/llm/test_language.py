@@ -55,3 +55,20 @@ def test_cases(spark):
     nothing = docs.limit(0)
     assert L.learn(nothing) is None and L.identify(nothing, None).count() == 0
     assert {r.lang_pred for r in L.identify(docs, None).collect()} == {"und"}
+
+
+def test_every_label_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(L, "STEPS", 5)
+    names = [f"l{k:03d}" for k in range(100)]
+    rows = [(n * 100 + k, f"text number {k} of some label", name) for n in range(30) for k, name in enumerate(names)]
+    rows += [(10_000 + i, "a frequent label", "hot") for i in range(3000)]
+    docs = spark.createDataFrame([(i, t, name, "s", len(t)) for i, t, name in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    taken = {}
+    monkeypatch.setattr(L, "trained", lambda texts, labels: taken.update({k: labels.count(k) for k in set(labels)}))
+    L.learn(docs)
+    assert set(taken) == {*names, "hot"}
+    assert taken["hot"] == L.SAMPLE // 101 and all(1 <= taken[k] <= L.SAMPLE // 101 for k in names)
+    monkeypatch.setattr(L, "SAMPLE", 50)  # fewer rows than labels: one each
+    taken.clear()
+    L.learn(docs)
+    assert set(taken) == {*names, "hot"} and set(taken.values()) == {1}
