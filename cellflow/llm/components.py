@@ -11,17 +11,17 @@ from cellflow.llm.common import stored
 def _star(edges: DataFrame, small: bool) -> DataFrame:
     """One step over edges (a, b) with a < b. Every step keeps the components and lowers the ends of edges.
 
-    The smallest neighbour is a map-side combine, and the join back to the edges is one that adaptive execution can split, so
-    a node with very many neighbours is no hot task.
+    The smallest neighbour is a map-side combine, and stored: both sides of the join back to the edges then come straight from an exchange,
+    which is what adaptive execution can split, so a node with very many neighbours is no hot task.
     """
     if small:
-        least = edges.groupBy("b").agg(F.min("a").alias("least"))
+        least = stored(edges.groupBy("b").agg(F.min("a").alias("least")), "least")
         met = edges.join(least, "b")
         moved = met.select(F.col("least").alias("a"), F.col("a").alias("b")).unionByName(met.select(F.col("least").alias("a"), "b"))
     else:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least")), "least")
         met = both.where("v > u").join(least, "u")
         moved = met.select(F.col("least").alias("a"), F.col("v").alias("b"))
     return moved.where("a < b").distinct()
