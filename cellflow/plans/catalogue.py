@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
@@ -34,7 +34,7 @@ from cellflow.sources.cell_log import CellColumns, CellLog, ColumnOutput, write_
 from cellflow.sources.cells import CellTable, LongCells, Version, WideCells
 from cellflow.sources.requests import ALL_VERSIONS, And, ColumnRequest, DataRequest, Or, Range, Regex, TimeRange
 from cellflow.sources.scan import scan, scan_cells, scan_pages, skipped_entities
-from cellflow.sources.files import ParquetFile, sequence_file, text_lines, write_sequence_file, write_text, write_tsv
+from cellflow.sources.files import ParquetFile, placed_lines, sequence_file, text_lines, write_sequence_file, write_text, write_tsv
 from cellflow.sources.side_data import contains_key, delimited_text, key_values, lookup, records, table_column
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -664,14 +664,23 @@ def scratch(spark, name: str) -> str:
 
 @query
 def text_round_trip(spark, folder):
-    """Rows as lines of text and back, with the place of every line in its file."""
+    """Rows as lines of text and back, with the place of every line in its file.
+
+    A line is ``placed`` if no other begins where it does, and its file begins there or one line of it ends there: lines
+    that are all placed fill their files without gaps.
+    """
     path = scratch(spark, "text")
     write_text(read(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey"), path)
-    lines = text_lines(spark, path, offsets=True)
+    end = F.col("offset") + F.octet_length("line") + 1
+    edges = placed_lines(spark, path).select("file", F.inline(F.array(
+        F.struct(F.col("offset").alias("at"), "line"), F.struct(end.alias("at"), F.lit(None).cast("string").alias("line")))))
+    here = Window.partitionBy("file", "at")
+    lines = edges.withColumns({"begins": F.count("line").over(here), "meet": F.count("*").over(here)}).where("line IS NOT NULL")
     parts = F.split("line", "\t")
     return lines.select(
         F.get(parts, F.lit(0)).cast("bigint").alias("custkey"), F.get(parts, F.lit(1)).alias("name"),
-        F.get(parts, F.lit(2)).cast("int").alias("nation"))
+        F.get(parts, F.lit(2)).cast("int").alias("nation"),
+        ((F.col("begins") == 1) & (F.col("meet") == F.when(F.col("at") == 0, 1).otherwise(2))).alias("placed"))
 
 
 @query

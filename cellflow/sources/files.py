@@ -17,13 +17,18 @@ from cellflow.session import written
 
 
 def text_lines(spark: SparkSession, path: str, offsets: bool = False) -> DataFrame:
-    """Lines as ``line``, with the byte ``offset`` of each in its file if asked for.
+    """Lines as ``line``, with the byte ``offset`` of each in its file if asked for."""
+    if not offsets:
+        return spark.read.text(path).withColumnRenamed("value", "line")
+    return placed_lines(spark, path).select("offset", "line")
+
+
+def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines as ``line``, with the ``file`` of each and its byte ``offset`` there.
 
     Offsets come from two passes over the blocks that files are split into: the bytes of each block, then the places of lines in it.
     A line ends with a line feed, a carriage return or both. A byte order mark counts as no bytes.
     """
-    if not offsets:
-        return spark.read.text(path).withColumnRenamed("value", "line")
     blocks = spark.read.option("lineSep", "\n").text(path).select(
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
     # The lines of a block begin where those of the blocks before it in the file end. A file has one row a block here.
@@ -33,7 +38,8 @@ def text_lines(spark: SparkSession, path: str, offsets: bool = False) -> DataFra
     if is_small(begins):  # a row for each block; with very many of them lines are exchanged by block instead
         begins = F.broadcast(begins)
     placed = blocks.mapInArrow(_places_in_block, "_file string, _block bigint, _at bigint, line string")
-    return placed.join(begins, ["_file", "_block"]).select((F.col("_begin") + F.col("_at")).alias("offset"), "line")
+    return placed.join(begins, ["_file", "_block"]).select(
+        F.col("_file").alias("file"), (F.col("_begin") + F.col("_at")).alias("offset"), "line")
 
 
 def _places_in_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,12 +4,16 @@ import re
 import tempfile
 from types import SimpleNamespace
 
+import duckdb
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cellflow.functions import random_entity_id, words
 from cellflow.operators.slices import first_value
+from cellflow.plans import catalogue
+from cellflow.plans.catalogue import QUERIES
+from cellflow.plans.oracles import ORACLES
 from cellflow.session import shared_folder
 from cellflow.sources.cell_log import CellColumns, CellLog, ColumnLayout, ColumnOutput, InvalidWrite, write_outputs
 from cellflow.sources.files import (
@@ -153,6 +157,30 @@ def test_text_with_offsets(spark, path):  # X40
     assert [tuple(r) for r in text_lines(spark, f"{path}/t", offsets=True).collect()] == [(0, "a\t1"), (4, "b\tnull")]
 
 
+def test_text_round_trip_has_the_place_of_every_line(spark, path, monkeypatch):
+    """The result equals the SQL, which has the place, and a line that is not where its file has it is not placed."""
+    people = [(i, name, i % 3) for i, name in enumerate(["a", "é漢", "", "a b", "Customer"] * 40)]
+    people += people[:25]
+    rows = spark.createDataFrame(people, "c_custkey bigint, c_name string, c_nationkey int")
+    rows.repartition(3).write.parquet(f"{path}/customer.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM '{path}/customer.parquet/*.parquet'")
+    result = con.execute(ORACLES["text_round_trip"])
+    assert [d[0] for d in result.description] == ["custkey", "name", "nation", "placed"]
+    got = QUERIES["text_round_trip"](spark, path)
+    assert got.columns == ["custkey", "name", "nation", "placed"]
+    assert sorted(map(tuple, got.collect())) == sorted(result.fetchall()) == sorted((*p, True) for p in people)
+
+    right = catalogue.placed_lines
+
+    def moved(change):
+        monkeypatch.setattr(catalogue, "placed_lines", lambda *a: right(*a).withColumn("offset", change))
+        return QUERIES["text_round_trip"](spark, path).groupBy("placed").count().collect()
+
+    assert dict(moved(F.col("offset") + 7)) == {True: 222, False: 3}  # only where the three files begin
+    assert dict(moved(F.lit(0).cast("bigint"))) == {False: 225}
+
+
 def test_tsv_and_sequence_files(spark, path):
     rows = spark.createDataFrame([("a", "1"), ("b", "2")], "k string, v string")
     write_tsv(rows.coalesce(1), f"{path}/tsv")
