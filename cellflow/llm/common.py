@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from cellflow.functions import as_column
 from cellflow.session import shared_folder
 
+#: Bytes of a batch of whole texts that is exchanged with Python. A task holds a batch several times over: in the vectors that Spark fills, in what
+#: it reads back, and in the worker.
+BATCH_BYTES = 1 << 22
+
 #: White space as the contracts name it: blank, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = r"[\x20\x09-\x0D]+"
 
@@ -62,6 +66,21 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def arrow_bytes(spark: SparkSession, size: int | None = None) -> Iterator[None]:
+    """Jobs that run inside exchange batches of about so many bytes with Python, BATCH_BYTES if none is given; a longer row is a batch alone."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(size or BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def held(frame: DataFrame, **columns: Column) -> DataFrame:
     """Add columns that are computed once per row.
 

@@ -34,9 +34,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellflow.llm.common import quoted, stored, text_of
+from cellflow.llm.common import arrow_bytes, quoted, stored, text_of
 from cellflow.llm.components import components
-from cellflow.llm.shingles import Sets, mixed, shingle_sets, words_collide
+from cellflow.llm.shingles import PIECE, Sets, mixed, shingle_sets, words_collide
 
 WIDTH = 5
 #: Similarity as a fraction: intersection * DEN >= union * NUM.
@@ -394,9 +394,7 @@ def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     them differ, the sets are made of words.
     """
     for batch in batches:
-        step = max(1, min(256, batch.num_rows))
-        for lo in range(0, batch.num_rows, step):
-            part = batch.slice(lo, step)
+        for part in _short(batch):
             if words_collide(pa.chunked_array([part.column(2), part.column(3)]).combine_chunks()):
                 both = [[_spelled(t) for t in part.column(c).to_pylist()] for c in (2, 3)]
                 shared = lambda x, y: len(x & y)
@@ -411,6 +409,17 @@ def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0).filter(mask), part.column(1).filter(mask)], ["a", "b"])
 
 
+def _short(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch of pairs of texts in parts of at most 256 pairs and PIECE bytes; a longer pair is a part of its own."""
+    size = sum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy().astype(np.int64) for c in (2, 3))
+    upto, lo = np.cumsum(size), 0
+    while lo < batch.num_rows:
+        hi = int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PIECE, side="right"))
+        hi = max(lo + 1, min(hi, lo + 256))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def _spelled(text: str | None) -> set[tuple[bytes, ...]]:
     """The shingles of a text as words."""
     words = (text or "").encode().lower().split()  # of bytes: A-Z, and the white space of the contract
@@ -465,6 +474,11 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: id, ``n_shingles`` and ``component_id``, the smallest id that links reach."""
+    with arrow_bytes(docs.sparkSession):  # all jobs with Python run here, what is returned has none
+        return _joined(docs, id_column, text)
+
+
+def _joined(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     own = docs.select(F.col(quoted(id_column)).cast("bigint").alias("id"), text_of(text).alias("text"))
     told = stored(own.mapInArrow(describe, SET_SCHEMA), "sets")
     sets = told.where("n IS NOT NULL")

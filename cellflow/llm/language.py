@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellflow.llm.common import quoted
+from cellflow.llm.common import arrow_bytes, quoted, stored
 
 UNKNOWN = "und"
 #: Rows of the training sample. Every label is learned: with more labels than this, from one row each.
@@ -262,7 +262,7 @@ def identify(docs: DataFrame, model: Model | None, id_column: str = "doc_id", te
 
 
 def keep_known(docs: DataFrame, model: Model | None, text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents, with all their columns, of which a language is recognised."""
+    """The documents, with all their columns, of which a language is recognised; stored, so that batches are small however it is used."""
     schema, names_of, at = docs.schema, docs.columns, docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,4 +271,5 @@ def keep_known(docs: DataFrame, model: Model | None, text: str = "text", min_sco
             keep = pa.array([n != UNKNOWN and s >= min_score for n, s in zip(names, score, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([c.filter(keep) for c in batch.columns[:-1]], names=names_of)
 
-    return docs.select("*", F.col(quoted(text)).rlike(r"\p{L}")).mapInArrow(run, schema)
+    with arrow_bytes(docs.sparkSession):
+        return stored(docs.select("*", F.col(quoted(text)).rlike(r"\p{L}")).mapInArrow(run, schema), "known")

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellflow.llm.common import quoted, stored, text_of
+from cellflow.llm.common import arrow_bytes, quoted, stored, text_of
 
 WINDOW = 1024
 END = 0
@@ -105,7 +105,8 @@ def tokenised(docs: DataFrame, ranks_path: str, pattern: str, window: int) -> Da
                  pa.array(terms.astype(np.int32)), pa.array(frequency[terms])],
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "place", "term", "n"])
 
-    return stored(docs.mapInArrow(run, ROW.format(kind=kind)), "tokens")
+    with arrow_bytes(docs.sparkSession):
+        return stored(docs.mapInArrow(run, ROW.format(kind=kind)), "tokens")
 
 
 def parts_of(ids: np.ndarray, weight: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray]:

@@ -8,11 +8,11 @@ import pyarrow as pa
 import pytest
 from llm_helpers import CLASHES, documents, duck, same_rows
 
-from cellflow.llm import jaccard
+from cellflow.llm import common, jaccard, language, packing
 from cellflow.llm.components import components
 from cellflow.llm.jaccard import near_duplicates, signatures
 from cellflow.llm.oracles import LLM_ORACLES
-from cellflow.llm.queries import LLM_QUERIES
+from cellflow.llm.queries import LLM_QUERIES, byte_vocabulary
 from cellflow.llm import shingles as shingles_module
 from cellflow.llm.shingles import Sets, shingle_sets
 
@@ -187,6 +187,50 @@ def test_words_are_compared(monkeypatch):
     assert [r for out in jaccard.similar(iter([batch])) for r in out.to_pylist()] == want
 
 
+def test_long_pairs_are_compared_a_bounded_part_at_a_time(monkeypatch):
+    """A worker's memory follows the bytes of a part, not its pairs."""
+    rng = random.Random(5)
+    short = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(9)) for _ in range(600)]
+    long = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(12_000)) for _ in range(40)]
+    huge = " ".join(f"w{rng.randrange(10**6)}" for _ in range(200_000))
+    texts = [*short[:300], *long, huge, None, *short[300:]]
+    pairs = [(k, k + 1000, t, t if k % 3 else "other words") for k, t in enumerate(texts)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*pairs)], ["a", "b", "text_a", "text_b"])
+    met, real = [], jaccard.words_collide
+    monkeypatch.setattr(jaccard, "words_collide", lambda t: (met.append((len(t) // 2, sum(len(x or "") for x in t.to_pylist()))), real(t))[1])
+    got = [r["a"] for out in jaccard.similar(iter([batch, batch.slice(0, 0)])) for r in out.to_pylist()]
+    assert got == [k for k, t in enumerate(texts) if k % 3 and t]
+    assert sum(n for n, _ in met) == len(texts) and max(n for n, _ in met) <= 256
+    assert all(size <= shingles_module.PIECE for n, size in met if n > 1)
+
+
+def test_batches_with_python_are_bounded_in_bytes(spark, monkeypatch):
+    """Every job with Python of the stages that send whole texts runs with small batches, and their borders change no result."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches)
+    with common.arrow_bytes(spark, 50_000):
+        found = [r.n for r in spark.range(0, 1000, 1, 1).selectExpr("repeat('x', 1000) AS t").mapInArrow(sizes, "n bigint").collect()]
+    assert max(found) < 60_000 and len(found) > 15 and spark.conf.get(name) == before
+    seen = []
+
+    def recorded(frame, label):
+        seen.append((label, spark.conf.get(name)))
+        return common.stored(frame, label)
+
+    monkeypatch.setattr(common, "BATCH_BYTES", 700)
+    for module in (jaccard, language, packing):
+        monkeypatch.setattr(module, "stored", recorded)
+    texts = corpus(random.Random(6))
+    docs = documents(spark, texts).repartition(3)
+    check(docs, list(enumerate(texts)))
+    model = language.trained(["abc", "de"], ["x", "y"], steps=1)
+    assert language.keep_known(docs, model, min_score=0.0).count() == len(texts)
+    packing.tokenised(docs.select(docs.doc_id.alias("id"), "text"), *byte_vocabulary(), 64)
+    assert {"sets", "shared", "links", "known", "tokens"} <= {label for label, _ in seen}
+    assert {size for _, size in seen} == {"700"} and spark.conf.get(name) == before
+
+
 def test_components(spark):
     rng = random.Random(8)
     edges = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(230)] + [(500 + i, 501 + i) for i in range(40)] + [(9, 9)]
